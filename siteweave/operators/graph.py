@@ -29,9 +29,13 @@ def as_nodes(df: DataFrame, label: str, key: Column | str, props: Sequence[str]
     return df.select(F.lit(label).alias("label"), key.alias("key"), props_map(props)).filter("key IS NOT NULL")
 
 
+def no_props() -> Column:
+    return F.create_map().cast("map<string,string>")
+
+
 def props_map(names: Sequence[str]) -> Column:
     if not names:
-        return F.create_map().cast("map<string,string>").alias("props")
+        return no_props().alias("props")
     pairs = [part for name in names for part in (F.lit(name), F.col(name).cast("string"))]
     return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()).alias("props")
 
@@ -84,23 +88,20 @@ def merge_nodes(
     )
 
 
-def merge_props(
-    nodes: DataFrame, incoming: DataFrame, set_props: Sequence[str], order_by: Sequence[Column | str] = ()
-) -> DataFrame:
-    """`merge_nodes` on the long form: replace the named properties, keep the others.
+def assign_props(df: DataFrame, label: str, key: Column | str, props: Sequence[str] = ()) -> DataFrame:
+    """Incoming nodes that set the named properties; a null among them removes the property."""
+    return as_nodes(df, label, key, props).withColumn("sets", F.array(*[F.lit(p) for p in props]).cast("array<string>"))
 
-    Pass `order_by` where `incoming` may hold a key more than once.
+
+def merge_props(nodes: DataFrame, incoming: DataFrame) -> DataFrame:
+    """`merge_nodes` on the long form, for rows of `assign_props`, one per node.
+
+    Rows of several labels go in together: one join serves the whole pass.
     """
-    fresh = dedupe_first(incoming, NODE, order_by) if order_by else incoming
-    fresh = fresh.select(*NODE, F.col("props").alias("_new"))
-    empty = F.create_map().cast("map<string,string>")
-    kept = F.map_filter(F.coalesce("props", empty), lambda k, _: ~k.isin(*set_props)) if set_props else (
-        F.coalesce("props", empty)
-    )
-    given = F.map_filter(F.coalesce("_new", empty), lambda k, _: k.isin(*set_props)) if set_props else empty
+    fresh = incoming.select(*NODE, F.col("props").alias("_new"), "sets")
+    kept = F.map_filter(F.coalesce("props", no_props()), lambda k, _: ~F.array_contains("sets", k))
     return nodes.join(fresh, NODE, "full_outer").select(
-        *NODE,
-        F.when(F.col("_new").isNull(), F.col("props")).otherwise(F.map_concat(kept, given)).alias("props"),
+        *NODE, F.when(F.col("_new").isNull(), F.col("props")).otherwise(F.map_concat(kept, "_new")).alias("props")
     )
 
 

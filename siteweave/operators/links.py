@@ -23,6 +23,14 @@ DOCUMENT_SCHEMA = """
     involved_companies array<struct<id: long, company: struct<id: long, name: string>>>,
     similar_games array<struct<id: long>>
 """
+# The fields of the two halves of a document's work, so that each reads only its own.
+LINK_SCHEMA = """
+    id long, first_release_date long, game_type int, franchise long,
+    genres array<struct<id: long, name: string>>,
+    involved_companies array<struct<id: long, company: struct<id: long, name: string>>>,
+    similar_games array<struct<id: long>>
+"""
+BASE_SCHEMA = "total_rating double, first_release_date long, summary string, url string"
 SIMILAR_SCHEMA = """
     id long,
     similar_games array<struct<id: long, name: string, url: string, cover: struct<url: string>>>
@@ -83,28 +91,44 @@ def involves_company() -> Column:
     )
 
 
+def similar_to() -> Column:
+    return _each("similar_games", lambda g: _link(fixed.SIMILAR_TO, fixed.GAME, g["id"]))
+
+
 DOCUMENT_RULES = (released_in, part_of_franchise, has_type, has_genre, involves_company)
 
 
 def document_links(
-    docs: DataFrame, rules: Sequence[Callable[[], Column]] = DOCUMENT_RULES, carry: Sequence[str] = ()
+    docs: DataFrame, rules: Sequence[Callable[[], Column]] = DOCUMENT_RULES, seq: str | None = None
 ) -> DataFrame:
-    """One row per link of a document: src_key, the link's fields, carried columns."""
+    """Distinct links of all documents: src_key, rel_type, dst_label, dst_key.
+
+    With `seq`, a column that grows with every landing, the target's `dst_name` and
+    the last landing `seq` come along. Repeated links are folded before the shuffle.
+    """
+    ends = ["src_key", "rel_type", "dst_label", "dst_key"]
     links = F.concat(*[rule().cast(_LINK) for rule in rules])
-    return docs.select(as_key(F.col("id")).alias("src_key"), *carry, F.explode(links).alias("_l")).select(
-        "src_key", *carry, "_l.*"
-    ).filter("src_key IS NOT NULL AND dst_key IS NOT NULL")
+    source = as_key(F.col("id")).alias("src_key")
+    present = "src_key IS NOT NULL AND dst_key IS NOT NULL"
+    if not seq:
+        flat = docs.select(source, F.explode(links).alias("_l")).select("src_key", "_l.*")
+        return flat.filter(present).select(*ends).distinct()
+    flat = docs.select(source, F.col(seq).alias("seq"), F.explode(links).alias("_l")).select("src_key", "seq", "_l.*")
+    return flat.filter(present).groupBy(*ends, "dst_name").agg(F.max("seq").alias("seq"))
 
 
-def document_edges(
-    docs: DataFrame, ids: DataFrame, games: DataFrame, rules: Sequence[Callable[[], Column]] = DOCUMENT_RULES
-) -> DataFrame:
-    """Edges of the documents' catalogue ids, and of the games with the same id.
+def known_links(links: DataFrame, ids: DataFrame) -> DataFrame:
+    """Links of documents whose catalogue id is a node; `ids` are graph nodes."""
+    known = ids.filter(F.col("label") == fixed.CATALOG_ID).select(F.col("key").alias("src_key"))
+    return links.join(known, "src_key", "left_semi")
 
-    `ids` and `games` are graph nodes. A document whose id is no node links nothing;
-    a missing game only loses the game's own edges.
+
+def link_edges(links: DataFrame, games: DataFrame) -> DataFrame:
+    """Edges of the links' catalogue ids, and of the games with the same id.
+
+    A game that does not exist only loses its own edges. `games` are graph nodes.
+    A link that is there under two target names gives its edges twice.
     """
-    known = ids.filter(F.col("label") == fixed.CATALOG_ID).select(F.col("key").alias("src_key"))
     gamed = games.filter(F.col("label") == fixed.GAME).select(
         F.col("key").alias("src_key"), F.lit(True).alias("_game")
     )
@@ -112,50 +136,44 @@ def document_edges(
         F.array(F.lit(fixed.CATALOG_ID))
     )
     return (
-        document_links(docs, rules)
-        .select("src_key", "rel_type", "dst_label", "dst_key")
-        .distinct()
-        .join(known, "src_key", "left_semi")
+        links.select("src_key", "rel_type", "dst_label", "dst_key")
         .join(gamed, "src_key", "left")
         .withColumn("src_label", F.explode(sources))
         .select(*EDGE)
     )
 
 
-def document_targets(
-    docs: DataFrame,
-    ids: DataFrame,
-    order_by: Sequence[Column | str],
-    carry: Sequence[str] = (),
-    rules: Sequence[Callable[[], Column]] = DOCUMENT_RULES,
+def link_targets(links: DataFrame) -> DataFrame:
+    """Target nodes of the links; of several names the last landed one counts."""
+    names = links.groupBy("dst_label", "dst_key", "dst_name").agg(F.max("seq").alias("seq"))
+    named = dedupe_first(
+        names, ["dst_label", "dst_key"], [F.col("seq").desc_nulls_last(), F.col("dst_name").asc_nulls_last()]
+    )
+    return named.select(
+        F.col("dst_label").alias("label"),
+        F.col("dst_key").alias("key"),
+        F.col("dst_name").alias("name"),
+    )
+
+
+def document_edges(
+    docs: DataFrame, ids: DataFrame, games: DataFrame, rules: Sequence[Callable[[], Column]] = DOCUMENT_RULES
 ) -> DataFrame:
-    """Target nodes of the documents' links; the first name in `order_by` is kept.
+    """Edges of all documents of known ids."""
+    return link_edges(known_links(document_links(docs, rules), ids), games)
 
-    `carry` lists the document columns `order_by` needs. A year exists even when
-    the document's id does not; the other targets need it.
-    """
-    known = ids.filter(F.col("label") == fixed.CATALOG_ID).select(
-        F.col("key").alias("src_key"), F.lit(True).alias("_known")
-    )
-    links = document_links(docs, rules, carry).join(known, "src_key", "left")
-    kept = links.filter(F.col("_known") | (F.col("dst_label") == fixed.RELEASE_YEAR))
-    named = dedupe_first(kept, ["dst_label", "dst_key"], [*order_by, F.col("dst_name").asc_nulls_last()])
-    empty = F.create_map().cast("map<string,string>")
-    props = F.when(
-        F.col("dst_name").isNotNull(), F.create_map(F.lit("name"), F.col("dst_name"))
-    ).otherwise(empty)
-    return named.select(F.col("dst_label").alias("label"), F.col("dst_key").alias("key"), props.alias("props"))
-
-
-def similar_edges(docs: DataFrame, nodes: DataFrame, bidirectional: bool = False) -> DataFrame:
-    """Game-SIMILAR_TO->Game where both games exist."""
-    pairs = docs.select("id", F.explode("similar_games.id").alias("_similar"))
-    edges = as_edges(pairs, fixed.GAME, "id", fixed.SIMILAR_TO, fixed.GAME, "_similar")
+
+def similar_edges(links: DataFrame, nodes: DataFrame, bidirectional: bool = False) -> DataFrame:
+    """Game-SIMILAR_TO->Game for the similar-game links whose two games exist."""
+    pairs = links.filter(F.col("rel_type") == fixed.SIMILAR_TO)
+    edges = as_edges(pairs, fixed.GAME, "src_key", fixed.SIMILAR_TO, fixed.GAME, "dst_key")
     if bidirectional:
-        back = edges.select(
-            "src_label", F.col("dst_key").alias("src_key"), "rel_type", "dst_label", F.col("src_key").alias("dst_key")
+        ends = F.array(
+            F.struct("src_key", "dst_key"),
+            F.struct(F.col("dst_key").alias("src_key"), F.col("src_key").alias("dst_key")),
         )
-        edges = edges.unionByName(back).distinct()
+        both = edges.select(F.explode(ends).alias("_p")).select("_p.*")
+        edges = as_edges(both, fixed.GAME, "src_key", fixed.SIMILAR_TO, fixed.GAME, "dst_key")
     return with_endpoints(edges, nodes)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..operators.graph import as_edges, as_nodes
-from ..sources.tables import read_table
+from ..sources.tables import read_table, spread
 
 # Columns of a lineitem row that together are unique.
 LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -98,7 +98,8 @@ def game_documents(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("involved_companies"),
         F.array(F.struct(F.col("l_orderkey").alias("id"))).alias("similar_games"),
     )
-    return read_table(spark, folder, "lineitem").select(*LINE_ID, "l_shipdate", F.to_json(doc).alias("payload"))
+    lines = spread(read_table(spark, folder, "lineitem"))
+    return lines.select(*LINE_ID, "l_shipdate", F.to_json(doc).alias("payload"))
 
 
 def similar_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,7 +115,8 @@ def similar_documents(spark: SparkSession, folder: str) -> DataFrame:
             F.struct(similar.alias("id"), customer_name(similar).alias("name"), cover.alias("cover"))
         ).alias("similar_games"),
     )
-    return read_table(spark, folder, "lineitem").select(*LINE_ID, "l_shipdate", F.to_json(doc).alias("payload"))
+    lines = spread(read_table(spark, folder, "lineitem"))
+    return lines.select(*LINE_ID, "l_shipdate", F.to_json(doc).alias("payload"))
 
 
 def games(spark: SparkSession, folder: str) -> DataFrame:

@@ -32,6 +32,7 @@ from ..operators.graph import (
     NODE,
     as_edges,
     as_nodes,
+    assign_props,
     create_nodes,
     detached,
     drop_orphans,
@@ -41,13 +42,20 @@ from ..operators.graph import (
     replace_edges,
 )
 from ..operators.links import (
+    BASE_SCHEMA,
     attach_by_name,
-    document_edges,
-    document_targets,
+    DOCUMENT_RULES,
+    LINK_SCHEMA,
+    document_links,
+    known_links,
+    link_edges,
+    link_targets,
     similar_edges,
+    similar_to,
 )
 from ..operators.ranking import dedupe_first, top_k, top_n
-from ..sources.tables import lookup_by_ids, search_first
+from ..session import shared_dir
+from ..sources.tables import read_payload, search_first
 
 Graph = tuple[DataFrame, DataFrame]
 
@@ -63,36 +71,47 @@ def game_columns(nodes: DataFrame) -> DataFrame:
     return _label(nodes, fixed.GAME).select("key", F.try_element_at("props", F.lit("name")).alias("name"))
 
 
-def known_documents(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Documents of the catalogue ids in the graph."""
-    ids = _label(nodes, fixed.CATALOG_ID).select(F.col("key").alias("_id"))
-    return lookup_by_ids(docs.withColumn("_id", as_key(F.col("id"))), ids, "_id").drop("_id")
+def newest_documents(landed: DataFrame, nodes: DataFrame, order_by: Sequence[Column | str]) -> DataFrame:
+    """First landed document in `order_by` of every catalogue id in the graph: (key, payload).
+
+    Only the id is parsed before ranking, and ranking comes before the lookup: what
+    is shuffled is at most one unparsed document per id and task. The lookup is an
+    inner join on unique keys, since a semi join would be moved below the ranking.
+    """
+    keyed = read_payload(landed, "payload", "id long", keep=True).withColumn("key", as_key(F.col("id")))
+    newest = dedupe_first(keyed, ["key"], order_by).select("key", "payload")
+    return newest.join(_label(nodes, fixed.CATALOG_ID).select("key"), "key")
 
 
 def base_properties(docs: DataFrame) -> DataFrame:
-    """Documents with the five properties of a catalogue id; no date counts as epoch 0."""
-    seconds = default_if_falsy(has_number(F.col("first_release_date")), F.col("first_release_date"), 0)
-    return docs.withColumn("first_release_date", iso_stamp(epoch_timestamp(seconds)))
+    """The five properties of a catalogue id; no date counts as epoch 0."""
+    date = F.col("first_release_date")
+    parsed = read_payload(docs, "payload", BASE_SCHEMA, keep=True)
+    return parsed.withColumn(
+        "first_release_date", iso_stamp(epoch_timestamp(default_if_falsy(has_number(date), date, 0)))
+    )
 
 
-def ingest_documents(
-    graph: Graph, docs: DataFrame, order_by: Sequence[Column | str], carry: Sequence[str]
-) -> Graph:
+def ingest_documents(graph: Graph, landed: DataFrame, order_by: Sequence[Column | str], seq: str) -> Graph:
     """Properties, target nodes and edges of all landed documents.
 
-    `docs` has the document schema and a `payload` text column. The first document
-    per id in `order_by` sets the properties; every document adds its links.
+    `landed` has a JSON column `payload` and `seq`, which grows with every landing.
+    The first document per id in `order_by` sets the properties; every document adds
+    its links. Nodes and edges are both made from the links, so these are folded
+    once and kept in the shared folder.
     """
     nodes, edges = graph
-    docs = known_documents(docs, nodes)
-    latest = dedupe_first(docs.withColumn("key", as_key(F.col("id"))), ["key"], order_by)
-    updates = base_properties(latest).select(
-        F.lit(fixed.CATALOG_ID).alias("label"), "key", props_map(BASE_PROPS)
-    )
-    targets = document_targets(docs, nodes, order_by, carry)
-    linked = merge_props(merge_props(nodes, updates, BASE_PROPS), targets, ["name"])
-    links = document_edges(docs, nodes, nodes).unionByName(similar_edges(docs, nodes))
-    return linked, edges.select(*EDGE).unionByName(links).distinct()
+    shared_dir(landed.sparkSession)
+    docs = read_payload(landed.select("payload", seq), "payload", LINK_SCHEMA)
+    links = known_links(document_links(docs, [*DOCUMENT_RULES, similar_to], seq), nodes).checkpoint()
+    own = links.filter(F.col("rel_type") != fixed.SIMILAR_TO)
+    newest = newest_documents(landed, nodes, order_by)
+    updates = assign_props(base_properties(newest), fixed.CATALOG_ID, "key", BASE_PROPS)
+    # A name is only set where the link has one.
+    named = F.when(F.col("name").isNotNull(), F.array(F.lit("name"))).otherwise(F.array().cast("array<string>"))
+    targets = link_targets(own).select("label", "key", props_map(["name"]), named.alias("sets"))
+    added = link_edges(own, nodes).unionByName(similar_edges(links, nodes))
+    return merge_props(nodes, updates.unionByName(targets)), edges.select(*EDGE).unionByName(added).distinct()
 
 
 def stream_graph(
@@ -103,27 +122,27 @@ def stream_graph(
     games(key, name); streams(name, stream_id, title, viewer_count, user_name).
     """
     best = top_k(streams, ["name"], order_by, k)
-    nodes = as_nodes(best, fixed.STREAM, "stream_id", ["title", "viewer_count", "user_name"])
+    nodes = assign_props(best, fixed.STREAM, "stream_id", ["title", "viewer_count", "user_name"])
     edges, created = attach_by_name(games, best, "name", "stream_id", fixed.HAS_STREAM, fixed.STREAM)
     return nodes, edges, created
 
 
-def catalogue_links(games: DataFrame) -> Graph:
-    """Catalogue ids of games(key, ...) and the edges to them."""
-    ids = as_nodes(games, fixed.CATALOG_ID, "key")
-    return ids, as_edges(games, fixed.GAME, "key", fixed.HAS_CATALOG_ID, fixed.CATALOG_ID, "key")
+def catalogue_edges(games: DataFrame) -> DataFrame:
+    """From every game(key, ...) to the catalogue id of the same key."""
+    return as_edges(games, fixed.GAME, "key", fixed.HAS_CATALOG_ID, fixed.CATALOG_ID, "key")
 
 
-def _add_games(graph: Graph, games: DataFrame, props: Sequence[str], streams: DataFrame, k: int, order) -> Graph:
+def _add_games(graph: Graph, games: DataFrame, streams: DataFrame, k: int, order) -> Graph:
+    """Games(key, name, box_art_url), their catalogue ids and their names' first k streams."""
     nodes, edges = graph
-    nodes = merge_props(nodes, as_nodes(games, fixed.GAME, "key", props), props)
-    ids, id_edges = catalogue_links(games)
-    nodes = merge_props(nodes, ids, [])
-    # Streams are looked up for the games of this pass only.
+    own = assign_props(games, fixed.GAME, "key", ["name", "box_art_url"])
+    ids = assign_props(games, fixed.CATALOG_ID, "key")
+    # Streams are looked up for the games of this pass only, and attached to all of the name.
     wanted = streams.join(games.select("name").distinct(), "name", "left_semi")
-    stream_nodes, stream_edges, _ = stream_graph(game_columns(nodes), wanted, k, order)
-    nodes = merge_props(nodes, stream_nodes, ["title", "viewer_count", "user_name"])
-    return nodes, edges.select(*EDGE).unionByName(id_edges).unionByName(stream_edges).distinct()
+    owners = game_columns(merge_props(nodes, own))
+    best, stream_edges, _ = stream_graph(owners, wanted, k, order)
+    nodes = merge_props(nodes, own.unionByName(ids).unionByName(best))
+    return nodes, edges.select(*EDGE).unionByName(catalogue_edges(games)).unionByName(stream_edges).distinct()
 
 
 def ingest_top_games(
@@ -135,7 +154,7 @@ def ingest_top_games(
 ) -> Graph:
     """The top games, their catalogue ids and their first streams."""
     top = top_n(games, game_order, fixed.TOP_GAMES)
-    return _add_games(graph, top, ["name", "box_art_url"], streams, fixed.STREAMS_PER_TOP_GAME, stream_order)
+    return _add_games(graph, top, streams, fixed.STREAMS_PER_TOP_GAME, stream_order)
 
 
 def similar_games(docs: DataFrame, catalogue: DataFrame, order_by: Sequence[Column | str]) -> DataFrame:
@@ -160,9 +179,7 @@ def ingest_similar_games(
 ) -> Graph:
     """Similar games of all documents, their catalogue ids and their first streams."""
     games = similar_games(docs, catalogue, ["name"])
-    return _add_games(
-        graph, games, ["name", "box_art_url"], streams, fixed.STREAMS_PER_SIMILAR_GAME, stream_order
-    )
+    return _add_games(graph, games, streams, fixed.STREAMS_PER_SIMILAR_GAME, stream_order)
 
 
 def average_views(games: DataFrame, edges: DataFrame, streams: DataFrame) -> DataFrame:
@@ -185,7 +202,7 @@ def average_views(games: DataFrame, edges: DataFrame, streams: DataFrame) -> Dat
 def average_view_graph(games: DataFrame, averages: DataFrame, key: Column) -> Graph:
     """Value nodes shared by equal averages, and edges from every game of the name."""
     valued = averages.withColumn("_value", key)
-    nodes = as_nodes(
+    nodes = assign_props(
         valued.select(F.col("_value").alias("value")).distinct(), fixed.AVERAGE_VIEWS, "value", ["value"]
     )
     owners = games.select("key", "name").join(valued, "name")
@@ -203,13 +220,11 @@ def ingest_average_views(graph: Graph, replace: bool = False) -> Graph:
     )
     averages = average_views(games, edges, streams)
     values, links = average_view_graph(games, averages, as_key(F.col("average")))
-    if replace:
-        old = detached(edges, links)
-        edges = replace_edges(edges, links)
-        nodes = merge_props(nodes, values, ["value"])
-        return drop_orphans(nodes, edges, old, fixed.HAS_AVERAGE_VIEW_COUNT), edges
-    nodes = merge_props(nodes, values, ["value"])
-    return nodes, merge_edges(edges, links, nodes)
+    nodes = merge_props(nodes, values)
+    if not replace:
+        return nodes, merge_edges(edges, links, nodes)
+    after = replace_edges(edges, links)
+    return drop_orphans(nodes, after, detached(edges, links), fixed.HAS_AVERAGE_VIEW_COUNT), after
 
 
 def company_documents_graph(docs: DataFrame, countries: bool = False) -> Graph:
@@ -219,12 +234,12 @@ def company_documents_graph(docs: DataFrame, countries: bool = False) -> Graph:
     company is known; country 0 and an empty url link nothing.
     """
     sited = docs.filter(has_text(F.col("url")))
-    nodes = as_nodes(sited.select("url").distinct(), fixed.WEBSITE, "url", ["url"])
+    nodes = assign_props(sited.select("url").distinct(), fixed.WEBSITE, "url", ["url"])
     edges = as_edges(sited, fixed.COMPANY, "id", fixed.HAS_WEBSITE, fixed.WEBSITE, "url")
     if countries:
         placed = docs.filter(has_number(F.col("country")))
         nodes = nodes.unionByName(
-            as_nodes(placed.select("country").distinct(), fixed.COUNTRY, "country")
+            assign_props(placed.select("country").distinct(), fixed.COUNTRY, "country")
         )
         edges = edges.unionByName(
             as_edges(placed, fixed.COMPANY, "id", fixed.LOCATED_IN, fixed.COUNTRY, "country")
@@ -239,11 +254,11 @@ def ingest_companies(
     nodes, edges = graph
     companies = _label(nodes, fixed.COMPANY).select("key")
     described = dedupe_first(docs.withColumn("key", as_key(F.col("id"))), ["key"], order_by)
-    updates = described.join(companies, "key", "left_semi").select(
-        F.lit(fixed.COMPANY).alias("label"), "key", props_map(["description"])
+    updates = assign_props(
+        described.join(companies, "key", "left_semi"), fixed.COMPANY, "key", ["description"]
     )
     new_nodes, candidates = company_documents_graph(docs, countries)
-    nodes = merge_props(merge_props(nodes, updates, ["description"]), new_nodes, ["url"])
+    nodes = merge_props(nodes, updates.unionByName(new_nodes))
     return nodes, merge_edges(edges, candidates, nodes)
 
 
@@ -265,9 +280,9 @@ def ingest_site_summaries(graph: Graph, summaries: DataFrame, key: str = "page_i
     """Append every summary as a node of its own; a run never replaces earlier ones."""
     nodes, edges = graph
     owned = summaries.withColumn("_key", F.concat_ws("@", as_key(F.col(key)), "timestamp"))
-    sites = as_nodes(owned.select("url").distinct(), fixed.WEBSITE, "url", ["url"])
+    sites = assign_props(owned.select("url").distinct(), fixed.WEBSITE, "url", ["url"])
     nodes = create_nodes(
-        merge_props(nodes, sites, ["url"]), as_nodes(owned, fixed.SUMMARY, "_key", ["text", "model", "timestamp"])
+        merge_props(nodes, sites), as_nodes(owned, fixed.SUMMARY, "_key", ["text", "model", "timestamp"])
     )
     links = as_edges(owned, fixed.WEBSITE, "url", fixed.HAS_SUMMARY, fixed.SUMMARY, "_key")
     return nodes, edges.select(*EDGE).unionByName(links)
@@ -297,9 +312,9 @@ def ingest_company_summaries(graph: Graph, summaries: DataFrame) -> Graph:
     links = as_edges(
         companies.join(summaries, "name"), fixed.COMPANY, "key", fixed.HAS_SUMMARY, fixed.COMPANY_SUMMARY, "summary"
     )
-    fresh = as_nodes(
+    fresh = assign_props(
         links.select(F.col("dst_key").alias("summary")).distinct(), fixed.COMPANY_SUMMARY, "summary", ["summary"]
     )
     old = detached(edges, links)
     after = replace_edges(edges, links)
-    return drop_orphans(merge_props(nodes, fresh, ["summary"]), after, old, fixed.HAS_SUMMARY), after
+    return drop_orphans(merge_props(nodes, fresh), after, old, fixed.HAS_SUMMARY), after

@@ -28,7 +28,6 @@ def _landed():
     return [latest("l_shipdate"), *adapters.LINE_ID]
 
 
-LANDED_COLS = ["l_shipdate", *adapters.LINE_ID]
 
 
 def _documents(spark, folder, schema=L.DOCUMENT_SCHEMA):
@@ -126,9 +125,8 @@ FROM part LEFT JOIN (
 def catalogue_properties(spark, folder):
     """Properties of all catalogue ids after one pass over the documents."""
     nodes = adapters.catalogue_nodes(spark, folder)
-    landed = adapters.game_documents(spark, folder).withColumn("text", F.col("payload"))
-    docs = read_payload(landed, "text", L.DOCUMENT_SCHEMA)
-    after, _ = games.ingest_documents((nodes, _no_edges(nodes)), docs, _landed(), LANDED_COLS)
+    landed = adapters.game_documents(spark, folder)
+    after, _ = games.ingest_documents((nodes, _no_edges(nodes)), landed, _landed(), "l_shipdate")
     prop = lambda name: F.try_element_at("props", F.lit(name))
     return after.filter(F.col("label") == fixed.CATALOG_ID).select(
         "key",
@@ -159,7 +157,7 @@ FROM {rows}, (VALUES ('Catalog_ID'), ('Game')) AS v(src_label) WHERE {guard}"""
 def _document_edges(spark, folder, rule, fields):
     docs = _documents(spark, folder, f"id long, {fields}")
     ids, owners = adapters.catalogue_nodes(spark, folder), adapters.game_nodes(spark, folder)
-    return L.document_edges(games.known_documents(docs, ids), ids, owners, [rule])
+    return L.document_edges(docs, ids, owners, [rule])
 
 
 @query(
@@ -224,9 +222,8 @@ all_edges AS (
 
 def _ingested(spark, folder):
     nodes = adapters.catalogue_nodes(spark, folder).unionByName(adapters.game_nodes(spark, folder))
-    landed = adapters.game_documents(spark, folder).withColumn("text", F.col("payload"))
-    docs = read_payload(landed, "text", L.DOCUMENT_SCHEMA)
-    return games.ingest_documents((nodes, _no_edges(nodes)), docs, _landed(), LANDED_COLS)
+    landed = adapters.game_documents(spark, folder)
+    return games.ingest_documents((nodes, _no_edges(nodes)), landed, _landed(), "l_shipdate")
 
 
 @query("document_edges", _ALL_LINKS + "SELECT * FROM all_edges")
@@ -259,7 +256,7 @@ def document_nodes(spark, folder):
 )
 def edge_similar(spark, folder):
     docs = _documents(spark, folder, "id long, similar_games array<struct<id: long>>")
-    return L.similar_edges(docs, adapters.game_nodes(spark, folder))
+    return L.similar_edges(L.document_links(docs, [L.similar_to]), adapters.game_nodes(spark, folder))
 
 
 @query(
@@ -271,7 +268,7 @@ def edge_similar(spark, folder):
 )
 def edge_similar_both_ways(spark, folder):
     docs = _documents(spark, folder, "id long, similar_games array<struct<id: long>>")
-    return L.similar_edges(docs, adapters.game_nodes(spark, folder), bidirectional=True)
+    return L.similar_edges(L.document_links(docs, [L.similar_to]), adapters.game_nodes(spark, folder), bidirectional=True)
 
 
 @query(
@@ -316,7 +313,7 @@ def similar_games(spark, folder):
                 key AS dst_key FROM similar_games""",
 )
 def edge_has_id(spark, folder):
-    return games.catalogue_links(_similar_games(spark, folder))[1]
+    return games.catalogue_edges(_similar_games(spark, folder))
 
 
 _BEST_STREAMS = """

@@ -31,6 +31,7 @@ from ...sources import (
     read_table,
     search_first,
     split_rejects,
+    spread,
     upsert,
 )
 from .. import adapters
@@ -153,7 +154,7 @@ def search_in_documents(spark, folder):
     """The first word of every message, looked for in all documents."""
     first_word = F.regexp_extract(F.lower("text"), r"[\p{L}\p{N}_]+", 0)
     probes = read_table(spark, folder, "conversations").select(first_word.alias("probe"))
-    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, folder, "documents").select("doc_id", "text"))
     return search_first(probes, docs, "probe", "text", ["doc_id"], mode="phrase").select("probe", "doc_id")
 
 

@@ -17,7 +17,7 @@ from ...functions import (
 )
 from ...operators.aggregates import assemble_pages
 from ...operators.enrich import enrich
-from ...sources import read_table
+from ...sources import read_table, spread
 from .base import query
 
 # Element contents, comments and tags go; then references, the ampersand last.
@@ -35,7 +35,7 @@ WITH page_text AS (
 
 
 def _pages(spark, folder):
-    pages = read_table(spark, folder, "pages")
+    pages = spread(read_table(spark, folder, "pages"))
     return pages.select("page_id", "url", html_to_text(F.col("html")).alias("text"))
 
 
@@ -70,7 +70,7 @@ def site_prompts(spark, folder):
         FROM documents""",
 )
 def stripped(spark, folder):
-    return read_table(spark, folder, "documents").select("doc_id", strip_text(F.col("text")).alias("text"))
+    return spread(read_table(spark, folder, "documents")).select("doc_id", strip_text(F.col("text")).alias("text"))
 
 
 @query(
@@ -94,7 +94,7 @@ _CASED = {"labels": ["The", "La"], "rels": ["OF", "DIE"], "props": ["eN", "the_n
         FROM documents""",
 )
 def cased(spark, folder):
-    docs = read_table(spark, folder, "documents")
+    docs = spread(read_table(spark, folder, "documents"))
     return docs.select("doc_id", canonical_case(F.col("text"), **_CASED).alias("text"))
 
 
@@ -152,7 +152,7 @@ def json_objects(spark, folder):
           || ' words' AS summary FROM documents""",
 )
 def enriched(spark, folder):
-    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, folder, "documents").select("doc_id", "text"))
     return enrich(docs, "text", "summary").select("doc_id", "summary")
 
 

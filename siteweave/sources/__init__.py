@@ -7,4 +7,5 @@ from .tables import (  # noqa: F401
     read_table,
     search_first,
     split_rejects,
+    spread,
 )

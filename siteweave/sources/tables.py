@@ -15,11 +15,23 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def read_payload(df: DataFrame, json_col: str, schema) -> DataFrame:
-    """Parse a JSON column, keeping only the fields the schema names."""
-    rest = [c for c in df.columns if c != json_col]
-    parsed = df.select(*rest, F.from_json(json_col, schema).alias("_doc"))
-    return parsed.select(*rest, "_doc.*")
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows out to all cores where a table has fewer files than there are cores.
+
+    For work that costs much per row. A large table has files enough and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+
+
+def read_payload(df: DataFrame, json_col: str, schema, keep: bool = False) -> DataFrame:
+    """Parse a JSON column, reading only the fields the schema names.
+
+    Written as a generator of one row per row: later filters on the fields then stay
+    above it, where a plain projection would be parsed again inside every such filter.
+    """
+    rest = [c for c in df.columns if keep or c != json_col]
+    return df.select(*rest, F.inline(F.array(F.from_json(json_col, schema))))
 
 
 def explode_list(df: DataFrame, col: str, alias: str | None = None) -> DataFrame:
@@ -56,7 +68,8 @@ def search_first(
     """For each distinct probe the first matching document; probes without a hit are dropped.
 
     `equals` compares whole strings. `phrase` finds the probe's words in a row,
-    ignoring case. Both are equi-joins, so no probe is held against every document.
+    ignoring case, and leaves the text itself out of the result. Both are equi-joins,
+    so no probe is held against every document.
     """
     wanted = probes.filter(has_text(F.col(probe_col))).select(probe_col).distinct()
     if mode == "equals":
@@ -73,7 +86,7 @@ def search_first(
     # One row per different probe length, so only a handful.
     lengths = sorted(row["_n"] for row in wanted.select("_n").distinct().collect())
     if not lengths:
-        return wanted.select(probe_col).join(docs, F.lit(False))
+        return wanted.select(probe_col).join(docs.drop(text_col), F.lit(False))
 
     def runs(n: int) -> Column:
         start = F.when(F.size("_words") >= n, F.sequence(F.lit(1), F.size("_words") - (n - 1)))
@@ -85,7 +98,7 @@ def search_first(
     phrases = (
         docs.withColumn("_words", words(F.col(text_col)))
         .withColumn("_phrase", F.explode(F.array_distinct(F.concat(*[runs(n) for n in lengths]))))
-        .drop("_words")
+        .drop("_words", text_col)
         .join(wanted.select("_phrase").distinct(), "_phrase", "left_semi")
     )
     first = dedupe_first(phrases, ["_phrase"], order_by)
