@@ -27,6 +27,7 @@ def get_session(app: str = "siteweave", cpus: int | str = "*", partitions: int |
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
