@@ -177,24 +177,14 @@ def similar_edges(links: DataFrame, nodes: DataFrame, bidirectional: bool = Fals
     return with_endpoints(edges, nodes)
 
 
-def similar_by_name(docs: DataFrame, ids: DataFrame, games: DataFrame, name: str = "name") -> DataFrame:
-    """The older form: catalogue id -> every game with the similar game's name.
+def similar_by_name(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The older form, for a graph whose games are keyed by name: Catalog_ID -> Game.
 
-    `docs` is in the similar-game schema, `games` has a key and a name column.
+    `docs` is in the similar-game schema; both ends must exist.
     """
-    wanted = docs.select(
-        as_key(F.col("id")).alias("src_key"), F.explode("similar_games.name").alias(name)
-    ).distinct()
-    pairs = wanted.join(games.select(name, F.col("key").alias("dst_key")), name)
-    known = ids.filter(F.col("label") == fixed.CATALOG_ID).select(F.col("key").alias("src_key"))
-    return as_edges(
-        pairs.join(known, "src_key", "left_semi"),
-        fixed.CATALOG_ID,
-        "src_key",
-        fixed.SIMILAR_TO,
-        fixed.GAME,
-        "dst_key",
-    )
+    named = docs.select("id", F.explode("similar_games.name").alias("_name"))
+    edges = as_edges(named, fixed.CATALOG_ID, "id", fixed.SIMILAR_TO, fixed.GAME, "_name")
+    return with_endpoints(edges, nodes)
 
 
 def attach_by_name(
@@ -204,13 +194,12 @@ def attach_by_name(
 
     `games` has columns key and `name`; `items` has `name` and `item_key`. Returns
     the edges and the games to create for names no game has; such a game is keyed
-    by its name. Each item row meets each game of its name, so bound the items per
-    name (top_k) before they come here.
+    by its name. Each item meets each game of its name, so bound the items per name
+    (top_k) before they come here.
     """
     named = items.filter(F.col(name).isNotNull()).select(name, item_key)
+    owners = games.select(name, as_key(F.col("key")).alias("_owner"))
+    attached = named.join(owners, name, "left").withColumn("_owner", F.coalesce("_owner", name))
     missing = named.select(name).distinct().join(games.select(name).distinct(), name, "left_anti")
-    created = as_nodes(missing, fixed.GAME, name, [name])
-    owners = games.select(name, as_key(F.col("key")).alias("key")).unionByName(
-        missing.select(name, as_key(F.col(name)).alias("key"))
-    )
-    return as_edges(named.join(owners, name), fixed.GAME, "key", rel, item_label, item_key), created
+    edges = as_edges(attached, fixed.GAME, "_owner", rel, item_label, item_key)
+    return edges, as_nodes(missing, fixed.GAME, name, [name])

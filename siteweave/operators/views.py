@@ -15,15 +15,23 @@ from .graph import EDGE, NODE
 from .ranking import colour_index
 
 
-def hop_nodes(hops: DataFrame) -> DataFrame:
-    """Both nodes of every `match_pattern` row."""
-    ends = F.explode(
-        F.array(
-            F.struct(F.col("src_label").alias("label"), F.col("src_key").alias("key"), F.col("src_props").alias("props")),
-            F.struct(F.col("dst_label").alias("label"), F.col("dst_key").alias("key"), F.col("dst_props").alias("props")),
-        )
+def hop_nodes(hops: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The distinct nodes of `match_pattern` rows, fetched by key.
+
+    Only keys are made distinct and shuffled with the hops; properties come from the
+    nodes, once each.
+    """
+    ends = F.array(
+        F.struct(F.col("src_label").alias("label"), F.col("src_key").alias("key")),
+        F.struct(F.col("dst_label").alias("label"), F.col("dst_key").alias("key")),
     )
-    return hops.select(ends.alias("_n")).select("_n.*")
+    keys = hops.select(F.explode(ends).alias("_n")).select("_n.*").distinct()
+    return nodes.join(keys, NODE, "left_semi")
+
+
+def distinct_nodes(found: DataFrame) -> DataFrame:
+    """One row per node; all copies of a node carry the same properties."""
+    return found.dropDuplicates(NODE)
 
 
 def path_nodes(paths: DataFrame, col: str = "nodes") -> DataFrame:
@@ -40,13 +48,9 @@ def _node_id(label: Column | str, key: Column | str) -> Column:
 
 
 def subgraph_nodes(found: DataFrame) -> DataFrame:
-    """Distinct nodes with label, group, tooltip and colour.
-
-    All copies of a node carry the same properties, so any one of them will do.
-    """
-    nodes = found.dropDuplicates(NODE)
+    """Distinct nodes as drawn: id, label, group, tooltip and colour."""
     # Colours are one row per label, so this side is as small as the schema.
-    coloured = nodes.join(F.broadcast(colour_index(nodes, "label")), "label")
+    coloured = found.join(F.broadcast(colour_index(found, "label")), "label")
     return coloured.select(
         _node_id("label", "key").alias("id"),
         display_label(F.col("props"), F.col("label")).alias("label"),
@@ -57,8 +61,8 @@ def subgraph_nodes(found: DataFrame) -> DataFrame:
 
 
 def subgraph_edges(found_edges: DataFrame, found_nodes: DataFrame) -> DataFrame:
-    """Edges whose two ends are in the result; repeated relationships stay repeated."""
-    ids = found_nodes.select(_node_id("label", "key").alias("id")).distinct()
+    """Edges whose two ends are among the distinct nodes; repeated relationships stay repeated."""
+    ids = found_nodes.select(_node_id("label", "key").alias("id"))
     drawn = found_edges.select(
         _node_id("src_label", "src_key").alias("source"),
         _node_id("dst_label", "dst_key").alias("target"),

@@ -62,24 +62,20 @@ def _site_pages(scraped: DataFrame, page_order: Sequence[str]) -> DataFrame:
     )
 
 
-def company_pages(
-    staged: DataFrame, scraped: DataFrame, page_order: Sequence[str], pages: str = "first"
-) -> DataFrame:
-    """Staged companies with pages of the same site, the site's name trimmed.
+def company_pages(staged: DataFrame, scraped: DataFrame, page_order: Sequence[str]) -> DataFrame:
+    """Staged companies with the first page of the same site, the site's name trimmed.
 
-    A site with m scrapes has m staged rows and m pages, so joining all pages gives
-    m*m rows. Later steps keep one page per site. With `first` each staged row
-    therefore meets the first page of its site, and `page_copies` tells how many
-    rows the full join has for it; `all` is the full join.
+    A site with m scrapes has m staged rows and m pages; a plain join would repeat
+    each staged row m times. All later steps keep one page per site, so the other
+    copies are only counted: `page_copies` is the number of rows the plain join has
+    for the staged row.
     """
     found = _site_pages(scraped, page_order)
     order = [c for c in found.columns if c.startswith("_order_")]
-    site = F.trim(F.col("website")) == F.col("site")
-    if pages == "all":
-        return usable_companies(staged).join(found, site).select(*CHAIN)
     copies = found.groupBy("site").agg(F.count(F.lit(1)).alias("page_copies"))
     first = dedupe_first(found, ["site"], order).join(copies, "site")
-    return usable_companies(staged).join(first, site).select(*CHAIN, "page_copies")
+    joined = usable_companies(staged).join(first, F.trim(F.col("website")) == F.col("site"))
+    return joined.select(*CHAIN, "page_copies")
 
 
 def company_chain(companies: DataFrame, scraped: DataFrame, page_order: Sequence[str]) -> DataFrame:

@@ -25,9 +25,9 @@ def ask(
     return match_pattern(match_nodes(nodes, src_label, prop, value, mode), edges, rel, nodes, src_label, dst_label)
 
 
-def answer_graph(hops: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The answer as drawable nodes and edges."""
-    found = hop_nodes(hops)
+def answer_graph(hops: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The answer as drawable nodes and edges; `nodes` are the graph's."""
+    found = hop_nodes(hops, nodes)
     return subgraph_nodes(found), subgraph_edges(hops.select(*EDGE), found)
 
 

@@ -274,15 +274,14 @@ def edge_similar_both_ways(spark, folder):
 @query(
     "edge_similar_by_name",
     """SELECT DISTINCT 'Catalog_ID' AS src_label, CAST(l_partkey AS VARCHAR) AS src_key, 'SIMILAR_TO' AS rel_type,
-              'Game' AS dst_label, CAST(c_custkey AS VARCHAR) AS dst_key
+              'Game' AS dst_label, c_name AS dst_key
        FROM lineitem JOIN customer ON c_name = 'Customer#' || lpad(CAST(l_orderkey AS VARCHAR), 9, '0')""",
 )
 def edge_similar_by_name(spark, folder):
+    """Games keyed by name; customers are the games."""
     docs = read_payload(adapters.similar_documents(spark, folder), "payload", L.SIMILAR_SCHEMA)
-    named = read_table(spark, folder, "customer").select(
-        as_key(F.col("c_custkey")).alias("key"), F.col("c_name").alias("name")
-    )
-    return L.similar_by_name(docs, adapters.catalogue_nodes(spark, folder), named)
+    named = as_nodes(read_table(spark, folder, "customer"), fixed.GAME, "c_name")
+    return L.similar_by_name(docs, adapters.catalogue_nodes(spark, folder).unionByName(named))
 
 
 # --- edges of games, streams, companies --------------------------------------

@@ -100,7 +100,7 @@ found AS (
 
 def _answer(spark, folder):
     nodes, edges = adapters.trade_graph(spark, folder)
-    return ask(nodes, edges, fixed.GAME, fixed.INVOLVES_COMPANY, fixed.COMPANY, "name", "red")
+    return answer_graph(ask(nodes, edges, fixed.GAME, fixed.INVOLVES_COMPANY, fixed.COMPANY, "name", "red"), nodes)
 
 
 @query(
@@ -113,7 +113,7 @@ def _answer(spark, folder):
 FROM found JOIN nodes USING (label, key)""",
 )
 def answer_nodes(spark, folder):
-    return answer_graph(_answer(spark, folder))[0]
+    return _answer(spark, folder)[0]
 
 
 @query(
@@ -122,7 +122,7 @@ def answer_nodes(spark, folder):
     + """SELECT src_label || ':' || src_key AS source, dst_label || ':' || dst_key AS target, rel_type AS label FROM hops""",
 )
 def answer_edges(spark, folder):
-    return answer_graph(_answer(spark, folder))[1]
+    return _answer(spark, folder)[1]
 
 
 _PATHS = f"""
@@ -187,11 +187,11 @@ def schema_nodes(spark, folder):
 
 @query(
     "colour_index",
-    f"""SELECT n_name AS label, {_COLOURS}[CAST((row_number() OVER (ORDER BY n_name) - 1) % 10 + 1 AS INTEGER)] AS colour
-        FROM (SELECT DISTINCT n_name FROM nation)""",
+    f"""SELECT label, {_COLOURS}[CAST((row_number() OVER (ORDER BY label) - 1) % 10 + 1 AS INTEGER)] AS colour
+        FROM (SELECT DISTINCT source AS label FROM documents)""",
 )
 def colours(spark, folder):
-    return colour_index(read_table(spark, folder, "nation").withColumnRenamed("n_name", "label"), "label")
+    return colour_index(read_table(spark, folder, "documents").withColumnRenamed("source", "label"), "label")
 
 
 def _records(spark, folder):

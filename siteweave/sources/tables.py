@@ -16,12 +16,12 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows out to all cores where a table has fewer files than there are cores.
+    """Deal the rows out to all cores where a scan has fewer tasks than there are cores.
 
-    For work that costs much per row. A large table has files enough and stays as it is.
+    For work that costs much per row. The scan of a large table stays as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def read_payload(df: DataFrame, json_col: str, schema, keep: bool = False) -> DataFrame:

@@ -5,7 +5,6 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from siteweave.functions import fixed
 from siteweave.operators import links as L
 from siteweave.operators.graph import (
     as_edges,
@@ -21,6 +20,7 @@ from siteweave.operators.graph import (
 )
 from siteweave.operators.aggregates import property_catalogue, schema_summary
 from siteweave.operators.views import (
+    distinct_nodes,
     flatten_records,
     hop_nodes,
     path_edges,
@@ -291,11 +291,15 @@ def test_similar_games(spark):
 
 def test_similar_by_name(spark, rows):
     parsed = spark.createDataFrame(
-        [(1, [(5, "five", None, None), (6, "six", None, None)]), (2, [(5, "five", None, None)])], L.SIMILAR_SCHEMA
+        [
+            (1, [(5, "five", None, None), (6, "six", None, None), (5, "five", None, None)]),
+            (2, [(5, "five", None, None)]),
+            (3, None),
+        ],
+        L.SIMILAR_SCHEMA,
     )
-    owners = spark.createDataFrame([("50", "five"), ("51", "five")], "key string, name string")
-    ids = nodes_of(spark, ("Catalog_ID", "1", {}))
-    assert rows(L.similar_by_name(parsed, ids, owners), "src_key", "dst_key") == [("1", "50"), ("1", "51")]
+    nodes = nodes_of(spark, ("Catalog_ID", "1", {}), ("Game", "five", {}))
+    assert rows(L.similar_by_name(parsed, nodes), "src_key", "dst_key") == [("1", "five")]
 
 
 # --- companies, summaries ----------------------------------------------------
@@ -371,7 +375,7 @@ def shown_graph(spark):
 
 def test_answer(spark, rows):
     nodes, edges = shown_graph(spark)
-    shown, drawn = answer_graph(ask(nodes, edges, "G", "R", "C", "name", "Red"))
+    shown, drawn = answer_graph(ask(nodes, edges, "G", "R", "C", "name", "Red"), nodes)
     assert rows(shown, "id", "label", "group", "title", "colour") == [
         ("C:1", "Tee", "C", "title: Tee", "#FF5733"),
         ("C:2", "C", "C", "", "#FF5733"),
@@ -382,7 +386,7 @@ def test_answer(spark, rows):
 
 def test_answer_of_nothing(spark):
     nodes, edges = shown_graph(spark)
-    shown, drawn = answer_graph(ask(nodes, edges, "G", "R", "C", "name", "green"))
+    shown, drawn = answer_graph(ask(nodes, edges, "G", "R", "C", "name", "green"), nodes)
     assert shown.count() == 0 and drawn.count() == 0
 
 
@@ -390,7 +394,7 @@ def test_edges_need_both_ends_and_repeat(spark, rows):
     nodes, edges = shown_graph(spark)
     found = nodes.filter("key = '1'")
     assert rows(subgraph_edges(edges.unionByName(edges), found), "source", "target") == [("G:1", "C:1")] * 2
-    assert subgraph_nodes(found.unionByName(found)).count() == 2
+    assert subgraph_nodes(distinct_nodes(found.unionByName(found))).count() == 2
 
 
 def test_paths(spark, rows):
@@ -431,5 +435,5 @@ def test_flatten(spark):
 
 def test_hop_nodes(spark, rows):
     nodes, edges = shown_graph(spark)
-    found = hop_nodes(match_pattern(nodes, edges, "R", nodes, "G", "C"))
-    assert found.count() == 6 and fixed.PALETTE[0] == "#FF5733"
+    hops_found = match_pattern(nodes, edges.filter("src_key = '1'"), "R", nodes, "G", "C")
+    assert rows(hop_nodes(hops_found, nodes), "label", "key") == [("C", "1"), ("C", "2"), ("G", "1")]
