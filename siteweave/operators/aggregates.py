@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import has_text
+from .joins import split_join
 
 
 def avg_over_edges(
@@ -27,8 +28,9 @@ def avg_over_edges(
     Groups without any value are dropped; an average of 0 is kept.
     """
     per_source = (
-        edges.select(src_key, dst_key)
-        .join(targets.select(dst_key, F.col(value_col).alias("_value")), dst_key)
+        split_join(
+            edges.select(src_key, dst_key), targets.select(dst_key, F.col(value_col).alias("_value")), dst_key
+        )
         .groupBy(src_key)
         .agg(F.sum("_value").alias("_sum"), F.count("_value").alias("_count"))
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, tag_label
 from .graph import as_edges
+from .joins import split_join
 
 
 def entity_nodes(tokens: DataFrame) -> DataFrame:
@@ -32,5 +33,5 @@ def cooccurrence(
             "doc", F.col("word").alias(alias)
         ).distinct()
 
-    pairs = named(class_a, "src").join(named(class_b, "dst"), "doc")
+    pairs = split_join(named(class_a, "src"), named(class_b, "dst"), "doc")
     return as_edges(pairs, fixed.COMPANY, "src", rel, fixed.PRODUCT, "dst")

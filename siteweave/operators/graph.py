@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_key
+from .joins import split_join
 from .ranking import dedupe_first
 
 NODE = ["label", "key"]
@@ -137,9 +138,8 @@ def with_endpoints(candidates: DataFrame, nodes: DataFrame) -> DataFrame:
     """Candidate edges whose two ends exist."""
     src = nodes.select(F.col("label").alias("src_label"), F.col("key").alias("src_key"))
     dst = nodes.select(F.col("label").alias("dst_label"), F.col("key").alias("dst_key"))
-    return candidates.join(src, ["src_label", "src_key"], "left_semi").join(
-        dst, ["dst_label", "dst_key"], "left_semi"
-    ).select(*EDGE)
+    started = split_join(candidates, src, ["src_label", "src_key"], "left_semi")
+    return split_join(started, dst, ["dst_label", "dst_key"], "left_semi").select(*EDGE)
 
 
 def merge_edges(edges: DataFrame, candidates: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def merge_edges(edges: DataFrame, candidates: DataFrame, nodes: DataFrame) -> Da
 def replace_edges(edges: DataFrame, new: DataFrame) -> DataFrame:
     """Detach the sources' old edges of the same type, then attach the new ones."""
     replaced = new.select("src_label", "src_key", "rel_type").distinct()
-    kept = edges.join(replaced, ["src_label", "src_key", "rel_type"], "left_anti")
+    kept = split_join(edges, replaced, ["src_label", "src_key", "rel_type"], "left_anti")
     return kept.select(*EDGE).unionByName(new.select(*EDGE).distinct())
 
 
@@ -158,7 +158,7 @@ def detached(before: DataFrame, new: DataFrame) -> DataFrame:
     """Targets the sources of `new` pointed to before, as (label, key)."""
     replaced = new.select("src_label", "src_key", "rel_type").distinct()
     return (
-        before.join(replaced, ["src_label", "src_key", "rel_type"], "left_semi")
+        split_join(before, replaced, ["src_label", "src_key", "rel_type"], "left_semi")
         .select(F.col("dst_label").alias("label"), F.col("dst_key").alias("key"))
         .distinct()
     )
@@ -196,6 +196,5 @@ def match_pattern(
     dst = targets.filter(F.col("label") == dst_label).select(
         F.col("key").alias("dst_key"), F.col("props").alias("dst_props")
     )
-    return (
-        hops.join(src, "src_key").join(dst, "dst_key").select(*EDGE, "src_props", "dst_props")
-    )
+    started = split_join(hops, src, "src_key")
+    return split_join(started, dst, "dst_key").select(*EDGE, "src_props", "dst_props")

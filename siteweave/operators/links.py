@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import as_key, code_name, fixed, has_number, utc_year
 from .graph import EDGE, as_edges, as_nodes, with_endpoints
+from .joins import split_join
 from .ranking import dedupe_first
 
 # Fields of a landed document, as declared to the JSON reader.
@@ -199,7 +200,7 @@ def attach_by_name(
     """
     named = items.filter(F.col(name).isNotNull()).select(name, item_key)
     owners = games.select(name, as_key(F.col("key")).alias("_owner"))
-    attached = named.join(owners, name, "left").withColumn("_owner", F.coalesce("_owner", name))
-    missing = named.select(name).distinct().join(games.select(name).distinct(), name, "left_anti")
+    homeless = split_join(named, games.select(name).distinct(), name, "left_anti")
+    attached = split_join(owners, named, name).unionByName(homeless.withColumn("_owner", F.col(name)))
     edges = as_edges(attached, fixed.GAME, "_owner", rel, item_label, item_key)
-    return edges, as_nodes(missing, fixed.GAME, name, [name])
+    return edges, as_nodes(homeless.select(name).distinct(), fixed.GAME, name, [name])

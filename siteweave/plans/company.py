@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed, persona_prompt, row_json
 from ..operators.enrich import describe, enrich
 from ..operators.filters import exclude_ilike, exclude_like
+from ..operators.joins import split_join
 from ..operators.ranking import assign_uid, dedupe_first
 
 COMPANY = [
@@ -37,7 +38,7 @@ def stage_companies(companies: DataFrame, scraped: DataFrame, page_order: Sequen
     `page_order` names scrape columns that tell a site's scrapes apart, so that a
     site with very many of them still sorts over several tasks.
     """
-    fanned = companies.join(scraped.select("website", *page_order), "website")
+    fanned = split_join(companies, scraped.select("website", *page_order), "website")
     rest = [c for c in companies.columns if c != "website"]
     return assign_uid(fanned, ["website", *rest, *page_order]).drop(*page_order)
 
@@ -74,8 +75,8 @@ def company_pages(staged: DataFrame, scraped: DataFrame, page_order: Sequence[st
     order = [c for c in found.columns if c.startswith("_order_")]
     copies = found.groupBy("site").agg(F.count(F.lit(1)).alias("page_copies"))
     first = dedupe_first(found, ["site"], order).join(copies, "site")
-    joined = usable_companies(staged).join(first, F.trim(F.col("website")) == F.col("site"))
-    return joined.select(*CHAIN, "page_copies")
+    sited = usable_companies(staged).withColumn("site", F.trim("website"))
+    return split_join(sited, first, "site").select(*CHAIN, "page_copies")
 
 
 def company_chain(companies: DataFrame, scraped: DataFrame, page_order: Sequence[str]) -> DataFrame:
@@ -89,7 +90,7 @@ def company_chain(companies: DataFrame, scraped: DataFrame, page_order: Sequence
     first_company = dedupe_first(usable_companies(staged), ["website"], ["UID"], "RowNumCounter")
     found = _site_pages(scraped, page_order)
     first_page = dedupe_first(found, ["site"], [c for c in found.columns if c.startswith("_order_")])
-    joined = first_company.join(first_page, F.trim(F.col("website")) == F.col("site"))
+    joined = split_join(first_company.withColumn("site", F.trim("website")), first_page, "site")
     return joined.select(*CHAIN, "RowNumCounter", F.lit(1).cast("long").alias("RowNum"))
 
 

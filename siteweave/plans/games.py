@@ -53,9 +53,10 @@ from ..operators.links import (
     similar_edges,
     similar_to,
 )
+from ..operators.joins import split_join
 from ..operators.ranking import dedupe_first, top_k, top_n
 from ..session import shared_dir
-from ..sources.tables import read_payload, search_first
+from ..sources.tables import lookup_by_ids, read_payload, search_first
 
 Graph = tuple[DataFrame, DataFrame]
 
@@ -119,9 +120,11 @@ def stream_graph(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Stream nodes, HAS_STREAM edges and games to create, for k streams per game name.
 
-    games(key, name); streams(name, stream_id, title, viewer_count, user_name).
+    games(key, name); streams(name, stream_id, title, viewer_count, user_name). The
+    streams are ranked once; the few that are left feed all three results.
     """
-    best = top_k(streams, ["name"], order_by, k)
+    shared_dir(streams.sparkSession)
+    best = top_k(streams, ["name"], order_by, k).checkpoint()
     nodes = assign_props(best, fixed.STREAM, "stream_id", ["title", "viewer_count", "user_name"])
     edges, created = attach_by_name(games, best, "name", "stream_id", fixed.HAS_STREAM, fixed.STREAM)
     return nodes, edges, created
@@ -138,7 +141,7 @@ def _add_games(graph: Graph, games: DataFrame, streams: DataFrame, k: int, order
     own = assign_props(games, fixed.GAME, "key", ["name", "box_art_url"])
     ids = assign_props(games, fixed.CATALOG_ID, "key")
     # Streams are looked up for the games of this pass only, and attached to all of the name.
-    wanted = streams.join(games.select("name").distinct(), "name", "left_semi")
+    wanted = lookup_by_ids(streams, games, "name")
     owners = game_columns(merge_props(nodes, own))
     best, stream_edges, _ = stream_graph(owners, wanted, k, order)
     nodes = merge_props(nodes, own.unionByName(ids).unionByName(best))
@@ -171,7 +174,7 @@ def similar_games(docs: DataFrame, catalogue: DataFrame, order_by: Sequence[Colu
         named.distinct().filter(has_text(F.col("name"))), ["key"], [F.col("box_art_url").desc(), "name"]
     )
     found = search_first(games, catalogue.select("name").withColumnRenamed("name", "_hit"), "name", "_hit", ["_hit"])
-    return games.join(found.select("name"), "name", "left_semi").select("key", "name", "box_art_url")
+    return lookup_by_ids(games, found, "name").select("key", "name", "box_art_url")
 
 
 def ingest_similar_games(
@@ -205,7 +208,7 @@ def average_view_graph(games: DataFrame, averages: DataFrame, key: Column) -> Gr
     nodes = assign_props(
         valued.select(F.col("_value").alias("value")).distinct(), fixed.AVERAGE_VIEWS, "value", ["value"]
     )
-    owners = games.select("key", "name").join(valued, "name")
+    owners = split_join(games.select("key", "name"), valued, "name")
     return nodes, as_edges(
         owners, fixed.GAME, "key", fixed.HAS_AVERAGE_VIEW_COUNT, fixed.AVERAGE_VIEWS, "_value"
     )
@@ -310,7 +313,7 @@ def ingest_company_summaries(graph: Graph, summaries: DataFrame) -> Graph:
         "key", F.try_element_at("props", F.lit("name")).alias("name")
     )
     links = as_edges(
-        companies.join(summaries, "name"), fixed.COMPANY, "key", fixed.HAS_SUMMARY, fixed.COMPANY_SUMMARY, "summary"
+        split_join(companies, summaries, "name"), fixed.COMPANY, "key", fixed.HAS_SUMMARY, fixed.COMPANY_SUMMARY, "summary"
     )
     fresh = assign_props(
         links.select(F.col("dst_key").alias("summary")).distinct(), fixed.COMPANY_SUMMARY, "summary", ["summary"]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import has_text, words
+from ..operators.joins import split_join
 from ..operators.ranking import dedupe_first
 
 
@@ -42,13 +43,13 @@ def explode_list(df: DataFrame, col: str, alias: str | None = None) -> DataFrame
 
 def lookup_by_ids(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Documents of the known ids; ids without a document simply yield nothing."""
-    return docs.join(ids.select(key).distinct(), key, "left_semi")
+    return split_join(docs, ids.select(key).distinct(), key, "left_semi")
 
 
 def net_new(source: DataFrame, seen: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Source rows whose key has not been ingested yet."""
     keys = [key] if isinstance(key, str) else list(key)
-    return source.join(seen.select(*keys).distinct(), keys, "left_anti")
+    return split_join(source, seen.select(*keys).distinct(), keys, "left_anti")
 
 
 def split_rejects(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
@@ -99,7 +100,7 @@ def search_first(
         docs.withColumn("_words", words(F.col(text_col)))
         .withColumn("_phrase", F.explode(F.array_distinct(F.concat(*[runs(n) for n in lengths]))))
         .drop("_words", text_col)
-        .join(wanted.select("_phrase").distinct(), "_phrase", "left_semi")
     )
-    first = dedupe_first(phrases, ["_phrase"], order_by)
+    found = lookup_by_ids(phrases, wanted, "_phrase")
+    first = dedupe_first(found, ["_phrase"], order_by)
     return wanted.join(first, "_phrase").drop("_phrase", "_n")
