@@ -142,9 +142,25 @@ def with_endpoints(candidates: DataFrame, nodes: DataFrame) -> DataFrame:
     return split_join(started, dst, ["dst_label", "dst_key"], "left_semi").select(*EDGE)
 
 
+def new_edges(edges: DataFrame, added: DataFrame) -> DataFrame:
+    """Distinct rows of `added` that the graph does not hold yet.
+
+    These can be appended to the stored edges. The graph is only probed: few added
+    edges are broadcast to it, and it is not shuffled.
+    """
+    fresh = added.select(*EDGE).distinct()
+    held = edges.select(*EDGE).join(fresh, EDGE, "left_semi")
+    return fresh.join(held, EDGE, "left_anti")
+
+
+def add_edges(edges: DataFrame, added: DataFrame) -> DataFrame:
+    """The graph's edges and the new ones among `added`; an edge is never there twice."""
+    return edges.select(*EDGE).unionByName(new_edges(edges, added))
+
+
 def merge_edges(edges: DataFrame, candidates: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Add the candidates between existing nodes; an edge is never there twice."""
-    return edges.select(*EDGE).unionByName(with_endpoints(candidates.select(*EDGE).distinct(), nodes)).distinct()
+    """Add those candidates whose two ends exist."""
+    return add_edges(edges, with_endpoints(candidates.select(*EDGE).distinct(), nodes))
 
 
 def replace_edges(edges: DataFrame, new: DataFrame) -> DataFrame:

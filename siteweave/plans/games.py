@@ -21,6 +21,7 @@ from ..functions import (
     has_text,
     html_to_text,
     iso_stamp,
+    json_object,
     site_prompt,
     company_prompt,
     text_or,
@@ -29,6 +30,7 @@ from ..operators.aggregates import avg_over_edges
 from ..operators.enrich import describe, enrich
 from ..operators.graph import (
     EDGE,
+    add_edges,
     NODE,
     as_edges,
     as_nodes,
@@ -56,7 +58,7 @@ from ..operators.links import (
 from ..operators.joins import split_join
 from ..operators.ranking import dedupe_first, top_k, top_n
 from ..session import shared_dir
-from ..sources.tables import lookup_by_ids, read_payload, search_first
+from ..sources.tables import lookup_by_ids, read_payload, search_first, split_rejects
 
 Graph = tuple[DataFrame, DataFrame]
 
@@ -72,6 +74,15 @@ def game_columns(nodes: DataFrame) -> DataFrame:
     return _label(nodes, fixed.GAME).select("key", F.try_element_at("props", F.lit("name")).alias("name"))
 
 
+def split_documents(landed: DataFrame, id_field: str = "id") -> tuple[DataFrame, DataFrame]:
+    """Landed rows with a usable `payload`, and the others with the reason."""
+    blob = json_object(F.col("payload"))
+    reason = F.when(blob.isNull(), "no JSON object").when(
+        ~has_text(F.try_element_at(blob, F.lit(id_field))), f"no {id_field}"
+    )
+    return split_rejects(landed, reason)
+
+
 def newest_documents(landed: DataFrame, nodes: DataFrame, order_by: Sequence[Column | str]) -> DataFrame:
     """First landed document in `order_by` of every catalogue id in the graph: (key, payload).
 
@@ -112,7 +123,7 @@ def ingest_documents(graph: Graph, landed: DataFrame, order_by: Sequence[Column
     named = F.when(F.col("name").isNotNull(), F.array(F.lit("name"))).otherwise(F.array().cast("array<string>"))
     targets = link_targets(own).select("label", "key", props_map(["name"]), named.alias("sets"))
     added = link_edges(own, nodes).unionByName(similar_edges(links, nodes))
-    return merge_props(nodes, updates.unionByName(targets)), edges.select(*EDGE).unionByName(added).distinct()
+    return merge_props(nodes, updates.unionByName(targets)), add_edges(edges, added)
 
 
 def stream_graph(
@@ -145,7 +156,7 @@ def _add_games(graph: Graph, games: DataFrame, streams: DataFrame, k: int, order
     owners = game_columns(merge_props(nodes, own))
     best, stream_edges, _ = stream_graph(owners, wanted, k, order)
     nodes = merge_props(nodes, own.unionByName(ids).unionByName(best))
-    return nodes, edges.select(*EDGE).unionByName(catalogue_edges(games)).unionByName(stream_edges).distinct()
+    return nodes, add_edges(edges, catalogue_edges(games).unionByName(stream_edges))
 
 
 def ingest_top_games(

@@ -8,7 +8,7 @@ from ...functions import fetch_status, persona_prompt, row_json
 from ...operators.filters import country_view
 from ...operators.ranking import assign_uid
 from ...session import new_table_path
-from ...sources import append, read_table
+from ...sources import append, read_table, upsert
 from .. import adapters, company
 from .base import COMPANIES, SCRAPED, query
 
@@ -126,6 +126,22 @@ def persona_table(spark, folder):
     return told.select("UID", F.col("persona").rlike(r"^\d+ characters, \d+ words$").alias("described"))
 
 
+@query(
+    "persona_upsert",
+    _STAGED
+    + """SELECT staged.uid AS "UID", chain."UID" IS NOT NULL AS told
+         FROM staged LEFT JOIN chain ON chain."UID" = staged.uid""",
+)
+def persona_upsert(spark, folder):
+    """A table of personas still to be told for all staged rows, with those of the clean rows merged in."""
+    staged = company.stage_companies(
+        adapters.companies(spark, folder), adapters.scraped(spark, folder), PAGE_ORDER
+    )
+    waiting = staged.select("UID", F.lit("").alias("persona"))
+    told = upsert(waiting, company.personas(_chain(spark, folder)), "UID", ["persona"])
+    return told.select("UID", (F.col("persona") != "").alias("told"))
+
+
 @query(
     "assign_uid",
     'SELECT c_custkey, c_mktsegment, row_number() OVER (ORDER BY c_mktsegment, c_custkey) AS "UID" FROM customer',

@@ -454,6 +454,129 @@ def company_nodes(spark, folder):
     return nodes.select("label", "key", prop("name"), prop("description"))
 
 
+# --- whole passes ------------------------------------------------------------
+
+
+@query(
+    "top_games_pass",
+    """WITH top AS (
+         SELECT l_partkey FROM lineitem GROUP BY 1 ORDER BY sum(l_quantity) DESC, l_partkey LIMIT 10),
+       names AS (SELECT DISTINCT p_name FROM part WHERE p_partkey IN (SELECT l_partkey FROM top)),
+       best AS (
+         SELECT p_name, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS stream_id
+         FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_name IN (SELECT p_name FROM names)
+         QUALIFY row_number() OVER (PARTITION BY p_name
+           ORDER BY l_quantity DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) <= 5)
+       SELECT 'Game' AS src_label, CAST(l_partkey AS VARCHAR) AS src_key, 'HAS_CATALOG_ID' AS rel_type,
+              'Catalog_ID' AS dst_label, CAST(l_partkey AS VARCHAR) AS dst_key FROM top
+       UNION ALL SELECT 'Game', CAST(p_partkey AS VARCHAR), 'HAS_STREAM', 'Stream', stream_id
+       FROM best JOIN part USING (p_name)""",
+)
+def top_games_pass(spark, folder):
+    """Edges after taking in the ten most viewed games and the first streams of their names."""
+    streams = _named_streams(spark, folder)
+    viewers = streams.groupBy(F.col("game_key").alias("key"), "l_partkey").agg(F.sum("viewer_count").alias("viewers"))
+    parts = adapters.games(spark, folder).select("key", "name", "box_art_url")
+    nodes = adapters.game_nodes(spark, folder)
+    _, edges = games.ingest_top_games(
+        (nodes, _no_edges(nodes)),
+        viewers.join(parts, "key"),
+        streams,
+        [latest("viewers"), "l_partkey"],
+        [latest("viewer_count"), *adapters.LINE_ID],
+    )
+    return edges
+
+
+def _customer_streams(spark, folder):
+    named = read_table(spark, folder, "customer").select(
+        as_key(F.col("c_custkey")).alias("game_key"), F.col("c_name").alias("name")
+    )
+    return adapters.streams(spark, folder).join(named, "game_key")
+
+
+@query(
+    "similar_games_pass",
+    _SIMILAR_GAMES
+    + """, best AS (
+           SELECT c_name AS name, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS stream_id,
+                  l_quantity AS viewers
+           FROM lineitem JOIN customer ON c_custkey = l_partkey WHERE c_name IN (SELECT name FROM similar_games)
+           QUALIFY row_number() OVER (PARTITION BY c_name
+             ORDER BY l_quantity DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) <= 3)
+         SELECT 'Game' AS label, key, name, CAST(NULL AS DOUBLE) AS viewers FROM similar_games
+         UNION ALL SELECT 'Stream', stream_id, NULL, viewers FROM best
+         UNION ALL SELECT DISTINCT 'Catalog_ID', key, NULL, NULL FROM (
+           SELECT CAST(p_partkey AS VARCHAR) AS key FROM part UNION SELECT key FROM similar_games)""",
+)
+def similar_games_pass(spark, folder):
+    """Nodes after taking in the similar games of all documents, with their first streams."""
+    docs = read_payload(adapters.similar_documents(spark, folder), "payload", L.SIMILAR_SCHEMA)
+    catalogue = read_table(spark, folder, "customer").select(F.col("c_name").alias("name"))
+    ids = adapters.catalogue_nodes(spark, folder)
+    nodes, _ = games.ingest_similar_games(
+        (ids, _no_edges(ids)),
+        docs,
+        catalogue,
+        _customer_streams(spark, folder),
+        [latest("viewer_count"), *adapters.LINE_ID],
+    )
+    prop = lambda name: F.try_element_at("props", F.lit(name))
+    return nodes.select("label", "key", prop("name").alias("name"), prop("viewer_count").cast("double").alias("viewers"))
+
+
+def _average_sql(columns):
+    runs = " UNION ".join(
+        f"SELECT p_name, round(avg({column}), 4) AS value FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1"
+        for column in columns
+    )
+    return f"""SELECT CAST(p_partkey AS VARCHAR) AS src_key, value FROM ({runs}) JOIN part USING (p_name)"""
+
+
+def _average_runs(spark, folder, replace):
+    """A run on the streams' viewers, then one on changed viewer counts."""
+    lines = read_table(spark, folder, "lineitem")
+    key = F.concat_ws("-", *adapters.LINE_ID)
+    edges = as_edges(
+        adapters.streams(spark, folder), fixed.GAME, "game_key", fixed.HAS_STREAM, fixed.STREAM, "stream_id"
+    )
+    for column in ("l_quantity", "l_linenumber"):
+        viewed = lines.withColumn("viewer_count", F.col(column).cast("double"))
+        nodes = adapters.game_nodes(spark, folder).unionByName(as_nodes(viewed, fixed.STREAM, key, ["viewer_count"]))
+        _, edges = games.ingest_average_views((nodes, edges), replace)
+    found = edges.filter(F.col("rel_type") == fixed.HAS_AVERAGE_VIEW_COUNT)
+    return found.select("src_key", F.round(F.col("dst_key").cast("double"), 4).alias("value"))
+
+
+@query("average_views_rerun", _average_sql(["l_quantity", "l_linenumber"]))
+def average_views_rerun(spark, folder):
+    """Merged averages: those of the first run stay."""
+    return _average_runs(spark, folder, replace=False)
+
+
+@query("average_views_replaced", _average_sql(["l_linenumber"]))
+def average_views_replaced(spark, folder):
+    return _average_runs(spark, folder, replace=True)
+
+
+@query(
+    "company_summary_pass",
+    """WITH told AS (
+         SELECT s_suppkey, 'Give me a 500 character summary about the ' || s_name || ' game company.' AS prompt FROM supplier)
+       SELECT 'Company' AS src_label, CAST(s_suppkey AS VARCHAR) AS src_key, 'HAS_SUMMARY' AS rel_type,
+              'AI_Company_Summary' AS dst_label,
+              length(prompt) || ' characters, ' || len(string_split(prompt, ' ')) || ' words' AS dst_key
+       FROM told""",
+)
+def company_summary_pass(spark, folder):
+    """Edges after giving every company the summary the text function makes of its prompt."""
+    nodes = as_nodes(
+        read_table(spark, folder, "supplier").withColumnRenamed("s_name", "name"), fixed.COMPANY, "s_suppkey", ["name"]
+    )
+    _, edges = games.ingest_company_summaries((nodes, _no_edges(nodes)), games.company_summaries(nodes))
+    return edges
+
+
 # --- summaries ---------------------------------------------------------------
 
 _SUMMARIES = """
@@ -555,6 +678,23 @@ def graph_snapshot(spark, folder):
     )
 
 
+@query(
+    "document_rejects",
+    """SELECT event_id, CASE WHEN event_type = 'error' THEN 'no JSON object' WHEN event_type = 'click' THEN 'no k' END AS reason
+       FROM events WHERE event_type IN ('error', 'click')""",
+)
+def document_rejects(spark, folder):
+    """Events as documents: errors are cut off, clicks name another field."""
+    props = F.col("props")
+    payload = (
+        F.when(F.col("event_type") == "error", F.expr("left(props, length(props) - 1)"))
+        .when(F.col("event_type") == "click", F.replace(props, F.lit('"k"'), F.lit('"other"')))
+        .otherwise(props)
+    )
+    events = read_table(spark, folder, "events").select("event_id", payload.alias("payload"))
+    return games.split_documents(events, "k")[1].select("event_id", "reason")
+
+
 @query(
     "known_documents",
     """SELECT CAST(l_partkey AS VARCHAR) AS id, count(*) AS n_docs FROM lineitem

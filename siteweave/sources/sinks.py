@@ -37,7 +37,8 @@ def upsert(
     """Existing rows, with the first incoming row per key taking a key's place.
 
     The existing side is only probed by key: a small increment is broadcast to it
-    and it is not shuffled.
+    and it is not shuffled. The increment is read twice, so pass a table rather than
+    the end of a long plan.
     """
     keys = [key] if isinstance(key, str) else list(key)
     latest = dedupe_first(incoming, keys, order_by).select(*existing.columns)
