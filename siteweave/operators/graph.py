@@ -73,11 +73,11 @@ def merge_nodes(
 ) -> DataFrame:
     """Insert missing keys; for known keys overwrite `set_cols`, null included.
 
-    Of several incoming rows per key the first in `order_by` counts; order by the
+    Rows without a key make no node. Of several incoming rows per key the first in `order_by` counts; order by the
     latest first for last-write-wins.
     """
     keys = list(key)
-    fresh = dedupe_first(incoming, keys, order_by).select(
+    fresh = dedupe_first(incoming.dropna(subset=keys), keys, order_by).select(
         *keys, *[F.col(c).alias(f"_new_{c}") for c in set_cols], F.lit(True).alias("_hit")
     )
     merged = nodes.join(fresh, keys, "full_outer")

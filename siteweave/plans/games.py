@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (
     as_key,
+    company_prompt,
     default_if_falsy,
     epoch_timestamp,
     first_chars,
@@ -23,7 +24,6 @@ from ..functions import (
     iso_stamp,
     json_object,
     site_prompt,
-    company_prompt,
     text_or,
 )
 from ..operators.aggregates import avg_over_edges
@@ -31,7 +31,6 @@ from ..operators.enrich import describe, enrich
 from ..operators.graph import (
     EDGE,
     add_edges,
-    NODE,
     as_edges,
     as_nodes,
     assign_props,
@@ -43,11 +42,12 @@ from ..operators.graph import (
     props_map,
     replace_edges,
 )
+from ..operators.joins import split_join
 from ..operators.links import (
     BASE_SCHEMA,
-    attach_by_name,
     DOCUMENT_RULES,
     LINK_SCHEMA,
+    attach_by_name,
     document_links,
     known_links,
     link_edges,
@@ -55,7 +55,6 @@ from ..operators.links import (
     similar_edges,
     similar_to,
 )
-from ..operators.joins import split_join
 from ..operators.ranking import dedupe_first, top_k, top_n
 from ..session import shared_dir
 from ..sources.tables import lookup_by_ids, read_payload, search_first, split_rejects
@@ -91,7 +90,7 @@ def newest_documents(landed: DataFrame, nodes: DataFrame, order_by: Sequence[Col
     inner join on unique keys, since a semi join would be moved below the ranking.
     """
     keyed = read_payload(landed, "payload", "id long", keep=True).withColumn("key", as_key(F.col("id")))
-    newest = dedupe_first(keyed, ["key"], order_by).select("key", "payload")
+    newest = dedupe_first(keyed.filter("key IS NOT NULL"), ["key"], order_by).select("key", "payload")
     return newest.join(_label(nodes, fixed.CATALOG_ID).select("key"), "key")
 
 
@@ -136,7 +135,8 @@ def stream_graph(
     """
     shared_dir(streams.sparkSession)
     best = top_k(streams, ["name"], order_by, k).checkpoint()
-    nodes = assign_props(best, fixed.STREAM, "stream_id", ["title", "viewer_count", "user_name"])
+    once = dedupe_first(best, ["stream_id"], order_by)  # a stream may be listed under two names
+    nodes = assign_props(once, fixed.STREAM, "stream_id", ["title", "viewer_count", "user_name"])
     edges, created = attach_by_name(games, best, "name", "stream_id", fixed.HAS_STREAM, fixed.STREAM)
     return nodes, edges, created
 

@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ...functions import fixed
 from ...session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,12 +59,8 @@ docs AS (
          CAST(l_quantity AS INTEGER) % 20 AS game_type, l_suppkey % 7 AS franchise
   FROM lineitem)"""
 
-_TYPE_NAMES = (
-    "main_game dlc_addon expansion bundle standalone_expansion mod episode season "
-    "remake remaster expanded_game port fork pack update"
-).split()
 TYPES = "types(code, type_name) AS (VALUES " + ", ".join(
-    f"({code}, '{name}')" for code, name in enumerate(_TYPE_NAMES)
+    f"({code}, '{name}')" for code, name in fixed.GAME_TYPES.items()
 ) + ")"
 
 LABEL_NODES = """

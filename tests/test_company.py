@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from siteweave.operators.filters import country_view
 from siteweave.plans.company import CHAIN, COMPANY, company_chain, company_pages, personas, stage_companies
+from siteweave.session import new_table_path
+from siteweave.sources import append_new
 
 ORDER = ["createdate", "page"]
 
@@ -103,3 +105,12 @@ def test_hot_site(spark):
     out = company_chain(firms, pages, ORDER)
     assert out.count() == n - n // 3 + 1
     assert out.filter("website = 'hot'").first().SCRAPPEDDATA == "t0"
+
+
+def test_nightly_rerun_adds_only_new_sites(spark, rows):
+    path = new_table_path(spark, "clean")
+    firms = companies(spark, firm("a"), firm("b"), firm("c"))
+    nights = [[("a", "1"), ("b", "HTTP Error")], [("a", "1"), ("b", "HTTP Error"), ("b", "2"), ("a", "3")]]
+    for scrapes in nights:
+        append_new(company_chain(firms, scraped(spark, *scrapes), ORDER), path, "website")
+    assert rows(spark.read.parquet(path), "website", "SCRAPPEDDATA") == [("a", "1"), ("b", "2")]
