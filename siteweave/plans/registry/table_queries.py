@@ -27,12 +27,14 @@ from ...sources import (
     explode_list,
     lookup_by_ids,
     net_new,
+    read_landed,
     read_payload,
     read_table,
     search_first,
     split_rejects,
     spread,
     upsert,
+    write_snapshot,
 )
 from .. import adapters
 from .base import DOCS, LATEST_LINE, TYPES, query
@@ -82,6 +84,40 @@ def upsert_latest(spark, folder):
     return upsert(existing, incoming, "key", [latest("o_orderdate"), latest("o_orderkey")])
 
 
+@query(
+    "upsert_rounds",
+    """SELECT vec_id, round_no, label FROM (
+         SELECT vec_id, 0 AS round_no, label FROM embeddings
+         UNION ALL SELECT vec_id * 2, 1, label FROM embeddings
+         UNION ALL SELECT vec_id * 3, 2, label FROM embeddings)
+       QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round_no DESC) = 1""",
+)
+def upsert_rounds(spark, folder):
+    """A table merged into twice, each time from the snapshot written before."""
+    vectors = read_table(spark, folder, "embeddings").select("vec_id", "label")
+    place = new_table_path(spark, "vectors")
+    current = write_snapshot(vectors.withColumn("round_no", F.lit(0)), place)
+    for number in (1, 2):
+        changed = vectors.select((F.col("vec_id") * (number + 1)).alias("vec_id"), "label", F.lit(number).alias("round_no"))
+        current = write_snapshot(upsert(spark.read.parquet(current), changed, "vec_id", ["label"]), place)
+    return spark.read.parquet(current)
+
+
+@query(
+    "landed_files",
+    """SELECT role, count(*) AS n_turns, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM conversations GROUP BY 1""",
+)
+def landed_files(spark, folder):
+    """Messages landed as JSON lines, read back and parsed."""
+    path = new_table_path(spark, "landing")
+    turns = read_table(spark, folder, "conversations").select(F.to_json(F.struct("*")).alias("value"))
+    turns.write.text(path)
+    parsed = read_payload(read_landed(spark, path), "payload", "role string, text string")
+    return parsed.groupBy("role").agg(
+        F.count(F.lit(1)).alias("n_turns"), F.sum(F.length("text")).alias("n_chars")
+    )
+
+
 @query(
     "vector_upsert",
     """WITH changed AS (

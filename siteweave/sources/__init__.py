@@ -1,8 +1,9 @@
-from .sinks import append, append_new, read_graph, upsert, write_graph  # noqa: F401
+from .sinks import append, append_new, read_graph, upsert, write_graph, write_snapshot  # noqa: F401
 from .tables import (  # noqa: F401
     explode_list,
     lookup_by_ids,
     net_new,
+    read_landed,
     read_payload,
     read_table,
     search_first,

@@ -45,6 +45,13 @@ def upsert(
     return net_new(existing, latest, keys).unionByName(latest)
 
 
+def write_snapshot(df: DataFrame, folder: str) -> str:
+    """Write a table under a new name, so that it may be computed from the one before it."""
+    path = f"{folder.rstrip('/')}/snapshot-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def write_graph(nodes: DataFrame, edges: DataFrame, folder: str) -> str:
     """Write a new snapshot; the one it was computed from stays as it is.
 

@@ -16,6 +16,17 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """Landed files of one JSON document per line: (payload, landed_at).
+
+    The lines stay text, so that a broken one can be rejected by itself. `landed_at`
+    is the time of the file, the order in which documents replace each other.
+    """
+    return spark.read.text(path).select(
+        F.col("value").alias("payload"), F.col("_metadata.file_modification_time").alias("landed_at")
+    )
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows out to all cores where a scan has fewer tasks than there are cores.
 
@@ -87,7 +98,8 @@ def search_first(
     # One row per different probe length, so only a handful.
     lengths = sorted(row["_n"] for row in wanted.select("_n").distinct().collect())
     if not lengths:
-        return wanted.select(probe_col).join(docs.drop(text_col), F.lit(False))
+        nothing = docs.drop(text_col).limit(0)
+        return nothing.select(F.lit(None).cast("string").alias(probe_col), "*")
 
     def runs(n: int) -> Column:
         start = F.when(F.size("_words") >= n, F.sequence(F.lit(1), F.size("_words") - (n - 1)))

@@ -1,6 +1,7 @@
 """Sources, sinks, ranking and lookups on hand-made rows."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from siteweave.operators.entities import cooccurrence, entity_nodes
 from siteweave.operators.lookups import company_website
 from siteweave.operators.ranking import assign_uid, colour_index, dedupe_first, top_k
 from siteweave.plans.company import usable_pages
+from siteweave.plans.games import split_documents
 from siteweave.session import new_table_path, shared_dir
 from siteweave.sources import (
     append,
@@ -18,11 +20,13 @@ from siteweave.sources import (
     lookup_by_ids,
     net_new,
     read_graph,
+    read_landed,
     read_payload,
     search_first,
     split_rejects,
     upsert,
     write_graph,
+    write_snapshot,
 )
 
 
@@ -95,6 +99,28 @@ def test_payload(spark, rows):
     assert rows(explode_list(parsed, "genres", "g").select("id", "g.id", "g.name")) == [(7, 1, "x"), (7, 2, None)]
 
 
+def test_landed_files(spark, rows):
+    """A later file replaces an earlier one's document; a broken line is rejected by itself."""
+    path = new_table_path(spark, "landing")
+    for line in ['{"id": 1, "v": "old"}', '{"id": 1, "v": "new"}', '{"id": 2, "v', '{"v": "x"}']:
+        spark.createDataFrame([(line,)], "value string").write.mode("append").text(path)
+        time.sleep(0.05)
+    landed = read_landed(spark, path)
+    good, bad = split_documents(landed)
+    assert rows(bad, "reason") == [("no JSON object",), ("no id",)]
+    parsed = read_payload(good, "payload", "id long, v string")
+    assert rows(dedupe_first(parsed, ["id"], [F.col("landed_at").desc()]), "id", "v") == [(1, "new")]
+
+
+def test_snapshots_feed_the_next(spark, rows):
+    folder = new_table_path(spark, "table")
+    path = write_snapshot(spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string"), folder)
+    for value in ("c", "d"):
+        incoming = spark.createDataFrame([(2, value)], "id int, v string")
+        path = write_snapshot(upsert(spark.read.parquet(path), incoming, "id", ["v"]), folder)
+    assert rows(spark.read.parquet(path)) == [(1, "a"), (2, "d")]
+
+
 def test_search_first(spark, rows):
     docs = spark.createDataFrame(
         [(1, "the red ring of power"), (2, "Red Ring"), (3, "red"), (4, "spring red ringing"), (5, None), (6, "red")],
