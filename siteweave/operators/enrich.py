@@ -19,7 +19,8 @@ def enrich(
 ) -> DataFrame:
     """Add `fn` of a text column; null text gives null.
 
-    Where `fn` fails, `value` stores the message as the value and `skip` drops the
+    The result is lazy; `keep` it before several results are made from it, so that
+    a function that answers differently each time is asked once. Where `fn` fails, `value` stores the message as the value and `skip` drops the
     row. Only the text goes to the Python workers, in Arrow batches.
     """
     if on_error not in ("value", "skip"):

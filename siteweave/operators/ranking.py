@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..session import shared_dir
+from ..session import keep
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
@@ -22,13 +22,9 @@ def assign_uid(df: DataFrame, order_cols: Sequence[Column | str], uid: str = "UI
     spread over ranges by the columns after them. The sorted rows are checkpointed
     because a second sort may draw other range borders.
     """
-    shared_dir(df.sparkSession)
     low = F.lit((1 << _ROW_BITS) - 1)
-    placed = (
-        df.orderBy(*order_cols)
-        .withColumn("_slot", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("_range", F.shiftright("_slot", _ROW_BITS))
+    placed = keep(df.orderBy(*order_cols).withColumn("_slot", F.monotonically_increasing_id())).withColumn(
+        "_range", F.shiftright("_slot", _ROW_BITS)
     )
     # One row per sort partition; small whatever the data.
     counts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))

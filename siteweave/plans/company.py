@@ -16,6 +16,7 @@ from ..operators.enrich import describe, enrich
 from ..operators.filters import exclude_ilike, exclude_like
 from ..operators.joins import split_join
 from ..operators.ranking import assign_uid, dedupe_first
+from ..session import keep
 
 COMPANY = [
     "website",
@@ -97,6 +98,6 @@ def company_chain(companies: DataFrame, scraped: DataFrame, page_order: Sequence
 def personas(
     chain: DataFrame, fn: Callable[[str], str] = describe, on_error: str = "value"
 ) -> DataFrame:
-    """(UID, persona) from every row's JSON through the persona prompt."""
+    """(UID, persona) from every row's JSON through the persona prompt, kept as told."""
     asked = chain.select("UID", persona_prompt(row_json(CHAIN)).alias("prompt"))
-    return enrich(asked, "prompt", "persona", fn, on_error).select("UID", "persona")
+    return keep(enrich(asked, "prompt", "persona", fn, on_error).select("UID", "persona"))

@@ -56,7 +56,7 @@ from ..operators.links import (
     similar_to,
 )
 from ..operators.ranking import dedupe_first, top_k, top_n
-from ..session import shared_dir
+from ..session import keep
 from ..sources.tables import lookup_by_ids, read_payload, search_first, split_rejects
 
 Graph = tuple[DataFrame, DataFrame]
@@ -112,9 +112,8 @@ def ingest_documents(graph: Graph, landed: DataFrame, order_by: Sequence[Column
     once and kept in the shared folder.
     """
     nodes, edges = graph
-    shared_dir(landed.sparkSession)
     docs = read_payload(landed.select("payload", seq), "payload", LINK_SCHEMA)
-    links = known_links(document_links(docs, [*DOCUMENT_RULES, similar_to], seq), nodes).checkpoint()
+    links = keep(known_links(document_links(docs, [*DOCUMENT_RULES, similar_to], seq), nodes))
     own = links.filter(F.col("rel_type") != fixed.SIMILAR_TO)
     newest = newest_documents(landed, nodes, order_by)
     updates = assign_props(base_properties(newest), fixed.CATALOG_ID, "key", BASE_PROPS)
@@ -133,8 +132,7 @@ def stream_graph(
     games(key, name); streams(name, stream_id, title, viewer_count, user_name). The
     streams are ranked once; the few that are left feed all three results.
     """
-    shared_dir(streams.sparkSession)
-    best = top_k(streams, ["name"], order_by, k).checkpoint()
+    best = keep(top_k(streams, ["name"], order_by, k))
     once = dedupe_first(best, ["stream_id"], order_by)  # a stream may be listed under two names
     nodes = assign_props(once, fixed.STREAM, "stream_id", ["title", "viewer_count", "user_name"])
     edges, created = attach_by_name(games, best, "name", "stream_id", fixed.HAS_STREAM, fixed.STREAM)
@@ -281,13 +279,14 @@ def site_summaries(
 ) -> DataFrame:
     """One summary per page: (key, url, text, model, timestamp); failed pages are skipped.
 
-    The run's time stamp is passed in, so a run that is repeated gives the same rows.
+    The run's time stamp is passed in. The texts are kept as told: whatever reads
+    them sees the same text, and the function is called once per page.
     """
     asked = pages.filter(has_text(F.col("url"))).select(
         key, "url", site_prompt(first_chars(html_to_text(F.col("html")))).alias("prompt")
     )
     told = enrich(asked, "prompt", "text", fn, on_error="skip")
-    return told.select(key, "url", "text", F.lit(model).alias("model"), F.lit(stamp).alias("timestamp"))
+    return keep(told.select(key, "url", "text", F.lit(model).alias("model"), F.lit(stamp).alias("timestamp")))
 
 
 def ingest_site_summaries(graph: Graph, summaries: DataFrame, key: str = "page_id") -> Graph:
@@ -303,7 +302,7 @@ def ingest_site_summaries(graph: Graph, summaries: DataFrame, key: str = "page_i
 
 
 def company_summaries(nodes: DataFrame, fn: Callable[[str], str] = describe) -> DataFrame:
-    """(name, summary) per distinct company name; a failure is stored as the summary."""
+    """(name, summary) per distinct company name, kept as told; a failure is stored as the summary."""
     names = (
         _label(nodes, fixed.COMPANY)
         .select(F.try_element_at("props", F.lit("name")).alias("name"))
@@ -311,7 +310,7 @@ def company_summaries(nodes: DataFrame, fn: Callable[[str], str] = describe) ->
         .distinct()
         .withColumn("prompt", company_prompt(F.col("name")))
     )
-    return enrich(names, "prompt", "summary", fn, on_error="value").select("name", "summary")
+    return keep(enrich(names, "prompt", "summary", fn, on_error="value").select("name", "summary"))
 
 
 def ingest_company_summaries(graph: Graph, summaries: DataFrame) -> Graph:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on. Hot keys in joins are split by the
 # adaptive skew rule, also where that costs one more exchange behind the join.
@@ -60,6 +60,12 @@ def shared_dir(spark: SparkSession) -> str:
     return os.path.dirname(context.getCheckpointDir().rstrip("/"))
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """The rows as computed now, in the shared folder: read, not recomputed, from here on."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no earlier run has used."""
     return f"{shared_dir(spark).rstrip('/')}/siteweave-tables/{uuid.uuid4().hex}/{name}"

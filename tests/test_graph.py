@@ -1,6 +1,7 @@
 """Graph statements and passes on hand-made rows."""
 
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -347,6 +348,15 @@ def test_generated_company_summaries(spark, rows):
     assert rows(games.company_summaries(nodes, fn)) == [("a", "Error: quota")]
 
 
+def test_summaries_are_told_once(spark):
+    """A function that never gives the same text twice still gives nodes and edges that fit."""
+    nodes = nodes_of(spark, *[("Company", str(i), {"name": f"n{i}"}) for i in range(5)])
+    told = games.company_summaries(nodes, lambda prompt: uuid.uuid4().hex)
+    after, edges = games.ingest_company_summaries((nodes, edges_of_none(spark)), told)
+    pointed = {k for _, _, k in hops(edges, "HAS_SUMMARY")}
+    assert len(pointed) == 5 and pointed == {k for l, k in as_dict(after) if l == "AI_Company_Summary"}
+
+
 def test_site_summaries_append(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x</p>"), (2, "u", "<p>boom</p>"), (3, "", "<p>y</p>")], "page_id long, url string, html string")
 

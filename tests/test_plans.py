@@ -17,20 +17,11 @@ NUMBERED = {
     "company_pages",
     "stage_companies",
     "persona_prompts",
-    "persona_table",
     "persona_upsert",
 }
 COLOURED = {"colour_index", "schema_graph", "subgraph_nodes"}
-# These hand text to a text function.
-ENRICHED = {
-    "company_summary_pass",
-    "enrich_skip",
-    "enrich_text",
-    "enrich_value",
-    "persona_table",
-    "persona_upsert",
-    "site_summary_history",
-}
+# These hand text to a text function; other queries read texts that were told before.
+ENRICHED = {"enrich_skip", "enrich_text", "enrich_value"}
 
 
 @pytest.fixture(scope="module")
