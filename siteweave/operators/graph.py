@@ -94,16 +94,18 @@ def assign_props(df: DataFrame, label: str, key: Column | str, props: Sequence[s
     return as_nodes(df, label, key, props).withColumn("sets", F.array(*[F.lit(p) for p in props]).cast("array<string>"))
 
 
-def merge_props(nodes: DataFrame, incoming: DataFrame) -> DataFrame:
+def merge_props(nodes: DataFrame, incoming: DataFrame, labels: Sequence[str]) -> DataFrame:
     """`merge_nodes` on the long form, for rows of `assign_props`, one per node.
 
-    Rows of several labels go in together: one join serves the whole pass.
+    `labels` are those of the incoming rows, which go in together: one join serves
+    the whole pass, and nodes of other labels are passed on without a shuffle.
     """
+    touched = F.col("label").isin(*labels)
     fresh = incoming.select(*NODE, F.col("props").alias("_new"), "sets")
     kept = F.map_filter(F.coalesce("props", no_props()), lambda k, _: ~F.array_contains("sets", k))
-    return nodes.join(fresh, NODE, "full_outer").select(
-        *NODE, F.when(F.col("_new").isNull(), F.col("props")).otherwise(F.map_concat(kept, "_new")).alias("props")
-    )
+    props = F.when(F.col("_new").isNull(), F.col("props")).otherwise(F.map_concat(kept, "_new"))
+    merged = nodes.filter(touched).join(fresh, NODE, "full_outer").select(*NODE, props.alias("props"))
+    return merged.unionByName(nodes.filter(~touched))
 
 
 def match_set(
@@ -142,51 +144,52 @@ def with_endpoints(candidates: DataFrame, nodes: DataFrame) -> DataFrame:
     return split_join(started, dst, ["dst_label", "dst_key"], "left_semi").select(*EDGE)
 
 
-def new_edges(edges: DataFrame, added: DataFrame) -> DataFrame:
-    """Distinct rows of `added` that the graph does not hold yet.
+def of_type(edges: DataFrame, rels: Sequence[str]) -> DataFrame:
+    return edges.filter(F.col("rel_type").isin(*rels)).select(*EDGE)
+
 
-    These can be appended to the stored edges. The graph is only probed: few added
-    edges are broadcast to it, and it is not shuffled.
+def new_edges(edges: DataFrame, added: DataFrame, rels: Sequence[str]) -> DataFrame:
+    """Distinct rows of `added` that the graph does not hold yet; `rels` are their types.
+
+    These can be appended to the stored edges. Of the graph only the edges of these
+    types are probed: few added edges are broadcast to them, and nothing is shuffled.
     """
     fresh = added.select(*EDGE).distinct()
-    held = edges.select(*EDGE).join(fresh, EDGE, "left_semi")
+    held = of_type(edges, rels).join(fresh, EDGE, "left_semi")
     return fresh.join(held, EDGE, "left_anti")
 
 
-def add_edges(edges: DataFrame, added: DataFrame) -> DataFrame:
+def add_edges(edges: DataFrame, added: DataFrame, rels: Sequence[str]) -> DataFrame:
     """The graph's edges and the new ones among `added`; an edge is never there twice."""
-    return edges.select(*EDGE).unionByName(new_edges(edges, added))
+    return edges.select(*EDGE).unionByName(new_edges(edges, added, rels))
 
 
-def merge_edges(edges: DataFrame, candidates: DataFrame, nodes: DataFrame) -> DataFrame:
+def merge_edges(edges: DataFrame, candidates: DataFrame, nodes: DataFrame, rels: Sequence[str]) -> DataFrame:
     """Add those candidates whose two ends exist."""
-    return add_edges(edges, with_endpoints(candidates.select(*EDGE).distinct(), nodes))
+    return add_edges(edges, with_endpoints(candidates.select(*EDGE).distinct(), nodes), rels)
 
 
-def replace_edges(edges: DataFrame, new: DataFrame) -> DataFrame:
-    """Detach the sources' old edges of the same type, then attach the new ones."""
-    replaced = new.select("src_label", "src_key", "rel_type").distinct()
-    kept = split_join(edges, replaced, ["src_label", "src_key", "rel_type"], "left_anti")
-    return kept.select(*EDGE).unionByName(new.select(*EDGE).distinct())
+def replace_edges(edges: DataFrame, new: DataFrame, rel: str) -> DataFrame:
+    """Detach the sources' old edges of the type, then attach the new ones."""
+    replaced = new.select("src_label", "src_key").distinct()
+    kept = split_join(of_type(edges, [rel]), replaced, ["src_label", "src_key"], "left_anti")
+    others = edges.filter(F.col("rel_type") != rel)
+    return others.select(*EDGE).unionByName(kept.select(*EDGE)).unionByName(new.select(*EDGE).distinct())
 
 
-def detached(before: DataFrame, new: DataFrame) -> DataFrame:
-    """Targets the sources of `new` pointed to before, as (label, key)."""
-    replaced = new.select("src_label", "src_key", "rel_type").distinct()
-    return (
-        split_join(before, replaced, ["src_label", "src_key", "rel_type"], "left_semi")
-        .select(F.col("dst_label").alias("label"), F.col("dst_key").alias("key"))
-        .distinct()
-    )
+def detached(before: DataFrame, new: DataFrame, rel: str) -> DataFrame:
+    """Targets that the sources of `new` pointed to before, as (label, key)."""
+    replaced = new.select("src_label", "src_key").distinct()
+    old = split_join(of_type(before, [rel]), replaced, ["src_label", "src_key"], "left_semi")
+    return old.select(F.col("dst_label").alias("label"), F.col("dst_key").alias("key")).distinct()
 
 
-def drop_orphans(nodes: DataFrame, edges: DataFrame, candidates: DataFrame, rel: str) -> DataFrame:
-    """Delete those candidate nodes that no edge of the type points to any more."""
-    pointed = edges.filter(F.col("rel_type") == rel).select(
-        F.col("dst_label").alias("label"), F.col("dst_key").alias("key")
-    )
+def drop_orphans(nodes: DataFrame, edges: DataFrame, candidates: DataFrame, rel: str, label: str) -> DataFrame:
+    """Delete those candidate nodes of the label that no edge of the type points to any more."""
+    pointed = of_type(edges, [rel]).select(F.col("dst_label").alias("label"), F.col("dst_key").alias("key"))
     orphans = candidates.join(pointed.distinct(), NODE, "left_anti")
-    return nodes.join(orphans, NODE, "left_anti")
+    left = nodes.filter(F.col("label") == label).join(orphans, NODE, "left_anti")
+    return left.unionByName(nodes.filter(F.col("label") != label))
 
 
 # --- reading -----------------------------------------------------------------

@@ -61,6 +61,15 @@ from ..sources.tables import lookup_by_ids, read_payload, search_first, split_re
 
 Graph = tuple[DataFrame, DataFrame]
 
+# What documents link to, by which relationship.
+TARGETS = {
+    fixed.RELEASE_YEAR: fixed.RELEASED_IN,
+    fixed.FRANCHISE: fixed.PART_OF_FRANCHISE,
+    fixed.GAME_TYPE: fixed.HAS_TYPE,
+    fixed.GENRE: fixed.HAS_GENRE,
+    fixed.COMPANY: fixed.INVOLVES_COMPANY,
+}
+
 BASE_PROPS = ["total_rating", "first_release_date", "summary", "url", "payload"]
 
 
@@ -121,7 +130,10 @@ def ingest_documents(graph: Graph, landed: DataFrame, order_by: Sequence[Column
     named = F.when(F.col("name").isNotNull(), F.array(F.lit("name"))).otherwise(F.array().cast("array<string>"))
     targets = link_targets(own).select("label", "key", props_map(["name"]), named.alias("sets"))
     added = link_edges(own, nodes).unionByName(similar_edges(links, nodes))
-    return merge_props(nodes, updates.unionByName(targets)), add_edges(edges, added)
+    return (
+        merge_props(nodes, updates.unionByName(targets), [fixed.CATALOG_ID, *TARGETS]),
+        add_edges(edges, added, [*TARGETS.values(), fixed.SIMILAR_TO]),
+    )
 
 
 def stream_graph(
@@ -151,10 +163,14 @@ def _add_games(graph: Graph, games: DataFrame, streams: DataFrame, k: int, order
     ids = assign_props(games, fixed.CATALOG_ID, "key")
     # Streams are looked up for the games of this pass only, and attached to all of the name.
     wanted = lookup_by_ids(streams, games, "name")
-    owners = game_columns(merge_props(nodes, own))
+    owners = game_columns(merge_props(nodes, own, [fixed.GAME]))
     best, stream_edges, _ = stream_graph(owners, wanted, k, order)
-    nodes = merge_props(nodes, own.unionByName(ids).unionByName(best))
-    return nodes, add_edges(edges, catalogue_edges(games).unionByName(stream_edges))
+    incoming = own.unionByName(ids).unionByName(best)
+    added = catalogue_edges(games).unionByName(stream_edges)
+    return (
+        merge_props(nodes, incoming, [fixed.GAME, fixed.CATALOG_ID, fixed.STREAM]),
+        add_edges(edges, added, [fixed.HAS_CATALOG_ID, fixed.HAS_STREAM]),
+    )
 
 
 def ingest_top_games(
@@ -232,11 +248,12 @@ def ingest_average_views(graph: Graph, replace: bool = False) -> Graph:
     )
     averages = average_views(games, edges, streams)
     values, links = average_view_graph(games, averages, as_key(F.col("average")))
-    nodes = merge_props(nodes, values)
+    rel = fixed.HAS_AVERAGE_VIEW_COUNT
+    nodes = merge_props(nodes, values, [fixed.AVERAGE_VIEWS])
     if not replace:
-        return nodes, merge_edges(edges, links, nodes)
-    after = replace_edges(edges, links)
-    return drop_orphans(nodes, after, detached(edges, links), fixed.HAS_AVERAGE_VIEW_COUNT), after
+        return nodes, add_edges(edges, links, [rel])
+    after = replace_edges(edges, links, rel)
+    return drop_orphans(nodes, after, detached(edges, links, rel), rel, fixed.AVERAGE_VIEWS), after
 
 
 def company_documents_graph(docs: DataFrame, countries: bool = False) -> Graph:
@@ -270,8 +287,8 @@ def ingest_companies(
         described.join(companies, "key", "left_semi"), fixed.COMPANY, "key", ["description"]
     )
     new_nodes, candidates = company_documents_graph(docs, countries)
-    nodes = merge_props(nodes, updates.unionByName(new_nodes))
-    return nodes, merge_edges(edges, candidates, nodes)
+    nodes = merge_props(nodes, updates.unionByName(new_nodes), [fixed.COMPANY, fixed.WEBSITE, fixed.COUNTRY])
+    return nodes, merge_edges(edges, candidates, nodes, [fixed.HAS_WEBSITE, fixed.LOCATED_IN])
 
 
 def site_summaries(
@@ -295,7 +312,7 @@ def ingest_site_summaries(graph: Graph, summaries: DataFrame, key: str = "page_i
     owned = summaries.withColumn("_key", F.concat_ws("@", as_key(F.col(key)), "timestamp"))
     sites = assign_props(owned.select("url").distinct(), fixed.WEBSITE, "url", ["url"])
     nodes = create_nodes(
-        merge_props(nodes, sites), as_nodes(owned, fixed.SUMMARY, "_key", ["text", "model", "timestamp"])
+        merge_props(nodes, sites, [fixed.WEBSITE]), as_nodes(owned, fixed.SUMMARY, "_key", ["text", "model", "timestamp"])
     )
     links = as_edges(owned, fixed.WEBSITE, "url", fixed.HAS_SUMMARY, fixed.SUMMARY, "_key")
     return nodes, edges.select(*EDGE).unionByName(links)
@@ -328,6 +345,7 @@ def ingest_company_summaries(graph: Graph, summaries: DataFrame) -> Graph:
     fresh = assign_props(
         links.select(F.col("dst_key").alias("summary")).distinct(), fixed.COMPANY_SUMMARY, "summary", ["summary"]
     )
-    old = detached(edges, links)
-    after = replace_edges(edges, links)
-    return drop_orphans(merge_props(nodes, fresh), after, old, fixed.HAS_SUMMARY), after
+    rel = fixed.HAS_SUMMARY
+    after = replace_edges(edges, links, rel)
+    nodes = merge_props(nodes, fresh, [fixed.COMPANY_SUMMARY])
+    return drop_orphans(nodes, after, detached(edges, links, rel), rel, fixed.COMPANY_SUMMARY), after

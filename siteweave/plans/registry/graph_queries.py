@@ -611,7 +611,7 @@ def _summary_edges(spark, folder):
                 summary AS dst_key FROM after""",
 )
 def replace_summaries(spark, folder):
-    return replace_edges(*_summary_edges(spark, folder))
+    return replace_edges(*_summary_edges(spark, folder), fixed.HAS_SUMMARY)
 
 
 @query(
@@ -624,7 +624,8 @@ def drop_orphan_summaries(spark, folder):
     nodes = (
         old.unionByName(new).select(F.col("dst_label").alias("label"), F.col("dst_key").alias("key")).distinct()
     )
-    return drop_orphans(nodes, replace_edges(old, new), detached(old, new), fixed.HAS_SUMMARY)
+    rel = fixed.HAS_SUMMARY
+    return drop_orphans(nodes, replace_edges(old, new, rel), detached(old, new, rel), rel, fixed.COMPANY_SUMMARY)
 
 
 @query(
@@ -653,7 +654,7 @@ def site_summary_history(spark, folder):
 def merge_rerun(spark, folder):
     """Merging the graph's own edges again adds nothing."""
     nodes, edges = adapters.trade_graph(spark, folder)
-    return merge_edges(edges, edges, nodes)
+    return merge_edges(edges, edges, nodes, [fixed.INVOLVES_COMPANY, fixed.HAS_GENRE, fixed.LOCATED_IN])
 
 
 @query(

@@ -73,12 +73,12 @@ def test_match_set(spark, rows):
 
 
 def test_merge_props(spark):
-    base = nodes_of(spark, ("A", "1", {"x": "1", "y": "2"}), ("A", "2", {"x": "5"}))
+    base = nodes_of(spark, ("A", "1", {"x": "1", "y": "2"}), ("A", "2", {"x": "5"}), ("B", "1", {"x": "0"}))
     rows_in = spark.createDataFrame([("1", None, "n"), ("3", "7", None)], "k string, x string, z string")
-    merged = merge_props(base, assign_props(rows_in, "A", "k", ["x", "z"]))
-    want = {("A", "1"): {"y": "2", "z": "n"}, ("A", "2"): {"x": "5"}, ("A", "3"): {"x": "7"}}
+    merged = merge_props(base, assign_props(rows_in, "A", "k", ["x", "z"]), ["A"])
+    want = {("A", "1"): {"y": "2", "z": "n"}, ("A", "2"): {"x": "5"}, ("A", "3"): {"x": "7"}, ("B", "1"): {"x": "0"}}
     assert as_dict(merged) == want
-    assert as_dict(merge_props(merged, assign_props(rows_in, "A", "k", ["x", "z"]))) == want
+    assert as_dict(merge_props(merged, assign_props(rows_in, "A", "k", ["x", "z"]), ["A"])) == want
 
 
 def test_create_always_appends(spark):
@@ -98,9 +98,9 @@ def test_merge_edges_checks_both_ends(spark, rows):
         ("A", "1", "R", "B", "9"),
         ("B", "2", "R", "A", "1"),
     )
-    once = merge_edges(have, wanted, nodes)
+    once = merge_edges(have, wanted, nodes, ["R"])
     assert rows(once) == [("A", "1", "R", "B", "1"), ("A", "2", "R", "B", "1")]
-    assert rows(merge_edges(once, wanted, nodes)) == rows(once)
+    assert rows(merge_edges(once, wanted, nodes, ["R"])) == rows(once)
 
 
 def test_keys_are_strings(spark):
@@ -250,7 +250,7 @@ def stream_graph(spark, viewers):
 def test_average_rerun(spark, replace, values):
     """Stale averages stay, unless edges are replaced."""
     nodes, edges = games.ingest_average_views(stream_graph(spark, "10"))
-    changed = merge_props(nodes, assign_props(spark.createDataFrame([("s", "20")], "k string, viewer_count string"), "Stream", "k", ["viewer_count"]))
+    changed = merge_props(nodes, assign_props(spark.createDataFrame([("s", "20")], "k string, viewer_count string"), "Stream", "k", ["viewer_count"]), ["Stream"])
     nodes, edges = games.ingest_average_views((changed, edges), replace)
     assert {k for _, _, k in hops(edges, "HAS_AVERAGE_VIEW_COUNT")} == values
     assert {k for l, k in as_dict(nodes) if l == "Average_View_Count"} == values
