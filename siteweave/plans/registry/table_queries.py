@@ -178,6 +178,19 @@ def search_phrase(spark, folder):
     return search_first(probes, docs, "probe", "text", ["p_partkey"], mode="phrase").select("probe", "p_partkey")
 
 
+@query(
+    "search_contains",
+    """SELECT probe, p_partkey FROM (SELECT DISTINCT substring(p_name, 3) AS probe FROM part) JOIN part ON contains(p_name, probe)
+       QUALIFY row_number() OVER (PARTITION BY probe ORDER BY p_partkey) = 1""",
+)
+def search_contains(spark, folder):
+    """Names without their first two letters, looked for inside all names."""
+    parts = read_table(spark, folder, "part")
+    probes = parts.select(F.substr("p_name", F.lit(3)).alias("probe"))
+    docs = parts.select("p_partkey", "p_name")
+    return search_first(probes, docs, "probe", "p_name", ["p_partkey"], mode="contains").select("probe", "p_partkey")
+
+
 @query(
     "search_in_documents",
     """WITH tokens AS (

@@ -79,22 +79,22 @@ def search_first(
 ) -> DataFrame:
     """For each distinct probe the first matching document; probes without a hit are dropped.
 
-    `equals` compares whole strings. `phrase` finds the probe's words in a row,
-    ignoring case, and leaves the text itself out of the result. Both are equi-joins,
-    so no probe is held against every document.
+    `equals` compares whole strings, `contains` finds the probe anywhere in the text,
+    `phrase` finds its words in a row, ignoring case. All are equi-joins, so no probe
+    is held against every document: for the last two, a document gives all its runs
+    of as many characters or words as some probe has. That is for names and titles;
+    for long texts `phrase` is the cheaper one. Both leave the text itself out of the
+    result.
     """
     wanted = probes.filter(has_text(F.col(probe_col))).select(probe_col).distinct()
     if mode == "equals":
         first = dedupe_first(docs.filter(F.col(text_col).isNotNull()), [text_col], order_by)
         return wanted.join(first, F.col(probe_col) == F.col(text_col))
-    if mode != "phrase":
-        raise ValueError(f"unknown search mode: {mode}")
+    split, glue = {"contains": (lambda col: F.split(col, ""), ""), "phrase": (words, " ")}[mode]
 
-    wanted = (
-        wanted.withColumn("_words", words(F.col(probe_col)))
-        .filter(F.size("_words") > 0)
-        .select(probe_col, F.array_join("_words", " ").alias("_phrase"), F.size("_words").alias("_n"))
-    )
+    wanted = wanted.withColumn("_units", split(F.col(probe_col))).select(
+        probe_col, F.array_join("_units", glue).alias("_run"), F.size("_units").alias("_n")
+    ).filter("_n > 0")
     # One row per different probe length, so only a handful.
     lengths = sorted(row["_n"] for row in wanted.select("_n").distinct().collect())
     if not lengths:
@@ -102,17 +102,16 @@ def search_first(
         return nothing.select(F.lit(None).cast("string").alias(probe_col), "*")
 
     def runs(n: int) -> Column:
-        start = F.when(F.size("_words") >= n, F.sequence(F.lit(1), F.size("_words") - (n - 1)))
+        start = F.when(F.size("_units") >= n, F.sequence(F.lit(1), F.size("_units") - (n - 1)))
         return F.coalesce(
-            F.transform(start, lambda i: F.array_join(F.slice("_words", i, n), " ")),
+            F.transform(start, lambda i: F.array_join(F.slice("_units", i, n), glue)),
             F.array().cast("array<string>"),
         )
 
-    phrases = (
-        docs.withColumn("_words", words(F.col(text_col)))
-        .withColumn("_phrase", F.explode(F.array_distinct(F.concat(*[runs(n) for n in lengths]))))
-        .drop("_words", text_col)
+    found = (
+        docs.withColumn("_units", split(F.col(text_col)))
+        .withColumn("_run", F.explode(F.array_distinct(F.concat(*[runs(n) for n in lengths]))))
+        .drop("_units", text_col)
     )
-    found = lookup_by_ids(phrases, wanted, "_phrase")
-    first = dedupe_first(found, ["_phrase"], order_by)
-    return wanted.join(first, "_phrase").drop("_phrase", "_n")
+    first = dedupe_first(lookup_by_ids(found, wanted, "_run"), ["_run"], order_by)
+    return wanted.join(first, "_run").drop("_run", "_n")

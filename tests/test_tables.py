@@ -130,10 +130,33 @@ def test_search_first(spark, rows):
     assert rows(search_first(probes, docs, "p", "text", ["id"]), "p", "id") == [("red", 3)]
     latest = search_first(probes, docs, "p", "text", [F.col("id").desc()], mode="phrase")
     assert rows(latest) == [("RED ring", 2), ("red", 6)]
+    with pytest.raises(KeyError):
+        search_first(probes, docs, "p", "text", ["id"], mode="fuzzy")
     none = search_first(probes.filter("p = '--'"), docs, "p", "text", ["id"], mode="phrase")
     assert none.columns == ["p", "id"] and none.count() == 0
 
 
+def test_search_contains_by_brute_force(spark):
+    rng = random.Random(5)
+    letters = "abé😀 "
+    docs = [(i, "".join(rng.choice(letters) for _ in range(rng.randint(0, 12)))) for i in range(80)]
+    probes = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 5))) for _ in range(60)]
+    want = {}
+    for p in set(probes):
+        hits = [i for i, t in docs if p in t]
+        if hits:
+            want[p] = max(hits)
+    found = search_first(
+        spark.createDataFrame([(p,) for p in probes], "p string"),
+        spark.createDataFrame([*docs, (99, None)], "id int, text string"),
+        "p",
+        "text",
+        [F.col("id").desc()],
+        mode="contains",
+    )
+    assert {r.p: r.id for r in found.collect()} == want
+
+
 def test_search_phrase_by_brute_force(spark):
     rng = random.Random(3)
     docs = [(i, " ".join(rng.choice("ab cd ef gh".split()) for _ in range(rng.randint(1, 9)))) for i in range(60)]
