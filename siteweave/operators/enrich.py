@@ -9,15 +9,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def describe(text: str) -> str:
-    """Stand-in for a text model: says how long the text is."""
-    return f"{len(text)} characters, {len(text.split())} words"
+def describer() -> Callable[[str], str]:
+    """Stand-in for a text model: says how long a text is.
+
+    A function made inside a function travels to the Python workers whole, so these
+    need not have this package installed.
+    """
+
+    def describe(text: str) -> str:
+        return f"{len(text)} characters, {len(text.split())} words"
+
+    return describe
 
 
 def enrich(
-    df: DataFrame, in_col: str, out_col: str, fn: Callable[[str], str] = describe, on_error: str = "value"
+    df: DataFrame,
+    in_col: str,
+    out_col: str,
+    fn: Callable[[str], str] | None = None,
+    on_error: str = "value",
 ) -> DataFrame:
-    """Add `fn` of a text column; null text gives null.
+    """Add `fn` (by default `describer`) of a text column; null text gives null.
 
     The result is lazy; `keep` it before several results are made from it, so that
     a function that answers differently each time is asked once. Where `fn` fails, `value` stores the message as the value and `skip` drops the
@@ -25,12 +37,13 @@ def enrich(
     """
     if on_error not in ("value", "skip"):
         raise ValueError(f"unknown error policy: {on_error}")
+    tell = fn or describer()
 
     def call(text):
         if text is None:
             return None, None
         try:
-            return fn(text).strip(), None
+            return tell(text).strip(), None
         except Exception as error:  # any failure of the supplied function is data here
             return None, f"Error: {error}"
 

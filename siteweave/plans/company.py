@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, persona_prompt, row_json
-from ..operators.enrich import describe, enrich
+from ..operators.enrich import enrich
 from ..operators.filters import exclude_ilike, exclude_like
 from ..operators.joins import split_join
 from ..operators.ranking import assign_uid, dedupe_first
@@ -96,7 +96,7 @@ def company_chain(companies: DataFrame, scraped: DataFrame, page_order: Sequence
 
 
 def personas(
-    chain: DataFrame, fn: Callable[[str], str] = describe, on_error: str = "value"
+    chain: DataFrame, fn: Callable[[str], str] | None = None, on_error: str = "value"
 ) -> DataFrame:
     """(UID, persona) from every row's JSON through the persona prompt, kept as told."""
     asked = chain.select("UID", persona_prompt(row_json(CHAIN)).alias("prompt"))

@@ -27,7 +27,7 @@ from ..functions import (
     text_or,
 )
 from ..operators.aggregates import avg_over_edges
-from ..operators.enrich import describe, enrich
+from ..operators.enrich import enrich
 from ..operators.graph import (
     EDGE,
     add_edges,
@@ -292,7 +292,7 @@ def ingest_companies(
 
 
 def site_summaries(
-    pages: DataFrame, model: str, stamp: str, fn: Callable[[str], str] = describe, key: str = "page_id"
+    pages: DataFrame, model: str, stamp: str, fn: Callable[[str], str] | None = None, key: str = "page_id"
 ) -> DataFrame:
     """One summary per page: (key, url, text, model, timestamp); failed pages are skipped.
 
@@ -318,7 +318,7 @@ def ingest_site_summaries(graph: Graph, summaries: DataFrame, key: str = "page_i
     return nodes, edges.select(*EDGE).unionByName(links)
 
 
-def company_summaries(nodes: DataFrame, fn: Callable[[str], str] = describe) -> DataFrame:
+def company_summaries(nodes: DataFrame, fn: Callable[[str], str] | None = None) -> DataFrame:
     """(name, summary) per distinct company name, kept as told; a failure is stored as the summary."""
     names = (
         _label(nodes, fixed.COMPANY)

@@ -1,7 +1,10 @@
 """Column helpers against Python's own text functions."""
 
 import html
+import os
 import re
+import subprocess
+import sys
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -156,6 +159,21 @@ def test_enrich_policies(spark, c, rows):
         enrich(df, "t", "out", on_error="ignore")
 
 
+def test_workers_need_not_have_the_package(tmp_path):
+    """A driver that found the package by its own path only, started elsewhere."""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = (
+        f"import sys; sys.path.insert(0, {repo!r})\n"
+        "from siteweave.session import get_session\n"
+        "from siteweave.operators.enrich import enrich\n"
+        "df = get_session('elsewhere', 2, 2).createDataFrame([('a b',)], 't string')\n"
+        "print(enrich(df, 't', 'o').first().o, flush=True)\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert "3 characters, 2 words" in done.stdout, done.stderr[-2000:]
+
+
 def test_enrich_calls_once_per_row(spark, c):
     calls = spark.sparkContext.accumulator(0)
 
