@@ -5,7 +5,7 @@ import os
 import pytest
 from conftest import SMALL
 
-import __spark_entry__ as entry
+from siteweave.plans.registry import QUERIES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
 
@@ -31,7 +31,7 @@ def plans(spark):
     try:
         yield {
             name: query(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
-            for name, query in entry.queries().items()
+            for name, query in QUERIES.items()
         }
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
