@@ -31,12 +31,13 @@ def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document without repeats keeps its text as it is. The number of characters is counted again.
     """
     cut = substrings.remove_repeats(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    changed = {"text": text}
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(kind)).otherwise(F.col("n_chars"))
-    return cut.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
+    changed = F.col("n_removed") > 0
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns}
+    columns["text"] = F.when(changed, F.col("kept_text")).otherwise(columns["text"])
+    if "n_chars" in columns:
+        count = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(changed, count).otherwise(columns["n_chars"])
+    return cut.select(*[column.alias(c) for c, column in columns.items()])
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

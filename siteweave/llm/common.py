@@ -37,6 +37,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame):
+    """All columns as one struct, so that no name of theirs can meet a name of an operator's."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

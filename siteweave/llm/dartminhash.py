@@ -20,6 +20,7 @@ from .common import (
     prepare,
     salted,
     text_key,
+    whole_row,
     window_hashes,
     window_starts,
     word_hashes,
@@ -313,16 +314,14 @@ def drop_near_duplicates(
     kept = written(
         judged.filter("kept")
         .groupBy("text_key")
-        .agg(F.min("component_id").alias("_kept_id"), F.max(F.col("n_words") == 0).alias("_wordless")),
+        .agg(F.min("component_id").alias("kept_id"), F.max(F.col("n_words") == 0).alias("wordless"))
+        .withColumnRenamed("text_key", "key"),
         "kept",
     )
-    tag = F.xxhash64("_text_key")
-    named = docs.withColumn("_text_key", text_key(text_col)).withColumn("_tag", tag)
-    kept = kept.withColumnRenamed("text_key", "_text_key").withColumn("_tag", tag)
-    rows = named.join(kept, ["_text_key", "_tag"]).filter(
-        F.col("_wordless") | F.col(id_col).eqNullSafe(F.col("_kept_id"))
-    )
+    tag = F.xxhash64("key")
+    keyed = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("id"), text_key(text_col).alias("key"))
+    rows = keyed.withColumn("tag", tag).join(kept.withColumn("tag", tag), ["key", "tag"])
+    rows = rows.filter(F.col("wordless") | F.col("id").eqNullSafe(F.col("kept_id")))
     # Rows alike in id and text are one class: any one of them stays, found where the join has put them.
-    own = F.when(F.col("_wordless"), F.monotonically_increasing_id())
-    one = rows.withColumn("_own", own).dropDuplicates(["_text_key", "_tag", "_own"])
-    return one.select(*docs.columns)
+    own = F.when(F.col("wordless"), F.monotonically_increasing_id())
+    return rows.withColumn("own", own).dropDuplicates(["key", "tag", "own"]).select("row.*")

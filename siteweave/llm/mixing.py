@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import split_join
 from ..operators.ranking import assign_uid, top_k
-from .common import prepare, written
+from .common import prepare, whole_row, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -248,11 +248,10 @@ def repeat_documents(
 ) -> DataFrame:
     """The documents, whole rows, each as often as `mix_documents` takes it; sources are one text column."""
     mixed = mix_documents(docs, source_col, id_col, text_col, seed=seed, **mix)
-    times = mixed.groupBy(F.col("draw").alias("_draw")).agg(F.max("times").alias("_times")).filter("_times > 0")
-    drawn = docs.withColumn("_draw", _draw(id_col, text_col, F.array(source_col), seed))
-    taken = split_join(drawn, times, "_draw")
-    copies = F.explode(F.sequence(F.lit(1), F.col("_times")))
-    return taken.withColumn("_copy", copies).select(*[F.col(f"`{c}`") for c in docs.columns])
+    times = mixed.groupBy("draw").agg(F.max("times").alias("times")).filter("times > 0")
+    drawn = docs.select(whole_row(docs).alias("row"), _draw(id_col, text_col, F.array(source_col), seed).alias("draw"))
+    copies = F.explode(F.sequence(F.lit(1), F.col("times")))
+    return split_join(drawn, times, "draw").select("row", copies).select("row.*")
 
 
 def _last_whole(rows: DataFrame, goal: DataFrame, keys: list[str], slice_: str) -> DataFrame:

@@ -176,8 +176,8 @@ def op8_toxicity(spark, folder):
     """,
 )
 def op9_substrings(spark, folder):
-    cut = substrings.remove_repeats(read_table(spark, folder, "documents"))
-    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+    cut = substrings.remove_repeats(read_table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 @query("op10_pivots")

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,7 @@ from .common import (
     prepare,
     salted,
     text_key,
+    whole_row,
     window_hashes,
     window_starts,
     word_hashes,
@@ -366,58 +368,50 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", n: int = WINDOW_WORD
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", n: int = WINDOW_WORDS) -> DataFrame:
-    """The documents with (n_words, n_removed, kept_text) added.
+    """One row per document: (row, n_words, n_removed, kept_text); `row` holds all its columns.
 
     Words are runs between white space, unchanged. A word goes if it is covered by a window
-    of n words whose sequence also begins anywhere else, in the same document or another, as the input has it;
-    `kept_text` is the other words joined by one blank. Null and empty texts have no words.
-    Repeated rows repeat each other's windows. All rows and columns stay, whatever their
-    ids; the added columns take the place of columns with their names. An empty table stays empty.
+    of n words whose sequence also begins anywhere else, in the same document or another,
+    as the input has it; `kept_text` is the other words joined by one blank. Null and empty
+    texts have no words. Repeated rows repeat each other's windows. All rows stay, whatever
+    their ids; an empty table stays empty.
     """
     removed = repeated_spans(docs, text_col, n)
-    added = ("n_words", "n_removed", "kept_text")
-    plain = docs.drop(*[c for c in added if c in docs.columns])
-    keyed = plain.withColumn("_key", text_key(text_col))
-    joined = split_join(keyed, removed.select(F.col("key").alias("_key"), F.col("spans").alias("_spans")), "_key", "left")
-    joined = joined.select(*plain.columns, "_spans")
+    keyed = docs.select(whole_row(docs).alias("row"), text_key(text_col).alias("key"))
+    joined = split_join(keyed, removed, "key", "left").select("row", "spans")
     schema = T.StructType(
         [
-            *plain.schema.fields,
+            joined.schema["row"],
             T.StructField("n_words", T.LongType()),
             T.StructField("n_removed", T.LongType()),
             T.StructField("kept_text", T.StringType()),
         ]
     )
 
-    names = [*plain.columns, *added]
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = binary_column(batch.column(batch.schema.get_field_index(text_col)))
+            data, offsets = binary_column(pc.struct_field(batch.column(0), [text_col]))
             starts, ends, first = find_words(data, offsets)
-            spans = batch.schema.get_field_index("_spans")
-            place, of = _in_spans(batch, spans)
+            place, of = _in_spans(batch, 1)
             gone = np.zeros(len(starts), bool)
             gone[first[of] + place] = True
+            before = np.concatenate([[0], np.cumsum(gone)])
             raw, kept = data.tobytes(), []
             for t in range(batch.num_rows):
                 a, b = first[t], first[t + 1]
                 words = raw[offsets[t] : offsets[t + 1]].split()
-                if gone[a:b].any():
+                if before[b] > before[a]:
                     words = [w for w, g in zip(words, gone[a:b].tolist(), strict=True) if not g]
                 kept.append(b" ".join(words))
-            before = np.concatenate([[0], np.cumsum(gone)])
-            removed_words = before[first[1:]] - before[first[:-1]]
-            columns = [c for i, c in enumerate(batch.columns) if i != spans]
             sizes = np.cumsum([0, *map(len, kept)])
             yield pa.RecordBatch.from_arrays(
                 [
-                    *columns,
+                    batch.column(0),
                     pa.array(np.diff(first), pa.int64()),
-                    pa.array(removed_words, pa.int64()),
+                    pa.array(before[first[1:]] - before[first[:-1]], pa.int64()),
                     binary_array(np.frombuffer(b"".join(kept), np.uint8), sizes).cast(pa.string()),
                 ],
-                names=names,
+                names=["row", "n_words", "n_removed", "kept_text"],
             )
 
     return joined.mapInArrow(cut, schema)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binary_column, prepare, written
+from .common import binary_column, prepare, whole_row, written
 
 # Bound of the labelled sample that a model is fitted on, rows of each class.
 TOXIC_ROWS, ORDINARY_ROWS = 1600, 4000
@@ -305,5 +305,5 @@ def in_training(id_col: str = "doc_id") -> Column:
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, whole rows, that score below even odds. Rows without id or text are judged like others."""
     model = fit(docs, labels, in_training(id_col), id_col, text_col)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
+    rows = docs.select(whole_row(docs).alias("row"), F.col(text_col).alias("text"))
     return score_toxicity(rows, model, ["row"]).filter("score < 0.5").select("row.*")
