@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -14,45 +15,66 @@ from .common import Memo, binary_column, prepare, written
 
 MAX_TOKENS = 2048
 END_ID = 0
-# Texts are encoded by the words between white space, each distinct one once.
-CACHED_WORDS = 250_000
+# Parts of texts whose ids are remembered.
+CACHED_WORDS = 400_000
 _PIECES = "piece int, start long, length long, ids binary"
 
 
 def _encoder(path: str):
     """bytes of a text -> its ids as little-endian 32-bit words.
 
-    The tokenizer of this kind works on each run of non-blank characters by itself, so
-    a text's ids are those of its runs in order; runs and their parts are remembered.
+    The tokenizer of this kind works on each part of a text by itself: a run of letters, a
+    digit, a run of signs. So a text's ids are those of its parts in order, and parts are remembered.
     """
-    import regex
+    import re
+    from array import array
+
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    # How the tokenizer cuts lower-cased text; blanks never reach it here.
-    parts_of = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
+    # How the tokenizer cuts lower-cased Latin-1 text.
+    letter, number, blank = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", " \t\n\x0b\x0c\r"
+    parts_of = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{blank}{letter}{number}]+").findall
     # Byte-level vocabularies write a byte as its own character if that is visible, else as one from 256 on.
     visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in visible]
     letters = {**{b: chr(b) for b in visible}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
 
-    def pack_ids(ids) -> bytes:
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+    def packed_ids(ids) -> bytes:
+        return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
 
     def part(text: str) -> bytes:
         written = text if text.isascii() and text.isprintable() else "".join([letters[b] for b in text.encode()])
-        return pack_ids([token.id for token in tokenizer.model.tokenize(written)])
+        return packed_ids([token.id for token in tokenizer.model.tokenize(written)])
+
+    def plain(text: str) -> bool:
+        """Outside Latin-1 normal forms and letter cases are left to the tokenizer, and so are other blanks.
+
+        A special token's name is one token wherever it stands.
+        """
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return False
+        return "\x85" not in text and "\xa0" not in text and "<|" not in text
 
     def run(raw: bytes) -> bytes:
         text = raw.decode("utf-8", "replace")
-        # Outside Latin-1 normal forms and letter cases are left to the tokenizer, and so
-        # are other blanks. A special token's name is one token wherever it stands.
-        if max(text) > "\xff" or "\x85" in text or "\xa0" in text or "<|" in text:
-            return pack_ids(tokenizer.encode(text, add_special_tokens=False).ids)
-        return b"".join([parts[p] for p in parts_of(text.lower())])
+        if plain(text):
+            return b"".join([parts[p] for p in parts_of(text.lower())])
+        return packed_ids(tokenizer.encode(text, add_special_tokens=False).ids)
 
     parts, runs = Memo(part, CACHED_WORDS), Memo(run, CACHED_WORDS)
-    return lambda text: b"".join([runs[word] for word in text.split()])
+
+    def encode(raw: bytes) -> bytes:
+        text = raw.decode("utf-8", "replace")
+        if plain(text):
+            return b"".join([parts[p] for p in parts_of(text.lower())])
+        # Runs of characters between blanks don't meet each other either.
+        return b"".join([runs[word] for word in raw.split()])
+
+    return encode
 
 
 def token_pieces(
