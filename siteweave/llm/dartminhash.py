@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import split_join
-from ..operators.ranking import top_k
 from .common import (
     binary_column,
     find_words,
@@ -34,7 +33,8 @@ LEAST_SIMILARITY = 0.8
 BANDS, BAND_ROWS = 24, 4
 # Members that one task compares with a leader's text.
 MEMBERS = 512
-MOST_ROUNDS = 40
+# Text on each side of a block of comparisons.
+BLOCK_BYTES = 1 << 21
 
 
 def shingles(words: np.ndarray, first: np.ndarray, n: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -81,9 +81,7 @@ def dart_signatures(
     """
     k = coordinates
     out = np.zeros((count, k), np.uint64)
-    unit_text = np.repeat(texts, weights)
-    copy = np.arange(len(unit_text)) - np.repeat(np.cumsum(weights) - weights, weights)
-    unit = mix(np.repeat(hashes, weights) + mix(copy.astype(np.uint64)))
+    unit, unit_text = _units(hashes, texts, weights)
     total = np.bincount(unit_text, minlength=count)
     todo = total > 0
     limit = (k * math.log(k) + 2 * k) / np.maximum(total, 1)
@@ -205,54 +203,156 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 
 def _buckets(folded: DataFrame) -> DataFrame:
-    """(bucket, key) of every bucket that several texts share; of buckets with the same texts one."""
+    """(bucket, key, rank, leader) of every bucket that several texts share; of buckets with the same texts one.
+
+    A text ranks by the number of texts in all its buckets together: in a group of near copies
+    the text that the others were made from shares most. The leader is the first by rank.
+    """
     filed = folded.select("key", F.explode("bands").alias("bucket"))
     crowded = filed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    members = split_join(filed, crowded, "bucket").distinct()
+    members = written(split_join(filed, crowded, "bucket").distinct(), "filed")
     fingerprint = F.sum(F.xxhash64("key").cast("decimal(38,0)"))
     alike = members.groupBy("bucket").agg(fingerprint.alias("print"), F.count(F.lit(1)).alias("n"))
-    one = alike.groupBy("print", "n").agg(F.min("bucket").alias("bucket")).select("bucket")
-    return split_join(members, one, "bucket", "left_semi").select("bucket", "key")
+    one = alike.groupBy("print", "n").agg(F.min("bucket").alias("bucket"), F.count(F.lit(1)).alias("times"))
+    single = split_join(members, one.select("bucket", "n", "times"), "bucket")
+    ranks = single.groupBy("key").agg(F.struct(F.sum(F.col("n") * F.col("times")).alias("n"), "key").alias("rank"))
+    ranked = written(split_join(single.select("bucket", "key"), ranks, "key"), "ranked")
+    first = ranked.groupBy("bucket").agg(F.max("rank").alias("first"))
+    return split_join(ranked, first, "bucket").select("bucket", "key", "rank", F.col("first.key").alias("leader"))
 
 
 def _classes(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """(node, component) of the texts that link with another one, by text key.
 
-    A bucket is never expanded to pairs. In each round some members lead: a leader is
-    compared with all members of its bucket that are not of its class. Members of the
-    bucket's largest class never have to lead, and a bucket is done when all others have: of two members of
-    different classes one has then been compared with the other. The first round has one
-    leader per bucket, which leaves little to do in groups of near copies; later ones have more and more.
+    First the leader of each bucket is compared with its other members, which links groups
+    of copies whatever their size with one comparison per member and bucket. Members that are not
+    of the leader's class after that are compared with all others of their bucket, block by block.
+    """
+    asked = written(members.filter("key <> leader").select("leader", F.col("key").alias("member")).distinct(), "asked")
+    found = _verified(asked, texts, least).select(F.col("member").alias("a"), F.col("leader").alias("b"))
+    links = written(found, "links")
+    classes = components(links)
+    more = written(_links_of_rest(members, classes, texts, least), "more_links")
+    return components(links.union(more))
+
+
+def _links_of_rest(members: DataFrame, classes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """(a, b): links that connect the members that are not of their leader's class with the others.
+
+    Both sides of a bucket are dealt to blocks of about `BLOCK_BYTES` of text, and a task
+    compares two blocks at a time by a product of their shingle tables. It returns links of a
+    spanning forest, never the pairs.
     """
-    links = tried = None
-    classes = members.select(F.col("key").alias("node"), F.col("key").alias("component")).limit(0)
-    done = members.limit(0)
-    leaders_at_once = 1
-    while True:
-        named = split_join(members, classes.withColumnRenamed("node", "key"), "key", "left")
-        named = named.select("bucket", "key", F.coalesce("component", "key").alias("class"))
-        of_class = named.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"))
-        largest = of_class.groupBy("bucket").agg(F.max(F.struct("n", "class")).alias("l"))
-        outside = split_join(named, largest.select("bucket", F.col("l.class").alias("largest")), "bucket")
-        waiting = outside.filter("class <> largest").select("bucket", "key", "class")
-        waiting = split_join(waiting, done, ["bucket", "key"], "left_anti")
-        leaders = written(top_k(waiting, ["bucket"], ["key"], leaders_at_once), "leaders")
-        if leaders.isEmpty():
-            return classes
-        asked = split_join(
-            named, leaders.select("bucket", F.col("key").alias("leader"), F.col("class").alias("leader_class")), "bucket"
-        ).filter("class <> leader_class")
-        asked = asked.select("leader", F.col("key").alias("member")).distinct()
-        if tried is not None:
-            asked = split_join(asked, tried, ["leader", "member"], "left_anti")
-        asked = written(asked, "asked")
-        back = asked.select(F.col("member").alias("leader"), F.col("leader").alias("member"))
-        tried = asked.union(back) if tried is None else tried.union(asked).union(back)
-        found = written(_verified(asked, texts, least).select(F.col("member").alias("a"), F.col("leader").alias("b")), "links")
-        links = found if links is None else links.union(found)
-        classes = written(components(links), "classes")
-        done = done.union(leaders.select("bucket", "key"))
-        leaders_at_once *= 4
+    spark = members.sparkSession
+
+    def classed(rows: DataFrame, key: str, name: str) -> DataFrame:
+        named = classes.select(F.col("node").alias(key), F.col("component").alias(name))
+        return split_join(rows, named, key, "left").withColumn(name, F.coalesce(name, key))
+
+    sized = split_join(members.select("bucket", "key", "leader"), texts.select("key", F.octet_length("text").alias("bytes")), "key")
+    named = classed(classed(sized, "key", "class"), "leader", "leader_class")
+    named = written(named.withColumn("rest", F.col("class") != F.col("leader_class")), "named")
+    parts = lambda rows: F.ceil(F.sum(F.when(rows, F.col("bytes"))) / BLOCK_BYTES).cast("int")
+    open_ = named.groupBy("bucket").agg(
+        parts(F.col("rest")).alias("l_parts"),
+        parts(F.col("key") != F.col("leader")).alias("r_parts"),
+        F.count_if("rest").alias("n_rest"),
+        F.count(F.lit(1)).alias("n"),
+    ).filter("n_rest > 0 AND n > 2").select("bucket", "l_parts", "r_parts")
+    dealt = split_join(named, open_, "bucket")
+    part = lambda parts: F.pmod(F.xxhash64("key"), F.col(parts)).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    left = dealt.filter("rest").select("bucket", part("l_parts").alias("l"), every("r_parts").alias("r"), F.lit(0).alias("side"), "key")
+    right = dealt.filter("key <> leader").select(
+        "bucket", every("l_parts").alias("l"), part("r_parts").alias("r"), F.lit(1).alias("side"), "key"
+    )
+    block = ["bucket", "l", "r"]
+    rows = split_join(left.union(right), texts, "key").select(*block, "side", "key", "text")
+    ordered = rows.repartition(parallelism(spark), *block).sortWithinPartitions(*block, "side")
+
+    return ordered.mapInArrow(_compare_blocks(least), "a binary, b binary")
+
+
+def _compare_blocks(least: float):
+    """A function over rows (bucket, l, r, side, key, text), sorted, to the links of each block pair."""
+
+    def links(held) -> list[tuple[bytes, bytes]]:
+        (left_keys, left_units), (right_keys, right_units) = held
+        if not left_keys or not right_keys:
+            return []
+        alike = _alike(left_units, right_units, least)
+        i, j = np.nonzero(alike & (np.array(left_keys)[:, None] != np.array(right_keys)[None, :]))
+        root: dict[bytes, bytes] = {}
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        out = []
+        for x, y in zip(i.tolist(), j.tolist(), strict=True):
+            a, b = find(left_keys[x]), find(right_keys[y])
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                out.append((left_keys[x], right_keys[y]))
+        return out
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held = None, (([], []), ([], []))
+        for batch in batches:
+            words, first = _read(batch.column(5))
+            hashes, texts, weights = weighted(*shingles(words, first))
+            units, of = _units(hashes, texts, weights)
+            borders = np.searchsorted(of, np.arange(batch.num_rows + 1))
+            names = list(zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True))
+            found = []
+            for i, (side, key) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
+                if names[i] != name:
+                    found += links(held)
+                    name, held = names[i], (([], []), ([], []))
+                held[side][0].append(key)
+                held[side][1].append(units[borders[i] : borders[i + 1]].copy())
+            yield _pairs(found)
+        yield _pairs(links(held))
+
+    return compare
+
+
+def _pairs(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+
+def _units(hashes: np.ndarray, texts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text) of every unit of weight, so that the units that two texts share are their common weight."""
+    copy = np.arange(int(weights.sum())) - np.repeat(np.cumsum(weights) - weights, weights)
+    return mix(np.repeat(hashes, weights) + mix(copy.astype(np.uint64))), np.repeat(texts, weights)
+
+
+def _alike(left: list[np.ndarray], right: list[np.ndarray], least: float, columns: int = 4096) -> np.ndarray:
+    """Which texts on the left and the right, given by their units, are at least that similar."""
+    sizes = [np.array([len(u) for u in side]) for side in (left, right)]
+    rows = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    names, at = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    at = at[: len(rows[0])], at[len(rows[0]) :]
+    # Only units that both sides hold can be shared.
+    both = (np.bincount(at[0], minlength=len(names)) > 0) & (np.bincount(at[1], minlength=len(names)) > 0)
+    place = np.cumsum(both) - 1
+    shared = np.zeros((len(left), len(right)), np.float64)
+    sides = []
+    for r, a in zip(rows, at, strict=True):
+        keep = both[a]
+        order = np.argsort(place[a[keep]], kind="stable")
+        sides.append((r[keep][order], place[a[keep]][order]))
+    for low in range(0, int(both.sum()), columns):
+        tables = []
+        for n, (r, p) in zip(sizes, sides, strict=True):
+            part = slice(*np.searchsorted(p, [low, low + columns]))
+            table = np.zeros((len(n), columns), np.float32)
+            table[r[part], p[part] - low] = 1
+            tables.append(table)
+        shared += tables[0] @ tables[1].T
+    union = sizes[0][:, None] + sizes[1][None, :] - shared
+    return (union > 0) & (shared >= least * union)
 
 
 def near_duplicate_classes(
