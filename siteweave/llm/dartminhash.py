@@ -382,7 +382,8 @@ def near_duplicate_classes(
     signatures = written(signed(docs, id_col, text_col, bands, rows).withColumn("slot", slot), "signatures")
     folded = signatures.filter("n_words > 0").groupBy("key").agg(F.first("bands").alias("bands"))
     members = written(_buckets(folded), "members")
-    touched = members.select("key").distinct()
+    # Joined alike at every size: the texts are dealt out, not the keys sent to them.
+    touched = members.select("key").distinct().hint("merge")
     whole = docs.select(text_key(text_col).alias("key"), F.col(text_col).alias("text"))
     shared = split_join(whole, touched, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     classes = _classes(members, written(shared, "texts"), least).withColumnRenamed("node", "key")
