@@ -159,9 +159,10 @@ def mix_documents(
     a pattern as often as its words fit into what the pattern gives, and a seeded choice
     of them once more. `source_size` and `target` are those of the document's first source.
 
-    Null is a source of its own. A document without words, or without a source, is taken
-    as often as all others of its pattern (never, if that gives nothing). Rows alike in
-    id, text and sources are chosen together. An empty table gives an empty mix.
+    Null is a source of its own. A document without words adds nothing to any sum and is
+    taken like those around it in the seeded order, once where its pattern has no words at
+    all; one without a source is never taken. Rows alike in id, text and sources are chosen
+    together. An empty table gives an empty mix.
     """
     prepare(docs.sparkSession)
     place = F.col(sources) if isinstance(sources, str) else sources

@@ -16,7 +16,9 @@ from .graph import components
 
 LEAST_COSINE = 0.98
 # Reference points: a bounded sample of the vectors, about the root of their number.
-LEAST_PIVOTS, MOST_PIVOTS = 32, 4096
+LEAST_PIVOTS, MOST_PIVOTS = 32, 2048
+# They are chosen from so many times as many rows, none closer to another than this cosine.
+SAMPLED, APART = 4, 0.9
 # A vector is described by its nearest pivots, is looked up under the first of them, and
 # is compared with those that share enough of its description.
 DESCRIBED = 10
@@ -31,19 +33,30 @@ def _unit(flat: np.ndarray, rows: int) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def choose_pivots(groups: DataFrame, most: int = MOST_PIVOTS) -> dict[int, np.ndarray]:
-    """Reference points per vector length: a seeded sample of at most `most` distinct vectors in all.
+def choose_pivots(groups: DataFrame, most: int = MOST_PIVOTS, apart: float = APART) -> dict[int, np.ndarray]:
+    """Reference points per vector length, from a seeded sample of a bounded number of distinct vectors.
 
-    Their number grows with the root of the table, so that posting lists stay short, up
-    to that bound.
+    Their number grows with the root of the table, so that posting lists stay short, up to
+    `most`. No two have a cosine over `apart`: among points close to each other the order
+    would be chance for all vectors near them, such as a large group of near copies.
     """
     n = groups.count()
     wanted = min(most, max(LEAST_PIVOTS, 2 * math.isqrt(n)))
-    picked = groups.select("v").orderBy(F.xxhash64(F.lit(3), "v"), "v").limit(wanted).collect()
+    drawn = groups.select("v").orderBy(F.xxhash64(F.lit(3), "v"), "v").limit(SAMPLED * wanted).collect()
     by_length: dict[int, list] = {}
-    for row in picked:
+    for row in drawn:
         by_length.setdefault(len(row["v"]), []).append(row["v"])
-    return {length: _unit(np.array(rows, np.float64), len(rows)) for length, rows in by_length.items()}
+    pivots = {}
+    for length, rows in by_length.items():
+        points = _unit(np.array(rows, np.float64), len(rows))
+        chosen = np.empty((0, length))
+        for point in points:
+            if len(chosen) == wanted:
+                break
+            if not (chosen @ point > apart).any():
+                chosen = np.vstack([chosen, point])
+        pivots[length] = chosen
+    return pivots
 
 
 def describe(groups: DataFrame, pivots: dict[int, np.ndarray], described: int = DESCRIBED) -> DataFrame:

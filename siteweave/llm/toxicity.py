@@ -21,10 +21,16 @@ DICTIONARY_BYTES = 8192
 TOXIC_WORDS, ORDINARY_WORDS = 6000, 20_000
 GRAM = 5
 # How much more often a run of letters has to be in toxic texts than in ordinary ones.
-LEAST_RATIO = 30.0
+LEAST_RATIO = 10.0
+# Toxic texts it has to be in, at the least and as a share of them.
+LEAST_TEXTS, LEAST_SHARE = 5, 1 / 50
 MOST_GRAMS = 5000
 # Distances are told apart up to this many bytes.
 MOST_BYTES = 24
+# A window that is so many bytes nearer to toxic counts as a toxic word.
+TELLING_BYTES = 8
+# Added to shares before their logarithm; strength of the regression's ridge.
+LEAST_PART, RIDGE = 1e-3, 0.1
 # Added to the words of a text, so that one window says little in a short one.
 PRIOR_WORDS = 20
 CACHED_WINDOWS = 300_000
@@ -95,12 +101,12 @@ def train(words: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
 
 @dataclasses.dataclass(frozen=True)
 class Model:
-    """Two dictionaries, the distance from which a window counts, and the share that is even odds."""
+    """Two dictionaries, and what the share of windows over each distance weighs; without weights all scores are 0."""
 
     toxic: bytes
     ordinary: bytes
-    least_bytes: int
-    even_share: float
+    weights: tuple[float, ...] = ()
+    bias: float = 0.0
 
     def distances(self):
         """A function from windows to how many bytes shorter the toxic dictionary makes each."""
@@ -126,12 +132,10 @@ def _texts(column) -> Iterator[list[bytes]]:
         yield _words(raw[a:b])
 
 
-def _grams(words: set[bytes]) -> set[bytes]:
-    found = set()
-    for word in words:
-        padded = b" " + word + b" "
-        found.update([padded[i : i + GRAM] for i in range(len(padded) - GRAM + 1)])
-    return found
+def _grams(words: list[bytes]) -> list[bytes]:
+    """Runs of letters within words, as often as they occur."""
+    padded = [b" " + word + b" " for word in words]
+    return [p[i : i + GRAM] for p in padded for i in range(len(p) - GRAM + 1)]
 
 
 def _sample(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str, text_col: str) -> DataFrame:
@@ -151,24 +155,29 @@ def _sample(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str,
 
 
 def _counted(sample: DataFrame, of, name: str) -> DataFrame:
-    """(name, toxic, n): how many texts of part 0, or places in them, hold something, per class."""
+    """(name, toxic, n, texts): how often something occurs in texts of part 0, and in how many, per class."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+        texts: Counter = Counter()
         for batch in batches:
             for words, toxic in zip(_texts(batch.column(1)), batch.column(0).to_pylist(), strict=True):
-                counts.update((x, toxic) for x in of(words))
+                found = Counter((x, toxic) for x in of(words))
+                counts.update(found)
+                texts.update(found.keys())
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([k[0] for k in counts], pa.binary()),
                 pa.array([k[1] for k in counts], pa.int32()),
                 pa.array(list(counts.values()), pa.int64()),
+                pa.array([texts[k] for k in counts], pa.int64()),
             ],
-            names=[name, "toxic", "n"],
+            names=[name, "toxic", "n", "texts"],
         )
 
     part = sample.filter("part = 0").select("toxic", "text")
-    return part.mapInArrow(count, f"{name} binary, toxic int, n long").groupBy(name, "toxic").agg(F.sum("n").alias("n"))
+    counted = part.mapInArrow(count, f"{name} binary, toxic int, n long, texts long")
+    return counted.groupBy(name, "toxic").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
 
 
 def fit(
@@ -181,28 +190,27 @@ def fit(
     word counts above. Labels of rows that `train_rows` leaves out are never seen.
 
     The ordinary dictionary is trained on the commonest words of ordinary texts, the toxic
-    one on those words of toxic texts that hold a run of letters which is much commoner in them than
-    in ordinary texts. A text's windows are its words. The window threshold and the share
-    of windows over it at even odds are those that tell the calibration rows apart best.
+    one on those words of toxic texts that hold a run of letters which is much commoner
+    among their words than in ordinary texts. A text's windows are its words. The calibration rows tell what the
+    share of windows over each threshold weighs.
     Without labelled rows of both kinds nothing can be told apart, and every score is 0.
     """
     prepare(docs.sparkSession)
     sample = written(_sample(docs, labels, train_rows, id_col, text_col), "sample")
     size = {r["toxic"]: r["count"] for r in sample.filter("part = 0").groupBy("toxic").count().collect()}
     if not size.get(0) or not size.get(1):
-        return Model(b"", b"", MOST_BYTES + 1, 1.0)
-
-    held = _counted(sample, lambda words: _grams(set(words)), "gram")
-    sides = held.groupBy("gram").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("n1"),
-        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("n0"),
-    )
-    ratio = (F.col("n1") + 0.5) / (size[1] + 1) / ((F.col("n0") + 0.5) / (size[0] + 1))
-    strong = sides.filter((F.col("n1") >= max(2, size[1] // 75)) & (ratio >= LEAST_RATIO))
+        return Model(b"", b"")
+
+    held = _counted(sample, _grams, "gram")
+    side = lambda kind, c: F.sum(F.when(F.col("toxic") == kind, F.col(c)).otherwise(0))
+    sides = held.groupBy("gram").agg(side(1, "n").alias("n1"), side(0, "n").alias("n0"), side(1, "texts").alias("texts"))
+    all_ = sides.agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).first()
+    ratio = (F.col("n1") + 0.5) / ((all_["n1"] or 0) + 1) / ((F.col("n0") + 0.5) / ((all_["n0"] or 0) + 1))
+    strong = sides.filter((F.col("texts") >= max(LEAST_TEXTS, size[1] * LEAST_SHARE)) & (ratio >= LEAST_RATIO))
     grams = {bytes(r["gram"]) for r in strong.orderBy(ratio.desc(), "gram").limit(MOST_GRAMS).collect()}
 
     def telling(words: list[bytes]) -> list[bytes]:
-        return [w for w in words if not grams.isdisjoint(_grams({w}))]
+        return [w for w in words if not grams.isdisjoint(_grams([w]))]
 
     def commonest(counts: DataFrame, kind: int, n: int) -> list[bytes]:
         rows = counts.filter(F.col("toxic") == kind).orderBy(F.col("n").desc(), "word").limit(n).collect()
@@ -213,38 +221,37 @@ def fit(
     toxic = commonest(_counted(sample, telling, "word"), 1, TOXIC_WORDS)
     ordinary = commonest(_counted(sample, lambda words: words, "word"), 0, ORDINARY_WORDS)
     if not toxic or not ordinary:
-        return Model(b"", b"", MOST_BYTES + 1, 1.0)
-    model = Model(train(toxic), train(ordinary), 1, 1.0)
+        return Model(b"", b"")
+    model = Model(train(toxic), train(ordinary))
 
     rows = _histograms(sample.filter("part = 1"), ["toxic"], "text", model).collect()
     labels_ = np.array([r["toxic"] for r in rows], int)
     over = np.array([r["over"] for r in rows], float).reshape(len(rows), MOST_BYTES + 1)
     words = np.array([r["n_words"] for r in rows], float)
-    return dataclasses.replace(model, **_calibrated(over / (words + PRIOR_WORDS)[:, None], labels_))
+    weights, bias = _calibrated(over / (words + PRIOR_WORDS)[:, None], labels_)
+    return dataclasses.replace(model, weights=weights, bias=bias)
 
 
-def _calibrated(shares: np.ndarray, labels: np.ndarray) -> dict:
-    """The window threshold and the share at even odds that tell the classes apart best, then by the widest gap.
+def _calibrated(shares: np.ndarray, labels: np.ndarray) -> tuple[tuple[float, ...], float]:
+    """Weights of the logarithms of the shares over each distance, and a bias: a ridge logistic regression.
 
-    Calling a clean text toxic counts twice."""
-    best = (-1.0, 0.0, MOST_BYTES + 1, 1.0)
+    Calling a clean text toxic counts twice as much as the reverse.
+    """
     if labels.min(initial=1) == labels.max(initial=0):
-        return {"least_bytes": best[2], "even_share": best[3]}
-    for least in range(1, MOST_BYTES + 1):
-        x = shares[:, least]
-        order = np.argsort(x, kind="stable")
-        x, y = x[order], labels[order]
-        # Cutting before place i calls everything from i on toxic.
-        ordinary_below = np.concatenate([[0], np.cumsum(y == 0)]) / (y == 0).sum()
-        toxic_above = 1 - np.concatenate([[0], np.cumsum(y == 1)]) / (y == 1).sum()
-        padded = np.concatenate([[0.0], x, [1.0]])
-        real = padded[1:] > padded[:-1]
-        quality = np.where(real, 2 * ordinary_below + toxic_above, -1)
-        i = int(np.argmax(quality))
-        low, high = max(padded[i], 1e-4), padded[i + 1]
-        found = (float(quality[i]), float(high / low), least, float(np.sqrt(low * max(high, low))))
-        best = max(best, found)
-    return {"least_bytes": best[2], "even_share": best[3]}
+        return (), 0.0
+    x = np.log(shares + LEAST_PART)
+    middle, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
+    a = np.column_stack([(x - middle) / spread, np.ones(len(x))])
+    per_row = np.where(labels == 1, (labels == 0).sum() / (labels == 1).sum() / 2, 1.0)
+    ridge = np.append(np.full(x.shape[1], RIDGE), 1e-6)
+    w = np.zeros(a.shape[1])
+    for _ in range(30):  # Newton's steps
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+        slope = a.T @ (per_row * (p - labels)) + ridge * w
+        bend = (a * (per_row * p * (1 - p))[:, None]).T @ a + np.diag(ridge + 1e-6)
+        w = w - np.linalg.solve(bend, slope)
+    weights = w[:-1] / spread
+    return tuple(weights.tolist()), float(w[-1] - (weights * middle).sum())
 
 
 def _histograms(docs: DataFrame, keep: list[str], text_col: str, model: Model) -> DataFrame:
@@ -285,16 +292,19 @@ def _histograms(docs: DataFrame, keep: list[str], text_col: str, model: Model) -
 def score_toxicity(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns to keep with (n_words, toxic_words, score); score is 0.5 at even odds.
 
-    Every word of the whole text is a window. Null and empty texts have none and score 0.
+    Every word of the whole text is a window; `toxic_words` are those at least
+    `TELLING_BYTES` nearer to toxic. Null and empty texts have none and score like a text without any.
     Repeated rows score alike; an empty table gives no rows.
     """
     prepare(docs.sparkSession)
     counted = _histograms(docs, keep, text_col, model)
-    hits = F.coalesce(F.get("over", F.lit(model.least_bytes)), F.lit(0))
-    share = hits / (F.col("n_words") + PRIOR_WORDS) / F.lit(model.even_share)
-    return counted.select(
-        *keep, "n_words", hits.alias("toxic_words"), (1 - 1 / (1 + share * share)).alias("score")
-    )
+    hits = F.get("over", F.lit(TELLING_BYTES)).alias("toxic_words")
+    if not model.weights:
+        return counted.select(*keep, "n_words", hits, F.lit(0.0).alias("score"))
+    parts = F.transform("over", lambda n: F.log(n / (F.col("n_words") + PRIOR_WORDS) + F.lit(LEAST_PART)))
+    weighed = F.zip_with(parts, F.array(*[F.lit(w) for w in model.weights]), lambda x, w: x * w)
+    odds = F.aggregate(weighed, F.lit(model.bias), lambda total, x: total + x)
+    return counted.select(*keep, "n_words", hits, (1 / (1 + F.exp(-odds))).alias("score"))
 
 
 def in_training(id_col: str = "doc_id") -> Column:
