@@ -18,16 +18,16 @@ _NAMED = {f"&{name};": chr(point) for name, point in name2codepoint.items()} | {
 
 
 def html_to_text(html: Column, entities: Mapping[str, str] = _NAMED) -> Column:
-    """Visible text of a page: no scripts, styles, comments or tags; references decoded.
+    """Visible text of a page: no scripts, styles, templates, comments or tags; references decoded.
 
-    An unclosed script, style or comment runs to the end of the page.
+    The page is read once from left to right, so that whatever begins first ends first.
+    A tag ends behind its quoted attributes, or at the next `>` if a quote stays open. An
+    unclosed script, style, template or comment runs to the end of the page.
     """
-    text = html
-    for name in ("script", "style"):
-        text = F.regexp_replace(text, rf"(?is)<{name}\b[^>]*>.*?(?:</{name}\s*>|\z)", "")
-    text = F.regexp_replace(text, r"(?s)<!--.*?(?:-->|\z)", "")
-    text = F.regexp_replace(text, r"<[a-zA-Z/!?][^>]*>", "")
-    return decode_entities(text, entities)
+    attributes = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+    hidden = rf"<(script|style|template)\b{attributes}>.*?(?:</\1\s*>|\z)"
+    pattern = rf"(?is)<!--.*?(?:-->|\z)|{hidden}|</?[a-z]{attributes}>|<[a-z/!?][^>]*+>"
+    return decode_entities(F.regexp_replace(html, pattern, ""), entities)
 
 
 def decode_entities(text: Column, entities: Mapping[str, str] = _NAMED) -> Column:
@@ -35,8 +35,8 @@ def decode_entities(text: Column, entities: Mapping[str, str] = _NAMED) -> Colum
     named = F.create_map(*[F.lit(part) for item in entities.items() for part in item])
 
     def piece(part: Column) -> Column:
-        decimal = F.nullif(F.regexp_extract(part, r"^&#([0-9]{1,7});$", 1), F.lit(""))
-        hexadecimal = F.nullif(F.regexp_extract(part, r"^&#[xX]([0-9a-fA-F]{1,6});$", 1), F.lit(""))
+        decimal = F.nullif(F.regexp_extract(part, r"^&#0*([0-9]{1,7});$", 1), F.lit(""))
+        hexadecimal = F.nullif(F.regexp_extract(part, r"^&#[xX]0*([0-9a-fA-F]{1,6});$", 1), F.lit(""))
         return (
             F.when(~part.startswith("&") | (F.length(part) == 1), part)
             .when(decimal.isNotNull(), _character(decimal.cast("long"), part))
@@ -44,7 +44,7 @@ def decode_entities(text: Column, entities: Mapping[str, str] = _NAMED) -> Colum
             .otherwise(F.coalesce(F.try_element_at(named, part), part))
         )
 
-    parts = F.regexp_extract_all(text, F.lit(r"(&#?[A-Za-z0-9]{1,32};|[^&]+|&)"), 1)
+    parts = F.regexp_extract_all(text, F.lit(r"(&#?[A-Za-z0-9]+;|[^&]+|&)"), 1)
     return F.when(text.contains("&"), F.array_join(F.transform(parts, piece), "")).otherwise(text)
 
 

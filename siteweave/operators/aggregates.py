@@ -54,19 +54,19 @@ def assemble_pages(
     pages_per_part: int = 1000,
     separator: str = "\n",
 ) -> DataFrame:
-    """Document text from its non-empty pages in order: (doc, part, text).
+    """Document text from its non-empty pages in order: (doc, text), one row per document.
 
-    A part covers a fixed run of page numbers, so no group grows with its document.
-    Only documents longer than that have more than part 0; their parts, joined by
-    the separator, are the whole text.
+    Runs of pages are joined first, each by a task of its own, and then the runs of a
+    document; the row of a document is the only thing that grows with it.
     """
-    part = F.floor(F.col(page_no) / pages_per_part).cast("long")
-    entries = F.array_sort(F.collect_list(F.struct(page_no, text)))
-    return (
-        pages.filter(has_text(F.col(text)))
-        .groupBy(doc, part.alias("part"))
-        .agg(F.array_join(F.transform(entries, lambda e: e[text]), separator).alias(text))
-    )
+
+    def joined(place: str):
+        entries = F.array_sort(F.collect_list(F.struct(place, text)))
+        return F.array_join(F.transform(entries, lambda e: e[text]), separator).alias(text)
+
+    part = F.floor(F.col(page_no) / pages_per_part).cast("long").alias("_part")
+    parts = pages.filter(has_text(F.col(text))).groupBy(doc, part).agg(joined(page_no))
+    return parts.groupBy(doc).agg(joined("_part"))
 
 
 def schema_summary(edges: DataFrame) -> DataFrame:

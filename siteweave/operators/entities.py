@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, tag_label
-from .graph import as_edges
+from .graph import as_edges, with_endpoints
 from .joins import split_join
 
 
@@ -25,7 +25,7 @@ def cooccurrence(
     """Company-SELLS->Product for names tagged in the same document.
 
     Names are made distinct per document first, so a document that repeats them
-    costs no more; every pair that is left is an edge of the result.
+    costs no more; every pair that is left is an edge of the result, if both ends are nodes.
     """
 
     def named(tag: str, alias: str) -> DataFrame:
@@ -34,4 +34,5 @@ def cooccurrence(
         ).distinct()
 
     pairs = split_join(named(class_a, "src"), named(class_b, "dst"), "doc")
-    return as_edges(pairs, fixed.COMPANY, "src", rel, fixed.PRODUCT, "dst")
+    edges = as_edges(pairs, fixed.COMPANY, "src", rel, fixed.PRODUCT, "dst")
+    return with_endpoints(edges, entity_nodes(tokens).withColumnRenamed("name", "key"))

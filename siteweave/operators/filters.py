@@ -13,14 +13,14 @@ from ..functions import fixed
 def exclude_like(df: DataFrame, col: str, words: Iterable[str]) -> DataFrame:
     """Drop rows whose text holds one of the words, and rows without text."""
     for word in words:
-        df = df.filter(~F.col(col).like(f"%{word}%"))
+        df = df.filter(~F.col(col).contains(word))
     return df
 
 
 def exclude_ilike(df: DataFrame, col: str, words: Iterable[str]) -> DataFrame:
     """As `exclude_like`, ignoring case."""
     for word in words:
-        df = df.filter(~F.col(col).ilike(f"%{word}%"))
+        df = df.filter(~F.lower(col).contains(word.lower()))
     return df
 
 

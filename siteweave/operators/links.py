@@ -145,10 +145,10 @@ def link_edges(links: DataFrame, games: DataFrame) -> DataFrame:
 
 
 def link_targets(links: DataFrame) -> DataFrame:
-    """Target nodes of the links; of several names the last landed one counts."""
+    """Target nodes of the links; of several names the last landed one counts, none only if there is no name."""
     names = links.groupBy("dst_label", "dst_key", "dst_name").agg(F.max("seq").alias("seq"))
     named = dedupe_first(
-        names, ["dst_label", "dst_key"], [F.col("seq").desc_nulls_last(), F.col("dst_name").asc_nulls_last()]
+        names, ["dst_label", "dst_key"], [F.col("dst_name").isNull(), F.col("seq").desc_nulls_last(), "dst_name"]
     )
     return named.select(
         F.col("dst_label").alias("label"),

@@ -292,16 +292,23 @@ def ingest_companies(
 
 
 def site_summaries(
-    pages: DataFrame, model: str, stamp: str, fn: Callable[[str], str] | None = None, key: str = "page_id"
+    pages: DataFrame,
+    model: str,
+    stamp: str,
+    fn: Callable[[str], str] | None = None,
+    key: str = "page_id",
+    chars: int | None = fixed.SITE_TEXT_CHARS,
 ) -> DataFrame:
     """One summary per page: (key, url, text, model, timestamp); failed pages are skipped.
 
+    The prompt has the page's first `chars` characters, or all of them if that is None.
+
     The run's time stamp is passed in. The texts are kept as told: whatever reads
     them sees the same text, and the function is called once per page.
     """
-    asked = pages.filter(has_text(F.col("url"))).select(
-        key, "url", site_prompt(first_chars(html_to_text(F.col("html")))).alias("prompt")
-    )
+    text = html_to_text(F.col("html"))
+    prompt = site_prompt(text if chars is None else first_chars(text, chars))
+    asked = pages.filter(has_text(F.col("url"))).select(key, "url", prompt.alias("prompt"))
     told = enrich(asked, "prompt", "text", fn, on_error="skip")
     return keep(told.select(key, "url", "text", F.lit(model).alias("model"), F.lit(stamp).alias("timestamp")))
 

@@ -20,15 +20,15 @@ from ...operators.enrich import enrich
 from ...sources import read_table, spread
 from .base import query
 
-# Element contents, comments and tags go; then references, the ampersand last.
+# Comments, element contents and tags go, whichever comes first; then references, the ampersand last.
 _PAGE_TEXT = """
 WITH page_text AS (
   SELECT page_id, url, replace(replace(replace(replace(
-    regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
-      '(?is)<script\\b[^>]*>.*?(?:</script\\s*>|\\z)', '', 'g'),
-      '(?is)<style\\b[^>]*>.*?(?:</style\\s*>|\\z)', '', 'g'),
-      '(?s)<!--.*?(?:-->|\\z)', '', 'g'),
-      '<[a-zA-Z/!?][^>]*>', '', 'g'),
+    regexp_replace(html, '(?is)<!--.*?(?:-->|\\z)'
+      || '|<script\\b(?:[^>"'']|"[^"]*"|''[^'']*'')*>.*?(?:</script\\s*>|\\z)'
+      || '|<style\\b(?:[^>"'']|"[^"]*"|''[^'']*'')*>.*?(?:</style\\s*>|\\z)'
+      || '|<template\\b(?:[^>"'']|"[^"]*"|''[^'']*'')*>.*?(?:</template\\s*>|\\z)'
+      || '|</?[a-z](?:[^>"'']|"[^"]*"|''[^'']*'')*>|<[a-z/!?][^>]*>', '', 'g'),
     '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&') AS text
   FROM pages)
 """
@@ -75,7 +75,7 @@ def stripped(spark, folder):
 
 @query(
     "assemble_pages",
-    """SELECT conv_id, CAST(0 AS BIGINT) AS part, string_agg(text, chr(10) ORDER BY turn) AS text
+    """SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS text
        FROM conversations WHERE text <> '' GROUP BY 1""",
 )
 def assembled(spark, folder):

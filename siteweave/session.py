@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -54,7 +55,7 @@ def shared_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(folder)
         return folder
     if not context.getCheckpointDir():
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="siteweave-"))
     return os.path.dirname(context.getCheckpointDir().rstrip("/"))

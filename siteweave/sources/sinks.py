@@ -17,8 +17,15 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def append_new(df: DataFrame, path: str, key: str | Sequence[str]) -> None:
-    """Add only the rows whose key the table does not hold yet."""
+def append_new(
+    df: DataFrame, path: str, key: str | Sequence[str], order_by: Sequence[Column | str] | None = None
+) -> None:
+    """Add only the rows whose key the table does not hold yet, one per key.
+
+    Of several rows with one key the first in `order_by` is added, without an order any one.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    df = dedupe_first(df, keys, order_by) if order_by else df.dropDuplicates(keys)
     try:
         seen = df.sparkSession.read.parquet(path)
     except AnalysisException as error:
@@ -65,8 +72,9 @@ def write_graph(nodes: DataFrame, edges: DataFrame, folder: str) -> str:
 
 
 def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    nodes = spark.read.parquet(f"{path}/nodes").select("label", "key", "props")
-    edges = spark.read.parquet(f"{path}/edges").select(
-        "src_label", "src_key", "rel_type", "dst_label", "dst_key"
-    )
-    return nodes, edges
+    """A snapshot's nodes and edges; the schema is given, for parts may be empty and labels look like numbers."""
+    node = "label string, key string, props map<string, string>"
+    edge = "src_label string, src_key string, rel_type string, dst_label string, dst_key string"
+    nodes = spark.read.schema(node).parquet(f"{path}/nodes").select("label", "key", "props")
+    edges = spark.read.schema(edge).parquet(f"{path}/edges")
+    return nodes, edges.select("src_label", "src_key", "rel_type", "dst_label", "dst_key")

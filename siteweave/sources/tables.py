@@ -58,9 +58,14 @@ def lookup_by_ids(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 def net_new(source: DataFrame, seen: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Source rows whose key has not been ingested yet."""
+    """Source rows whose key has not been ingested yet.
+
+    The history is only probed: a small source is broadcast to it and it is not shuffled.
+    The source is read twice, so pass a table rather than the end of a long plan.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    return split_join(source, seen.select(*keys).distinct(), keys, "left_anti")
+    held = split_join(seen.select(*keys), source.select(*keys), keys, "left_semi").distinct()
+    return split_join(source, held, keys, "left_anti")
 
 
 def split_rejects(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
@@ -88,7 +93,8 @@ def search_first(
     """
     wanted = probes.filter(has_text(F.col(probe_col))).select(probe_col).distinct()
     if mode == "equals":
-        first = dedupe_first(docs.filter(F.col(text_col).isNotNull()), [text_col], order_by)
+        asked = wanted.withColumnRenamed(probe_col, text_col)
+        first = dedupe_first(split_join(docs, asked, text_col, "left_semi"), [text_col], order_by)
         return wanted.join(first, F.col(probe_col) == F.col(text_col))
     split, glue = {"contains": (lambda col: F.split(col, ""), ""), "phrase": (words, " ")}[mode]
 

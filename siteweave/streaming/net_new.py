@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.ranking import dedupe_first
 from ..sources.sinks import append_new
 
 
@@ -32,7 +31,7 @@ def ingest_net_new(
     keys = [key] if isinstance(key, str) else list(key)
 
     def write(batch: DataFrame, _: int) -> None:
-        append_new(dedupe_first(transform(batch), keys, order_by), target, keys)
+        append_new(transform(batch), target, keys, order_by)
 
     return (
         spark.readStream.schema(schema)

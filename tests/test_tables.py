@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from siteweave.operators.aggregates import assemble_pages
 from siteweave.operators.entities import cooccurrence, entity_nodes
+from siteweave.operators.filters import exclude_ilike, exclude_like
 from siteweave.operators.lookups import company_website
 from siteweave.operators.ranking import assign_uid, colour_index, dedupe_first, top_k
 from siteweave.plans.company import usable_pages
@@ -180,11 +181,59 @@ def test_search_phrase_by_brute_force(spark):
 def test_assemble_pages(spark, rows):
     pages = [("d", i, f"p{i}") for i in range(25)] + [("d", 99, ""), ("e", 3, "z"), ("e", 1, "y"), ("f", 0, None)]
     df = spark.createDataFrame(pages, "doc string, page int, text string").repartition(5)
-    assert ("e", 0, "y\nz") in rows(assemble_pages(df, "doc", "page", "text"))
-    parts = assemble_pages(df, "doc", "page", "text", pages_per_part=10)
-    whole = "\n".join(r.text for r in parts.filter("doc = 'd'").orderBy("part").collect())
-    assert whole == "\n".join(f"p{i}" for i in range(25))
-    assert parts.filter("doc = 'f'").count() == 0
+    want = [("d", "\n".join(f"p{i}" for i in range(25))), ("e", "y\nz")]
+    assert rows(assemble_pages(df, "doc", "page", "text")) == want
+    assert rows(assemble_pages(df, "doc", "page", "text", pages_per_part=10)) == want
+
+
+def test_a_long_document_is_one_row(spark):
+    pages = spark.range(2500).select(F.lit("d").alias("doc"), "id", F.concat(F.lit("p"), "id").alias("text"))
+    (row,) = assemble_pages(pages.repartition(7), "doc", "id", "text").collect()
+    assert row.text == "\n".join(f"p{i}" for i in range(2500))
+
+
+def test_the_history_is_only_probed(spark):
+    """A small increment meets a history above the broadcast threshold: no exchange below their join."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        source = spark.range(2_000_000, 2_020_000, 1000)
+        fresh = net_new(source, spark.range(2_010_000), "id")
+        lines = fresh._jdf.queryExecution().executedPlan().toString().split("\n")
+        assert fresh.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    at = next(i for i, line in enumerate(lines) if "Range (0, 2010000" in line)
+    above = [line for line in lines[:at] if "Exchange hashpartitioning" in line or "LeftSemi" in line]
+    assert "BroadcastHashJoin" in above[-1] and "LeftSemi" in above[-1]
+
+
+def test_rows_of_one_key_in_a_batch(spark, rows):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id int, v string")
+    ordered, plain = new_table_path(spark, "ordered"), new_table_path(spark, "plain")
+    append_new(df, ordered, "id", [F.col("v").desc()])
+    append_new(df, plain, "id")
+    assert rows(spark.read.parquet(ordered)) == [(1, "b"), (2, "c")]
+    assert rows(spark.read.parquet(plain), "id") == [(1,), (2,)]
+
+
+def test_graph_without_edges_and_labels_like_numbers(spark, rows):
+    nodes = spark.createDataFrame([("2024", "1", {"a": "b"})], "label string, key string, props map<string,string>")
+    edges = spark.createDataFrame([], "src_label string, src_key string, rel_type string, dst_label string, dst_key string")
+    back, none = read_graph(spark, write_graph(nodes, edges, new_table_path(spark, "graph")))
+    assert [(r.label, r.key, r.props) for r in back.collect()] == [("2024", "1", {"a": "b"})]
+    assert none.count() == 0 and none.columns == edges.columns
+
+
+def test_excluded_words_are_no_patterns(spark, rows):
+    df = spark.createDataFrame([("a_b",), ("axb",), ("A_B c",), ("100%",), ("1000",), (None,)], "t string")
+    assert rows(exclude_like(df, "t", ["a_b", "0%"])) == [("1000",), ("A_B c",), ("axb",)]
+    assert rows(exclude_ilike(df, "t", ["a_b", "0%"])) == [("1000",), ("axb",)]
+
+
+def test_sells_needs_both_nodes(spark, rows):
+    tokens = spark.createDataFrame([("1", "Acme", "XORGY"), ("1", "Kit", "B-PRODUCT")], "doc string, word string, entity string")
+    assert cooccurrence(tokens).count() == 0
 
 
 def test_entities(spark, rows):

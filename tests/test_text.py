@@ -76,7 +76,11 @@ def test_fetch_status(spark, c):
 
 def test_html_to_text(spark, c):
     pages = {
-        '<!DOCTYPE html><p class="a>b">x</p><P>y</P>': 'b">xy',
+        '<!DOCTYPE html><p class="a>b">x</p><P>y</P>': "xy",
+        "a<!-- <script src=x> --> visible text": "a visible text",
+        "<p title='a>b' id=\"c>d\">hello</p><p title=\"open>end": "helloend",
+        "a<template id=t><b>hidden</b></template>b<script>x<!-- </script>c": "abc",
+        "&#0000000065;&#x00000042;&#0;&#99999999;": "AB&#0;&#99999999;",
         "<script>var t='</p>';</script><STYLE a=1>p{}</STYLE>z<!-- <p>no --> &lt;b&gt;": "z <b>",
         "a < b &amp;lt; c &#65;&#x42;&#x1F600; &bogus; &": "a < b &lt; c AB\U0001f600 &bogus; &",
         "text<script>never closed": "text",
