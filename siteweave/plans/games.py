@@ -37,7 +37,6 @@ from ..operators.graph import (
     create_nodes,
     detached,
     drop_orphans,
-    merge_edges,
     merge_props,
     props_map,
     replace_edges,
@@ -117,18 +116,20 @@ def ingest_documents(graph: Graph, landed: DataFrame, order_by: Sequence[Column
 
     `landed` has a JSON column `payload` and `seq`, which grows with every landing.
     The first document per id in `order_by` sets the properties; every document adds
-    its links. Nodes and edges are both made from the links, so these are folded
-    once and kept in the shared folder.
+    its links, if its id is a node; a year is made for every document that has one. Nodes
+    and edges are both made from the links, so these are folded once and kept in the shared folder.
     """
     nodes, edges = graph
     docs = read_payload(landed.select("payload", seq), "payload", LINK_SCHEMA)
-    links = keep(known_links(document_links(docs, [*DOCUMENT_RULES, similar_to], seq), nodes))
+    found = keep(document_links(docs, [*DOCUMENT_RULES, similar_to], seq))
+    links = known_links(found, nodes)
     own = links.filter(F.col("rel_type") != fixed.SIMILAR_TO)
     newest = newest_documents(landed, nodes, order_by)
     updates = assign_props(base_properties(newest), fixed.CATALOG_ID, "key", BASE_PROPS)
     # A name is only set where the link has one.
     named = F.when(F.col("name").isNotNull(), F.array(F.lit("name"))).otherwise(F.array().cast("array<string>"))
-    targets = link_targets(own).select("label", "key", props_map(["name"]), named.alias("sets"))
+    is_year = F.col("rel_type") == fixed.RELEASED_IN
+    targets = link_targets(own.filter(~is_year).unionByName(found.filter(is_year))).select("label", "key", props_map(["name"]), named.alias("sets"))
     added = link_edges(own, nodes).unionByName(similar_edges(links, nodes))
     return (
         merge_props(nodes, updates.unionByName(targets), [fixed.CATALOG_ID, *TARGETS]),
@@ -246,7 +247,7 @@ def ingest_average_views(graph: Graph, replace: bool = False) -> Graph:
     streams = _label(nodes, fixed.STREAM).select(
         "key", F.try_element_at("props", F.lit("viewer_count")).cast("double").alias("viewer_count")
     )
-    averages = average_views(games, edges, streams)
+    averages = keep(average_views(games, edges, streams))  # one row per name, read for values, links and what they replace
     values, links = average_view_graph(games, averages, as_key(F.col("average")))
     rel = fixed.HAS_AVERAGE_VIEW_COUNT
     nodes = merge_props(nodes, values, [fixed.AVERAGE_VIEWS])
@@ -288,7 +289,10 @@ def ingest_companies(
     )
     new_nodes, candidates = company_documents_graph(docs, countries)
     nodes = merge_props(nodes, updates.unionByName(new_nodes), [fixed.COMPANY, fixed.WEBSITE, fixed.COUNTRY])
-    return nodes, merge_edges(edges, candidates, nodes, [fixed.HAS_WEBSITE, fixed.LOCATED_IN])
+    # The targets are made here, so only the sources are looked up, and in the stored nodes.
+    known = companies.select(F.lit(fixed.COMPANY).alias("src_label"), F.col("key").alias("src_key"))
+    started = split_join(candidates, known, ["src_label", "src_key"], "left_semi")
+    return nodes, add_edges(edges, started, [fixed.HAS_WEBSITE, fixed.LOCATED_IN])
 
 
 def site_summaries(
