@@ -180,7 +180,30 @@ def op9_substrings(spark, folder):
     return cut.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-@query("op10_pivots")
+@query(
+    "op10_pivots",
+    """
+    WITH RECURSIVE usable AS (
+      SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (
+      SELECT a.vec_id AS a, b.vec_id AS b
+      FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+      WHERE list_dot_product(a.v, b.v)
+            / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.98),
+    reach(a, b) AS (
+      SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+    least AS (
+      SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+    counts AS (
+      SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = vec_id
+    """,
+)
 def op10_pivots(spark, folder):
     return pivots.near_duplicates(read_table(spark, folder, "embeddings"))
 
