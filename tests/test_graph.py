@@ -170,7 +170,7 @@ def test_documents_to_nodes(spark):
     nodes = as_dict(ingest(spark)[0])
     assert set(nodes) == {
         ("Catalog_ID", "1"), ("Catalog_ID", "2"), ("Catalog_ID", "4"), ("Game", "1"), ("Game", "2"),
-        ("Franchise", "5"), ("Release_Year", "2000"), ("GameType", "0"), ("Genre", "1"), ("Genre", "2"), ("Company", "60"),
+        ("Franchise", "5"), ("Release_Year", "2000"), ("Release_Year", "1970"), ("GameType", "0"), ("Genre", "1"), ("Genre", "2"), ("Company", "60"),
     }
     assert nodes["Genre", "1"] == {"name": "New"} and nodes["Genre", "2"] == {}
     assert nodes["GameType", "0"] == {"name": "main_game"}
