@@ -1,4 +1,4 @@
-"""Find licences in texts by a positional index of their rarest words."""
+"""Find licences in texts by a positional index of the rarest words of their phrases."""
 
 from __future__ import annotations
 
@@ -54,9 +54,6 @@ TEMPLATES = {
     "cc-by-nc": ("licensed under cc by nc 4 0", ("cc by nc",)),
 }
 
-# Rarest words of a template that are looked up, and of those in a file how many.
-ANCHORS = 4
-FILE_ANCHORS = 16
 # Share of a template's weight that has to stand in place.
 LEAST_SHARE = 0.6
 
@@ -129,31 +126,50 @@ def scan_licenses(
     occur within; the score is that share.
 
     A word weighs by its rarity among all documents, counted first. The index holds the
-    rarest words of each phrase and template with their positions. A file's occurrences of
-    them give candidate places by relative position (of the templates' words the file's
-    `FILE_ANCHORS` rarest are looked up), and only there the words themselves are compared.
-    The rarest word of every phrase is always looked up, so that no place of a phrase is
-    missed.
+    rarest word of each phrase, and of the key phrase of each template that has the rarest
+    one; its places are looked up in every file. A template has to hold its key phrase, so a
+    place of that leaves as few starts as the template has words, and each is compared. A
+    template without key phrases is filed under its rarest words, as many as it takes for the
+    others to weigh less than `least_share`. No place that meets the definition is missed.
 
     Null and empty texts have no words and no matches. Rows without id and repeated rows
     are scanned like others, other columns play no part, an empty table gives no rows.
     """
     prepare(docs.sparkSession)
     phrase_words = [(p.split(), label) for p, label in phrases.items()]
-    notices = [(text.split(), [m.split() for m in musts], label) for label, (text, musts) in templates.items()]
-    vocabulary = sorted({w for words, _ in phrase_words for w in words} | {w for words, _, _ in notices for w in words})
+    notices = [(text.split(), [m.split() for m in musts if m.split()], label) for label, (text, musts) in templates.items()]
+    listed = [words for words, _ in phrase_words] + [part for words, musts, _ in notices for part in (words, *musts)]
+    vocabulary = sorted({w for words in listed for w in words})
     total, held = word_frequencies(docs, vocabulary, text_col)
     weight = {w: math.log((total + 1) / (held[w] + 0.5)) for w in vocabulary}
+    rank = {w: n for n, w in enumerate(sorted(vocabulary, key=lambda w: (-weight[w], w)))}
+
+    def rarest(words: list[str]) -> int:
+        return min(range(len(words)), key=lambda i: rank[words[i]])
 
     phrase_index: dict[str, list] = {}
     for words, label in phrase_words:
-        rarest = max(range(len(words)), key=lambda i: weight[words[i]])
-        phrase_index.setdefault(words[rarest], []).append((rarest, words, label))
+        i = rarest(words)
+        phrase_index.setdefault(words[i], []).append((i, words, label))
+    key_index: dict[str, list] = {}
     notice_index: dict[str, list] = {}
-    for n, (words, _, _) in enumerate(notices):
-        for word in sorted(set(words), key=lambda w: -weight[w])[:ANCHORS]:
-            notice_index.setdefault(word, []).extend((n, i) for i, w in enumerate(words) if w == word)
-    anchors = sorted({*phrase_index, *notice_index})
+    whole = []
+    for n, (words, musts, _) in enumerate(notices):
+        whole.append(sum(weight[w] for w in words))
+        if musts:
+            must = min(musts, key=lambda m: rank[m[rarest(m)]])
+            i = rarest(must)
+            key_index.setdefault(must[i], []).append((i, must, n))
+            continue
+        others = whole[n]
+        for word in sorted(set(words), key=rank.get):
+            # A little more than the share, as sums are rounded.
+            if others < least_share * whole[n] * (1 - 1e-9):
+                break
+            filed = [i for i, w in enumerate(words) if w == word]
+            notice_index.setdefault(word, []).extend((n, i) for i in filed)
+            others -= weight[word] * len(filed)
+    anchors = sorted({*phrase_index, *key_index, *notice_index})
     keys = np.sort(np.array([_word_key(w) for w in anchors], np.uint64))
 
     def matches(words: list[str], places: dict[str, list[int]]) -> list[dict]:
@@ -163,20 +179,21 @@ def scan_licenses(
                 for i, phrase, label in filed:
                     if at >= i and words[at - i : at - i + len(phrase)] == phrase:
                         found.append((label, "phrase", at - i, len(phrase), 1.0))
-        looked_up = sorted((w for w in places if w in notice_index), key=lambda w: -weight[w])[:FILE_ANCHORS]
-        votes: dict[tuple[int, int], int] = {}
-        for word in looked_up:
-            for n, i in notice_index[word]:
-                for at in places[word]:
-                    votes[n, at - i] = votes.get((n, at - i), 0) + 1
-        for (n, start), count in votes.items():
+        starts = set()
+        for word, filed in key_index.items():
+            for at in places.get(word, ()):
+                for i, must, n in filed:
+                    if at >= i and words[at - i : at - i + len(must)] == must:
+                        first = at - i + len(must) - len(notices[n][0])
+                        starts.update((n, start) for start in range(first, at - i + 1))
+        for word, filed in notice_index.items():
+            starts.update((n, at - i) for at in places.get(word, ()) for n, i in filed)
+        for n, start in starts:
             notice, musts, _ = notices[n]
-            if count < 2 and len(notice) > 1:
-                continue
             low = max(start, 0)
             there = words[low : start + len(notice)]
             share = sum(weight[w] for w, t in zip(notice[low - start :], there, strict=False) if w == t)
-            share /= sum(weight[w] for w in notice) or 1.0
+            share /= whole[n] or 1.0
             if share < least_share:
                 continue
             if all(any(there[k : k + len(m)] == m for k in range(len(there))) for m in musts):

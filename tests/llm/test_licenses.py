@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -71,3 +72,48 @@ def test_odd_rows(make_docs):
     rows = licenses.scan_licenses(docs).collect()
     assert sorted((r.doc_id is None, r.n_words, len(r.matches)) for r in rows) == [(False, 2, 1)] * 2 + [(True, 2, 1)]
     assert licenses.scan_licenses(make_docs([])).count() == 0
+
+
+def template_places(texts, templates, least_share=licenses.LEAST_SHARE):
+    """(text, label, start) of every template, by trying every start."""
+    files = [WORD.findall(lower(t)) for t in texts]
+    of = {w: sum(w in f for f in files) for text, _ in templates.values() for w in text.split()}
+    weight = {w: math.log((len(files) + 1) / (n + 0.5)) for w, n in of.items()}
+    found = set()
+    for i, file in enumerate(files):
+        for label, (text, musts) in templates.items():
+            notice = text.split()
+            for start in range(1 - len(notice), len(file)):
+                there = file[max(start, 0) : start + len(notice)]
+                same = zip(notice[max(-start, 0) :], there, strict=False)
+                share = sum(weight[w] for w, t in same if w == t) / sum(weight[w] for w in notice)
+                inside = f" {' '.join(there)} "
+                if share >= least_share and all(f" {m} " in inside for m in musts):
+                    found.add((i, label, max(start, 0)))
+    return found
+
+
+def found_places(rows):
+    return {(i, m.label, m.start) for i, r in rows.items() for m in r.matches if m.kind == "template"}
+
+
+def test_all_notices_in_one_text(make_docs, prose):
+    notices = [text for text, _ in licenses.TEMPLATES.values()]
+    texts = [" ".join(notices), " ".join(notices[:6]), " ".join(reversed(notices)), prose(3, 400)]
+    rows = scan(make_docs(texts))
+    labels = [{m.label for m in rows[i].matches if m.kind == "template" and m.score > 0.999} for i in range(len(texts))]
+    assert labels == [set(licenses.TEMPLATES), {"mit", "apache", "gpl", "bsd", "isc", "mpl"}, set(licenses.TEMPLATES), set()]
+
+
+def test_every_place_of_a_template(make_docs):
+    draw = random.Random(6)
+    notices = [text.split() for text, _ in licenses.TEMPLATES.values()]
+    pool = sorted({w for notice in notices for w in notice})
+    texts = []
+    for _ in range(60):
+        parts = [[w if draw.random() < 0.85 else draw.choice(pool) for w in draw.choice(notices)] for _ in range(4)]
+        texts.append(" ".join(w for part in parts for w in part[draw.choice([0, 0, 3]) :]))
+    for templates in (licenses.TEMPLATES, {label: (text, ()) for label, (text, _) in licenses.TEMPLATES.items()}):
+        rows = {r.doc_id: r for r in licenses.scan_licenses(make_docs(texts), templates=templates).collect()}
+        want = template_places(texts, templates)
+        assert found_places(rows) == want and len(want) > 60
