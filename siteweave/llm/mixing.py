@@ -16,8 +16,6 @@ WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 # Documents of a pattern are dealt to this many seeded slices, and each of those once more.
 SLICES = 1 << 10
-# Documents after the last whole slice that are tried one by one.
-TAIL = 256
 
 
 def word_count(text: Column) -> Column:
@@ -211,10 +209,7 @@ def mix_documents(
     before = (F.col("slice") < F.col("edge")) | (
         (F.col("slice") == F.col("edge")) & (F.col("finer") < F.col("finer_edge"))
     )
-    after = split_join(rows, edges.filter("left > 0").select("key", "edge", "finer_edge", "left"), "key").filter(~before)
-    alike = after.select("key", "slice", "finer", "draw", "id", "size", "left")
-    tail = top_k(alike, ["key"], ["slice", "finer", "draw", "id"], TAIL)
-    chosen = tail.groupBy("key").applyInPandas(_fill, "key string, draw long, chosen boolean").distinct()
+    chosen = _fill(rows, edges, before)
 
     marked = split_join(rows, edges.select("key", "edge", "finer_edge"), "key", "left").withColumn(
         "below", F.coalesce(before, F.lit(False))
@@ -266,20 +261,40 @@ def _last_whole(rows: DataFrame, goal: DataFrame, keys: list[str], slice_: str)
     )
 
 
-def _fill(tail):
-    """Take documents in seeded order as they fit, then one more if that comes nearer."""
-    units = tail.groupby(["slice", "finer", "draw"], as_index=False).agg({"size": "sum", "left": "first", "key": "first"})
-    left = float(tail["left"].iloc[0])
-    chosen, rejected = [], []
-    for draw, size in zip(units["draw"], units["size"], strict=True):
-        if size <= left:
-            chosen.append(draw)
-            left -= size
-        else:
-            rejected.append((size, draw))
-    if rejected and min(rejected)[0] < 2 * left:
-        chosen.append(min(rejected)[1])
-    out = units[units["draw"].isin(chosen)][["key", "draw"]].copy()
-    out["key"] = tail["key"].iloc[0] if len(out) else out["key"]
-    out["chosen"] = True
-    return out
+def _fill(rows: DataFrame, edges: DataFrame, before: Column) -> DataFrame:
+    """(key, draw, chosen): of all documents after the edge, those that fill what is left.
+
+    They are taken by size, the largest that fits first, until nothing fits; then the smallest
+    that is left, if that comes nearer. Of those of one size the seeded order decides. A pattern
+    ends within half of the smallest document that it leaves out. What is left at the edge is less
+    than a finer slice, so what is taken of one size is few documents, or about as many words as
+    a single document holds.
+    """
+    open_ = edges.filter("left > 0").select("key", "edge", "finer_edge", "left")
+    # Larger ones can neither fit nor come nearer.
+    near = F.col("size") < 2 * F.col("left")
+    after = split_join(rows, open_, "key").filter(~before & near & (F.col("size") > 0))
+    # Rows alike are one unit.
+    units = after.groupBy("key", "draw").agg(F.sum("size").alias("size"), F.first("left").alias("left")).filter(near)
+    units = written(units, "open_units")
+    sizes = units.groupBy("key", "size").agg(F.count(F.lit(1)).alias("units"), F.first("left").alias("left"))
+    taken = written(sizes.groupBy("key").applyInPandas(_take, "key string, size long, taken long"), "taken")
+    most = taken.agg(F.max("taken")).first()[0] or 0
+    picked = top_k(split_join(units, taken, ["key", "size"]), ["key", "size"], ["draw"], most, "_turn")
+    return picked.filter("_turn <= taken").select("key", "draw", F.lit(True).alias("chosen"))
+
+
+def _take(sizes):
+    """How many units of each size are taken, from one row per size."""
+    sizes = sizes.sort_values("size", ascending=False)
+    left, taken = float(sizes["left"].iloc[0]), []
+    for size, units in zip(sizes["size"], sizes["units"], strict=True):
+        taken.append(min(int(units), int(left // size)))
+        left -= taken[-1] * size
+    # The smallest size of which a unit is left.
+    for i in reversed(range(len(taken))):
+        if taken[i] < sizes["units"].iloc[i]:
+            taken[i] += sizes["size"].iloc[i] < 2 * left
+            break
+    sizes = sizes.assign(taken=taken)
+    return sizes[sizes["taken"] > 0][["key", "size", "taken"]]

@@ -44,6 +44,27 @@ def test_targets_and_near_them(make_docs, prose):
     assert other != got
 
 
+def left_out(rows):
+    """Per source: words missing or too many, and the smallest document that could have been taken once more."""
+    taken, least = {}, {}
+    for s in sizes_of(rows):
+        of = [r for r in rows if r.sources[0] == s]
+        taken[s] = abs(sum(r.times * r.size for r in of) - of[0].target)
+        rounds = int(of[0].target / of[0].source_size + 1e-12)
+        least[s] = min((r.size for r in of if r.size and r.times == rounds), default=0)
+    return taken, least
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_short_documents_fill_what_long_ones_leave_open(make_docs, seed):
+    rows = [(i, "a " * 10, "a") for i in range(6000)] + [(10000 + i, "b " * 30000, "a") for i in range(4)]
+    rows += [(20000 + i, "c " * (1 + i % 50), "b") for i in range(4000)]
+    mixed = mixing.mix_documents(make_docs(rows), seed=seed, weights=(1, 2)).collect()
+    off, least = left_out(mixed)
+    for s, n in off.items():
+        assert n <= least[s] / 2 + 1e-6
+
+
 def test_small_sources_stop_at_three_times(make_docs):
     rows = [(i, "a " * 50, "big") for i in range(100)] + [(200, "b c", "tiny"), (201, "d", "tiny"), (202, "e", None)]
     by_id = {r.doc_id: r for r in check(mixing.mix_documents(make_docs(rows)))}
