@@ -80,6 +80,26 @@ def company_pages(staged: DataFrame, scraped: DataFrame, page_order: Sequence[st
     return split_join(sited, first, "site").select(*CHAIN, "page_copies")
 
 
+def company_page_texts(companies: DataFrame, scraped: DataFrame, page_order: Sequence[str]) -> DataFrame:
+    """Usable companies with every usable page of their site, whole, one row per company and page.
+
+    The join before any row is dropped holds no other texts than these: a site with m scrapes
+    gives m rows here for each of its companies. Companies alike in all columns count once, and
+    only those count whose very website was scraped, as in `stage_companies`.
+    """
+    staged = companies.join(scraped.select("website"), "website", "left_semi")
+    firms = usable_companies(staged).select(*COMPANY).distinct().withColumn("site", F.trim("website"))
+    found = _site_pages(scraped, page_order)
+    named = [F.col(f"_order_{i}").alias(f"order_{c}") for i, c in enumerate(page_order)]
+    return split_join(firms, found, "site").select(*COMPANY, "scrappedDate", "SCRAPPEDDATA", *named)
+
+
+def prompts(chain: DataFrame) -> DataFrame:
+    """(UID, json, prompt) of every row, the page text included; kept, so that numbers and prompts stay together."""
+    rows = chain.select("UID", row_json(CHAIN).alias("json"))
+    return keep(rows.withColumn("prompt", persona_prompt(F.col("json"))))
+
+
 def company_chain(companies: DataFrame, scraped: DataFrame, page_order: Sequence[str]) -> DataFrame:
     """One row per website: its first staged company with the first page of the site.
 

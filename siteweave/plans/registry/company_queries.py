@@ -83,6 +83,21 @@ def company_pages(spark, folder):
     )
 
 
+@query(
+    "company_page_texts",
+    _STAGED
+    + """SELECT c.website, c.name, c.industry, page_id, createdate AS "scrappedDate", scrappeddata AS "SCRAPPEDDATA"
+         FROM (SELECT DISTINCT * FROM companies) c JOIN usable ON trim(c.website) = site
+         WHERE industry IS NOT NULL AND NOT contains(industry, 'automotive')
+           AND c.website IN (SELECT website FROM scraped)""",
+)
+def company_page_texts(spark, folder):
+    """All page texts of every usable company, where `company_pages` has the first one and a count."""
+    paged = company.company_page_texts(adapters.companies(spark, folder), adapters.scraped(spark, folder), PAGE_ORDER)
+    page = F.col("order_page_id").alias("page_id")
+    return paged.select("website", "name", "industry", page, "scrappedDate", "SCRAPPEDDATA")
+
+
 @query("usable_pages", _STAGED + "SELECT page_id, site, createdate, length(scrappeddata) AS page_chars FROM usable")
 def usable_pages(spark, folder):
     return company.usable_pages(adapters.scraped(spark, folder)).select(
@@ -119,6 +134,22 @@ def persona_prompts(spark, folder):
     return rows.withColumn("prompt", persona_prompt(F.col("json")))
 
 
+@query(
+    "persona_prompts_whole",
+    _STAGED
+    + """SELECT "UID", json, 'Please parse the raw text of this company''s website and define a buying persona out of it '
+                || json || '?' AS prompt
+         FROM (SELECT "UID", CAST(to_json({'website': website, 'handle': handle, 'name': name, 'type': type,
+                 'industry': industry, 'size': size, 'founded': founded, 'country_code': country_code,
+                 'city': city, 'state': state, 'UID': "UID",
+                 'scrappedDate': strftime("scrappedDate", '%Y-%m-%dT%H:%M:%S.%g'),
+                 'SCRAPPEDDATA': "SCRAPPEDDATA"}) AS VARCHAR) AS json FROM chain)""",
+)
+def persona_prompts_whole(spark, folder):
+    """The prompts with the page text that they ask to parse, which `persona_prompts` leaves out."""
+    return company.prompts(_chain(spark, folder))
+
+
 @query("persona_table", _STAGED + """SELECT "UID", true AS described FROM chain""")
 def persona_table(spark, folder):
     """Every clean row, page text included, through the persona prompt and the text function."""

@@ -1,5 +1,6 @@
 """The company chain on hand-made rows."""
 
+import json
 from datetime import datetime
 from itertools import product
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siteweave.operators.filters import country_view
 from siteweave.plans.company import CHAIN, COMPANY, company_chain, company_pages, personas, stage_companies
+from siteweave.plans.company import company_page_texts, prompts
 from siteweave.session import new_table_path
 from siteweave.sources import append_new
 
@@ -37,6 +39,22 @@ def test_site_scraped_three_times(spark):
     assert (row.UID, row.SCRAPPEDDATA, row.RowNumCounter, row.RowNum) == (1, "x", 1, 1)
 
 
+def test_all_page_texts_of_a_site(spark):
+    firms = companies(spark, firm("a.com"), firm("a.com"), firm("a.com ", name="other"), firm("b.com"), firm("c.com", "automotive"))
+    texts = ["x", "y", "HTTP Error", None, "z"]
+    pages = scraped(spark, *[("a.com", t) for t in texts], ("a.com ", "x"), ("c.com", "c"))
+    out = company_page_texts(firms, pages, ORDER).collect()
+    want = [(n, t, p) for n in ("n", "other") for t, p in [("x", 0), ("y", 1), ("z", 4), ("x", 5)]]
+    assert sorted((r.name, r.SCRAPPEDDATA, r.order_page) for r in out) == sorted(want)
+
+
+def test_prompts_hold_the_page_text(spark):
+    firms, pages = companies(spark, firm("a.com")), scraped(spark, ("a.com", 'all "the" text'))
+    (row,) = prompts(company_chain(firms, pages, ORDER)).collect()
+    told = json.loads(row.json)
+    assert set(told) == set(CHAIN) and told["SCRAPPEDDATA"] == 'all "the" text' and row.json in row.prompt
+
+
 def test_trimmed_join_and_exact_staging(spark):
     firms = companies(spark, firm("a.com"), firm("a.com ", name="other"), firm("b.com"))
     pages = scraped(spark, ("a.com ", "late"), ("a.com", "text"))
