@@ -19,19 +19,27 @@ QUERY_ROWS = 512
 CELLS = 32
 
 
-def whole_vectors(vectors: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
+def whole_vectors(vectors: DataFrame, id_col: str, vec_col: str, scale: float, repeats: bool = False) -> DataFrame:
     """(id, v): components times `scale`, rounded down, as doubles.
 
     Left out are rows without id and vectors that are null or hold null or non-finite
-    components. An id counts once: of several vectors with one id the smallest is taken.
+    components. An id counts once: of several vectors with one id the smallest is taken, or,
+    with `repeats`, every row stays and has a slot number, to be fixed by writing the table.
     """
     v = F.transform(vec_col, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double"))
     x = F.col(vec_col)
     sound = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
     usable = vectors.filter(F.col(id_col).isNotNull() & x.isNotNull()).filter(sound)
+    if repeats:
+        return usable.select(F.col(id_col).alias("id"), v.alias("v"), F.monotonically_increasing_id().alias("slot"))
     return usable.select(F.col(id_col).alias("id"), v.alias("v")).groupBy("id").agg(F.min("v").alias("v"))
 
 
+def _deal(vectors: DataFrame, parts: str) -> Column:
+    """Part of each row by a hash of its slot, or of its id where ids are distinct."""
+    return F.pmod(F.xxhash64("slot" if "slot" in vectors.columns else "id"), F.col(parts)).cast("int")
+
+
 def build_file(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(dim, block, ids, exact, cells, low, high) from (id, v), one row per block of vectors.
 
@@ -42,7 +50,7 @@ def build_file(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """
     sized = vectors.withColumn("dim", F.size("v"))
     blocks = sized.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
-    dealt = split_join(sized, blocks, "dim").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = split_join(sized, blocks, "dim").withColumn("block", _deal(vectors, "blocks"))
 
     def build(group: pa.Table) -> pa.Table:
         group = group.sort_by("id")
@@ -77,7 +85,7 @@ def _query_blocks(queries: DataFrame, rows: int) -> DataFrame:
     """(dim, part, ids, q, least): queries (id, v, least) in blocks; `least` is the score they still need."""
     sized = queries.withColumn("dim", F.size("v"))
     parts = sized.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("parts"))
-    dealt = split_join(sized, parts, "dim").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    dealt = split_join(sized, parts, "dim").withColumn("part", _deal(queries, "parts"))
 
     def gather(group: pa.Table) -> pa.Table:
         dim = group["dim"][0].as_py()
@@ -134,6 +142,7 @@ def exact_top_k(
     vec_col: str = "embedding",
     block_rows: int = BLOCK_ROWS,
     query_rows: int = QUERY_ROWS,
+    repeats: bool = False,
 ) -> DataFrame:
     """(query_id, rank, id, score): each query's k best rows but its own, ties to the smaller id.
 
@@ -142,6 +151,9 @@ def exact_top_k(
     below 2^53; vectors are compared with those of their own length. A query with fewer
     than k others has them all; without any it has no row, like an empty table.
 
+    An id counts once. With `repeats`, rows that share an id all count: each is a candidate, and
+    the query rows of an id share one ranking, without the rows of that id.
+
     First every query is bounded against every vector by the cells alone: the k-th largest
     lower bound over all blocks is a score that the result reaches. Then, block by block,
     exact vectors are read in order of their bounds, only down to that score and until the
@@ -149,7 +161,7 @@ def exact_top_k(
     `query_rows` x `block_rows` bounds whatever the size of the table.
     """
     spark = prepare(vectors.sparkSession)
-    whole = written(whole_vectors(vectors, id_col, vec_col, scale), "vectors")
+    whole = written(whole_vectors(vectors, id_col, vec_col, scale, repeats), "vectors")
     file = written(build_file(whole, block_rows), "va_file")
     queries = whole.filter(is_query).withColumn("least", F.lit(float("-inf")))
 

@@ -1,8 +1,10 @@
 import math
 import random
 
+import duckdb
 from pyspark.sql import functions as F
 
+from siteweave.llm.queries import ORACLES, QUERIES
 from siteweave.llm.vafile import build_file, exact_top_k, whole_vectors
 
 VECTORS = "vec_id long, embedding array<float>, label int, score string, rank string"
@@ -61,3 +63,15 @@ def test_every_vector_is_in_the_file(llm):
     blocks = file.collect()
     ids = sorted(i for b in blocks for i in memoryview(b.ids).cast("q"))
     assert ids == list(range(300)) and len(blocks) > 3
+
+
+def test_rows_that_share_an_id_all_count(llm, tmp_path):
+    draw = random.Random(9)
+    rows = [(i, random_vector(draw)) for i in range(60)]
+    rows += [(i, random_vector(draw)) for i in (1, 2, 20, 20, 40)] + [rows[3], rows[40]]
+    table(llm, rows).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    got = QUERIES["op6_vafile"](llm, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect()
+    want = con.execute(f"SELECT query_id, rank, vec_id, score FROM ({ORACLES['op6_vafile']})").fetchall()
+    assert sorted(tuple(r) for r in got) == sorted(want)
