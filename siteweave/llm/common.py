@@ -194,3 +194,14 @@ def binary_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
         len(offsets) - 1,
         [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data))],
     ).cast(pa.binary())
+
+
+def slices(batch: pa.RecordBatch, column: int, most_bytes: int) -> list[pa.RecordBatch]:
+    """The batch as runs of rows whose texts have at most `most_bytes`, or one longer text each."""
+    _, offsets = binary_column(batch.column(column))
+    out, at = [], 0
+    while at < batch.num_rows:
+        upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most_bytes, side="right")) - 1)
+        out.append(batch.slice(at, upto - at))
+        at = upto
+    return out

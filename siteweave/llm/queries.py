@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from ..sources.tables import read_table
-from . import dartminhash, licenses, mixing, packing, pivots, substrings, toxicity, url_rules, vafile, warc
+from . import dartminhash, licenses, mixing, packing, pivots, ranked, substrings, toxicity, url_rules, vafile, warc
 from .common import prepare
 
 QUERIES = {}
@@ -208,6 +208,42 @@ def op10_pivots(spark, folder):
     return pivots.near_duplicates(read_table(spark, folder, "embeddings"))
 
 
+@query(
+    "op13_ranked",
+    r"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+      FROM documents),
+    b AS (
+      SELECT row_number() OVER () AS i, item_id,
+             unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+      FROM benchmark),
+    s AS (
+      SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d WHERE len(terms) > 0),
+    p AS (
+      SELECT r, term, CAST(count(*) AS BIGINT) AS tf
+      FROM (SELECT r, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM b) GROUP BY ALL),
+    w AS (
+      SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM p, s GROUP BY term, n_docs),
+    c AS (
+      SELECT p.r, d.doc_id, p.term,
+             w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * CAST(len(terms) AS BIGINT) * n_docs) // n_terms))) AS c
+      FROM p JOIN w USING (term) JOIN d ON d.r = p.r, s),
+    t AS (
+      SELECT i, item_id, r, doc_id, CAST(sum(c) AS BIGINT) AS score
+      FROM (SELECT i, item_id, term FROM b) JOIN c USING (term) GROUP BY ALL)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM t WHERE score > 0 QUALIFY rank <= 10
+    """,
+)
+def op13_ranked(spark, folder):
+    return ranked.rank_documents(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
