@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from ..sources.tables import read_table
-from . import dartminhash, licenses, mixing, packing, pivots, ranked, substrings, toxicity, url_rules, vafile, warc
+from . import alignment, dartminhash, licenses, mixing, packing, pivots, ranked, substrings, toxicity, url_rules, vafile, warc
 from .common import prepare
 
 QUERIES = {}
@@ -208,6 +208,13 @@ def op10_pivots(spark, folder):
     return pivots.near_duplicates(read_table(spark, folder, "embeddings"))
 
 
+@query("op11_alignment")
+def op11_alignment(spark, folder):
+    docs = read_table(spark, folder, "documents")
+    digest = lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups, 256))
+    return alignment.align_documents(docs, *alignment.tokenizer_paths(), groups=digest).withColumnRenamed("groups", "groups_sha256")
+
+
 @query(
     "op13_ranked",
     r"""
