@@ -8,7 +8,21 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from ..sources.tables import read_table
-from . import alignment, dartminhash, licenses, mixing, packing, pivots, ranked, substrings, toxicity, url_rules, vafile, warc
+from . import (
+    alignment,
+    columnwise,
+    dartminhash,
+    licenses,
+    mixing,
+    packing,
+    pivots,
+    ranked,
+    substrings,
+    toxicity,
+    url_rules,
+    vafile,
+    warc,
+)
 from .common import prepare
 
 QUERIES = {}
@@ -215,6 +229,43 @@ def op11_alignment(spark, folder):
     return alignment.align_documents(docs, *alignment.tokenizer_paths(), groups=digest).withColumnRenamed("groups", "groups_sha256")
 
 
+@query(
+    "op12_columnwise",
+    """
+    WITH d AS (
+      SELECT row_number() OVER () AS r, coalesce(doc_id, 9223372036854775807) AS o, doc_id, hex(encode(coalesce(text, ''))) AS t,
+             strlen(coalesce(text, '')) AS n
+      FROM documents),
+    w AS (
+      SELECT r, o, s, md5(substring(t, CAST(2 * s + 1 AS INTEGER), 200)) AS h
+      FROM (SELECT r, o, t, unnest(generate_series(0, n - 100)) AS s FROM d WHERE n >= 100)),
+    again AS (
+      SELECT r, s FROM w JOIN (
+        SELECT h, min(struct_pack(o := o, s := s)) AS f FROM w GROUP BY h HAVING count(*) > 1) USING (h)
+      WHERE struct_pack(o := o, s := s) > f),
+    runs AS (
+      SELECT r, min(s) AS a, max(s) + 100 AS b FROM (
+        SELECT r, s, sum(fresh) OVER (PARTITION BY r ORDER BY s) AS run FROM (
+          SELECT r, s, CASE WHEN s - lag(s) OVER (PARTITION BY r ORDER BY s) <= 100 THEN 0 ELSE 1 END AS fresh FROM again))
+      GROUP BY r, run),
+    gaps AS (
+      SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS b FROM runs
+      UNION ALL SELECT d.r, max(b), any_value(n) FROM d JOIN runs ON runs.r = d.r GROUP BY d.r
+      UNION ALL SELECT r, 0, n FROM d WHERE r NOT IN (SELECT r FROM runs)),
+    kept AS (
+      SELECT r, string_agg(substring(t, CAST(2 * a + 1 AS INTEGER), CAST(2 * (b - a) AS INTEGER)), '' ORDER BY a) AS k
+      FROM gaps JOIN d USING (r) GROUP BY r)
+    SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(n - length(k) // 2 AS BIGINT) AS n_removed,
+           (SELECT count(*) FROM runs WHERE runs.r = d.r) AS n_spans, sha256(unhex(k)) AS kept_sha256
+    FROM d JOIN kept USING (r)
+    """,
+)
+def op12_columnwise(spark, folder):
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    cut = columnwise.remove_repeated_strings(docs)
+    return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query(
     "op13_ranked",
     r"""
