@@ -20,7 +20,7 @@ STRING_BYTES = 100
 ANCHOR_BYTES = 16
 # Windows of a long text that are cut into pieces together, and bytes of a unit of texts.
 SEGMENT = 1 << 20
-UNIT_BYTES = 4 << 20
+UNIT_BYTES = 2 << 20
 # Bytes of text whose pieces make a collection; pieces overlap, which makes about three times as many.
 COLLECTION_BYTES = 4 << 20
 # Frequent anchors come last in the choice. They are looked for in one of so many texts,
@@ -130,7 +130,7 @@ def _pieces(texts: DataFrame, frequent: np.ndarray, collections: int, n: int) ->
         import xxhash
         import zstandard
 
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=5)
         docs, names, bases, raw = zip(*segments, strict=True)
         docs, bases = np.array(docs, np.int64), np.array(bases, np.int64)
         # Texts that come again give the same unit, so a task that is run again gives the same numbers.
