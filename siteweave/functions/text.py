@@ -22,12 +22,32 @@ def html_to_text(html: Column, entities: Mapping[str, str] = _NAMED) -> Column:
 
     The page is read once from left to right, so that whatever begins first ends first.
     A tag ends behind its quoted attributes, or at the next `>` if a quote stays open. An
-    unclosed script, style, template or comment runs to the end of the page.
+    unclosed script, style, template or comment runs to the end of the page. A `<` without any `>` behind
+    it is text.
+
+    The time is in proportion to the page, whatever is open in it. What could read on to the end
+    again and again is a tag that doesn't end. Up to the last `>` every tag ends at some `>`, and at most
+    two can have a quote open to the end of the page: with a `>` between them, their readings are in different
+    states of (no quote, single, double), a quote permutes these states, and neither reading may be outside
+    quotes. Behind the last `>` only a comment matters.
     """
+    last = F.length(html) - F.instr(F.reverse(html), ">") + 1
+    some = html.contains(">")
+    head = F.when(some, F.substr(html, F.lit(1), last)).otherwise("")
+    tail = F.when(some, F.substr(html, last + 1)).otherwise(html)
+    read = _without_tags(head)
+    # A script or comment that is open at the end of the head takes in whatever follows.
+    inside = F.length(_without_tags(F.concat(head, F.lit(" ")))) == F.length(read)
+    rest = F.when(inside, "").otherwise(F.regexp_replace(tail, r"(?s)<!--.*", ""))
+    whole = F.when(tail.contains("<"), F.concat(read, rest)).otherwise(_without_tags(html))
+    return decode_entities(whole, entities)
+
+
+def _without_tags(html: Column) -> Column:
     attributes = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
     hidden = rf"<(script|style|template)\b{attributes}>.*?(?:</\1\s*>|\z)"
     pattern = rf"(?is)<!--.*?(?:-->|\z)|{hidden}|</?[a-z]{attributes}>|<[a-z/!?][^>]*+>"
-    return decode_entities(F.regexp_replace(html, pattern, ""), entities)
+    return F.regexp_replace(html, pattern, "")
 
 
 def decode_entities(text: Column, entities: Mapping[str, str] = _NAMED) -> Column:

@@ -193,18 +193,41 @@ def search_contains(spark, folder):
 
 @query(
     "search_in_documents",
-    """WITH tokens AS (
-         SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+'))) AS word FROM documents),
+    """WITH told AS (
+         SELECT text FROM benchmark UNION SELECT text FROM conversations
+         UNION SELECT regexp_extract(lower(text), '[\\p{L}\\p{N}_]+') FROM conversations),
        probes AS (
-         SELECT DISTINCT regexp_extract(lower(text), '[\\p{L}\\p{N}_]+') AS probe FROM conversations)
-       SELECT probe, min(doc_id) AS doc_id FROM probes JOIN tokens ON word = probe GROUP BY probe""",
+         SELECT text AS probe, ' ' || array_to_string(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+'), ' ') || ' ' AS run
+         FROM told WHERE regexp_matches(text, '[\\p{L}\\p{N}_]')),
+       texts AS (
+         SELECT doc_id, ' ' || array_to_string(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+'), ' ') || ' ' AS run FROM documents)
+       SELECT probe, min(doc_id) AS doc_id FROM probes JOIN texts ON contains(texts.run, probes.run) GROUP BY probe""",
 )
 def search_in_documents(spark, folder):
-    """The first word of every message, looked for in all documents."""
+    """Every message, its first word and every benchmark item, looked for as words in a row in all documents."""
+    messages = read_table(spark, folder, "conversations").select("text")
     first_word = F.regexp_extract(F.lower("text"), r"[\p{L}\p{N}_]+", 0)
-    probes = read_table(spark, folder, "conversations").select(first_word.alias("probe"))
+    probes = messages.union(messages.select(first_word)).union(read_table(spark, folder, "benchmark").select("text"))
     docs = spread(read_table(spark, folder, "documents").select("doc_id", "text"))
-    return search_first(probes, docs, "probe", "text", ["doc_id"], mode="phrase").select("probe", "doc_id")
+    return search_first(probes.toDF("probe"), docs, "probe", "text", ["doc_id"], mode="phrase").select("probe", "doc_id")
+
+
+@query(
+    "search_inside_documents",
+    """WITH probes AS (
+         SELECT unnest(string_split(text, chr(10))) AS probe FROM benchmark UNION SELECT text FROM conversations
+         UNION SELECT n_name FROM nation UNION SELECT lower(substring(n_name, 1, 3)) FROM nation)
+       SELECT probe, min(doc_id) AS doc_id FROM (SELECT probe FROM probes WHERE probe <> '') JOIN documents ON contains(text, probe)
+       GROUP BY probe""",
+)
+def search_inside_documents(spark, folder):
+    """Lines of benchmark items, messages and short strings, looked for as runs of characters in all documents."""
+    lines = read_table(spark, folder, "benchmark").select(F.explode(F.split("text", "\n")))
+    names = read_table(spark, folder, "nation").select("n_name")
+    short = names.select(F.lower(F.substring("n_name", 1, 3)))
+    probes = lines.union(read_table(spark, folder, "conversations").select("text")).union(names).union(short)
+    docs = spread(read_table(spark, folder, "documents").select("doc_id", "text"))
+    return search_first(probes.toDF("probe"), docs, "probe", "text", ["doc_id"], mode="contains").select("probe", "doc_id")
 
 
 @query(

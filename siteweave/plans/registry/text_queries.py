@@ -20,17 +20,29 @@ from ...operators.enrich import enrich
 from ...sources import read_table, spread
 from .base import query
 
-# Comments, element contents and tags go, whichever comes first; then references, the ampersand last.
+# Pages cut at every `<`; what hides the text behind a piece is the last opening or closing before it.
 _PAGE_TEXT = """
-WITH page_text AS (
+WITH cut AS (
+  SELECT page_id, url, unnest(string_split(html, '<')) AS piece, generate_subscripts(string_split(html, '<'), 1) AS i FROM pages),
+tagged AS (
+  SELECT *, CASE WHEN i > 1 THEN lower(regexp_extract(piece, '^(!--|/?[A-Za-z0-9]+)')) ELSE '' END AS tag FROM cut),
+opened AS (
+  SELECT *, last_value(CASE WHEN tag IN ('script', 'style', 'template') THEN 'hidden'
+                            WHEN tag IN ('/script', '/style', '/template') THEN 'shown'
+                            WHEN tag = '!--' AND NOT contains(piece, '-->') THEN 'comment'
+                            WHEN contains(piece, '-->') THEN 'shown' END IGNORE NULLS)
+              OVER (PARTITION BY page_id ORDER BY i) AS state
+  FROM tagged),
+seen AS (
+  SELECT page_id, url, i,
+         CASE WHEN i = 1 THEN piece WHEN state IN ('hidden', 'comment') THEN ''
+              WHEN contains(piece, '-->') THEN substring(piece, strpos(piece, '-->') + 3)
+              ELSE substring(piece, strpos(piece, '>') + 1) END AS text
+  FROM opened),
+page_text AS (
   SELECT page_id, url, replace(replace(replace(replace(
-    regexp_replace(html, '(?is)<!--.*?(?:-->|\\z)'
-      || '|<script\\b(?:[^>"'']|"[^"]*"|''[^'']*'')*>.*?(?:</script\\s*>|\\z)'
-      || '|<style\\b(?:[^>"'']|"[^"]*"|''[^'']*'')*>.*?(?:</style\\s*>|\\z)'
-      || '|<template\\b(?:[^>"'']|"[^"]*"|''[^'']*'')*>.*?(?:</template\\s*>|\\z)'
-      || '|</?[a-z](?:[^>"'']|"[^"]*"|''[^'']*'')*>|<[a-z/!?][^>]*>', '', 'g'),
-    '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&') AS text
-  FROM pages)
+    string_agg(text, '' ORDER BY i), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&') AS text
+  FROM seen GROUP BY page_id, url)
 """
 
 

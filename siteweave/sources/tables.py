@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import has_text, words
+from ..functions import has_text
 from ..operators.joins import split_join
 from ..operators.ranking import dedupe_first
+from ..operators.search import search_texts
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -86,38 +87,15 @@ def search_first(
 
     `equals` compares whole strings, `contains` finds the probe anywhere in the text,
     `phrase` finds its words in a row, ignoring case. All are equi-joins, so no probe
-    is held against every document: for the last two, a document gives all its runs
-    of as many characters or words as some probe has. That is for names and titles;
-    for long texts `phrase` is the cheaper one. Both leave the text itself out of the
-    result.
+    is held against every document: the last two go through an index of the grams that
+    the probes have (`operators.search`) and leave the text itself out of the result.
     """
-    wanted = probes.filter(has_text(F.col(probe_col))).select(probe_col).distinct()
+    if mode not in ("equals", "contains", "phrase"):
+        raise KeyError(mode)
     if mode == "equals":
+        wanted = probes.filter(has_text(F.col(probe_col))).select(probe_col).distinct()
         asked = wanted.withColumnRenamed(probe_col, text_col)
         first = dedupe_first(split_join(docs, asked, text_col, "left_semi"), [text_col], order_by)
         return wanted.join(first, F.col(probe_col) == F.col(text_col))
-    split, glue = {"contains": (lambda col: F.split(col, ""), ""), "phrase": (words, " ")}[mode]
-
-    wanted = wanted.withColumn("_units", split(F.col(probe_col))).select(
-        probe_col, F.array_join("_units", glue).alias("_run"), F.size("_units").alias("_n")
-    ).filter("_n > 0")
-    # One row per different probe length, so only a handful.
-    lengths = sorted(row["_n"] for row in wanted.select("_n").distinct().collect())
-    if not lengths:
-        nothing = docs.drop(text_col).limit(0)
-        return nothing.select(F.lit(None).cast("string").alias(probe_col), "*")
-
-    def runs(n: int) -> Column:
-        start = F.when(F.size("_units") >= n, F.sequence(F.lit(1), F.size("_units") - (n - 1)))
-        return F.coalesce(
-            F.transform(start, lambda i: F.array_join(F.slice("_units", i, n), glue)),
-            F.array().cast("array<string>"),
-        )
-
-    found = (
-        docs.withColumn("_units", split(F.col(text_col)))
-        .withColumn("_run", F.explode(F.array_distinct(F.concat(*[runs(n) for n in lengths]))))
-        .drop("_units", text_col)
-    )
-    first = dedupe_first(lookup_by_ids(found, wanted, "_run"), ["_run"], order_by)
-    return wanted.join(first, "_run").drop("_run", "_n")
+    found = dedupe_first(search_texts(probes, docs, probe_col, text_col, mode), ["_probe"], order_by)
+    return found.select(F.col("_probe").alias(probe_col), *[c for c in docs.columns if c != text_col])

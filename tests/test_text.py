@@ -5,6 +5,8 @@ import os
 import re
 import subprocess
 import sys
+import time
+from html.parser import HTMLParser
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -90,6 +92,74 @@ def test_html_to_text(spark, c):
     assert apply(spark, fn.html_to_text(c), list(pages)) == list(pages.values())
 
 
+def test_html_to_text_behind_the_last_tag(spark, c):
+    pages = {
+        "a <b c": "a <b c",
+        "<p>a</p> <b \"c": "a <b \"c",
+        "<p>a</p> 1 < 2 <!-- rest <b": "a 1 < 2 ",
+        "<p>a<!-- x> <b": "a",
+        "a<script>b</p> <b c": "a",
+        "a<script>b</script> <b c": "a <b c",
+        "<a '><b c=\"d\">x<i \">y": "xy",
+        "": "",
+    }
+    assert apply(spark, fn.html_to_text(c), list(pages)) == list(pages.values())
+
+
+def test_html_to_text_takes_time_in_proportion(spark, c):
+    n = 1_000_000
+    units = ['<a "', "<a ", "<!-- <a ", "<script ", "<a '>", "<a \"'>", "</script ", "<script><a ", "<", "<a \"x\" ", "&amp <", "<a \">x'"]
+    pages = [(u * (n // len(u)))[:n] for u in units] + ["<p>" + u * (n // len(u)) + e for u in units[:4] for e in (">", "'>", '">')]
+    begun = time.time()
+    texts = apply(spark, F.length(fn.html_to_text(c)), pages)
+    assert time.time() - begun < 60 and texts[:2] == [len(p) for p in pages[:2]]
+
+
+class _Seen(HTMLParser):
+    """What a page shows, by Python's parser; it knows no templates, and gives references decoded."""
+
+    def __init__(self):
+        super().__init__()
+        self.text, self.hidden = [], None
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden = tag if tag in ("script", "style") else self.hidden
+
+    def handle_endtag(self, tag):
+        self.hidden = None if tag == self.hidden else self.hidden
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.text.append(data)
+
+
+TEXT = st.lists(st.sampled_from(["word", " ", "é", "&amp;", "&lt;b&gt;", "1", "\n", "'", '"', "> "]), max_size=6).map("".join)
+VALUE = st.sampled_from(["", " id=x", " title='a>b'", ' title="it\'s <b>"', " hidden", ' a="1" b=\'2\'', ' class = "c"'])
+NAMES = st.sampled_from(["p", "B", "div", "h1", "a"])
+HIDDEN = st.tuples(st.sampled_from(["script", "STYLE"]), VALUE, st.sampled_from(["", "var t='</p>';", "a<b", "<!-- x", "<p>"]))
+PARTS = st.recursive(
+    st.one_of(
+        TEXT,
+        HIDDEN.map(lambda x: f"<{x[0]}{x[1]}>{x[2]}</{x[0]}>"),
+        st.sampled_from(["<br/>", "<!-- a <b> -->", "<!DOCTYPE html>", "<hr>", '<img src="x>y" />']),
+    ),
+    lambda inner: st.tuples(NAMES, VALUE, st.lists(inner, max_size=4)).map(lambda x: f"<{x[0]}{x[1]}>{''.join(x[2])}</{x[0]}>"),
+    max_leaves=12,
+)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(PARTS, max_size=4).map("".join), min_size=1, max_size=30))
+def test_html_to_text_is_pythons_parser(spark, c, pages):
+    want = []
+    for page in pages:
+        seen = _Seen()
+        seen.feed(page)
+        seen.close()
+        want.append("".join(seen.text))
+    assert apply(spark, fn.html_to_text(c), pages) == want
+
+
 SLOW = settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 LISTS = st.lists(st.text(alphabet=st.characters(exclude_categories=["Cs"], exclude_characters="\0"), max_size=12), min_size=1, max_size=40)
 
