@@ -17,7 +17,7 @@ from .common import _powers, binary_column, mix, parallelism, prepare, salted, w
 
 STRING_BYTES = 100
 # A string's anchor is the first of its runs of so many bytes that has the smallest hash.
-ANCHOR_BYTES = 16
+ANCHOR_BYTES = 12
 # Windows of a long text that are cut into pieces together, and bytes of a unit of texts.
 SEGMENT = 1 << 20
 UNIT_BYTES = 2 << 20
@@ -25,8 +25,8 @@ UNIT_BYTES = 2 << 20
 COLLECTION_BYTES = 4 << 20
 # Frequent anchors come last in the choice. They are looked for in one of so many texts,
 # where they occur so often at least, and they are so many at most.
-SAMPLE_ONE_OF = 128
-SAMPLE_LEAST = 64
+SAMPLE_ONE_OF = 512
+SAMPLE_LEAST = 16
 MOST_FREQUENT = 1 << 20
 
 _LAST = np.iinfo(np.int64).max
@@ -39,14 +39,15 @@ def _settled(df: DataFrame) -> DataFrame:
 
 
 def run_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the 16 bytes from each place on; the last places run into zeros."""
+    """A hash of the run of ANCHOR_BYTES (9 to 16) from each place on; the last places run into zeros."""
     padded = np.concatenate([data, np.zeros(24, np.uint8)])
     n = len(data)
     words = np.empty(n + 8, np.uint64)
     for r in range(8):
         count = len(words[r::8])
         words[r::8] = padded[r : r + 8 * count].view("<u8")
-    return mix(words[:n] ^ mix(words[8:] + np.uint64(0x9E3779B97F4A7C15)))
+    rest = words[8:] & np.uint64((1 << 8 * (ANCHOR_BYTES - 8)) - 1)
+    return mix(words[:n] ^ mix(rest + np.uint64(0x9E3779B97F4A7C15)))
 
 
 def _sample_runs(texts: DataFrame) -> DataFrame:
@@ -117,6 +118,23 @@ def _unpack_spans(raw: bytes) -> np.ndarray:
 _PIECE = np.dtype([("segment", "<u4"), ("anchor", "<i8"), ("doc", "<i8"), ("before", "u1"), ("strings", "u1")])
 
 
+def _pack_pieces(about: np.ndarray) -> bytes:
+    """Column by column, as steps from piece to piece, which are small."""
+    steps = [np.diff(about[f], prepend=about[f].dtype.type(0)) for f in _PIECE.names]
+    return len(about).to_bytes(8, "little") + b"".join(s.tobytes() for s in steps)
+
+
+def _unpack_pieces(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(what the pieces are, their bytes)."""
+    size, at = int.from_bytes(raw[:8], "little"), 8
+    about = np.empty(size, _PIECE)
+    for name in _PIECE.names:
+        kind = _PIECE[name]
+        about[name] = np.cumsum(np.frombuffer(raw, kind, size, at), dtype=kind)
+        at += size * kind.itemsize
+    return about, np.frombuffer(raw, np.uint8, offset=at)
+
+
 def _pieces(texts: DataFrame, frequent: np.ndarray, collections: int, n: int) -> DataFrame:
     """(collection, unit, head, body): the pieces of every unit of texts, packed by collection.
 
@@ -130,7 +148,7 @@ def _pieces(texts: DataFrame, frequent: np.ndarray, collections: int, n: int) ->
         import xxhash
         import zstandard
 
-        press = zstandard.ZstdCompressor(level=5)
+        press = zstandard.ZstdCompressor(level=6)
         docs, names, bases, raw = zip(*segments, strict=True)
         docs, bases = np.array(docs, np.int64), np.array(bases, np.int64)
         # Texts that come again give the same unit, so a task that is run again gives the same numbers.
@@ -177,9 +195,7 @@ def _pieces(texts: DataFrame, frequent: np.ndarray, collections: int, n: int) ->
                 own = sent[low:high]
                 length = last[own] - first[own] + n
                 places = np.repeat(first[own] - (np.cumsum(length) - length), length) + np.arange(length.sum())
-                part = about[low:high]
-                columns = b"".join(np.ascontiguousarray(part[f]).tobytes() for f in _PIECE.names)
-                body = (high - low).to_bytes(8, "little") + columns + data[places].tobytes()
+                body = _pack_pieces(about[low:high]) + data[places].tobytes()
                 rows.append((int(target[low]), unit, None, press.compress(body)))
         united = _pack_spans(*spans)
         known = len(segments).to_bytes(8, "little") + b"".join(names) + bases.astype("<i8").tobytes() + united
@@ -277,16 +293,10 @@ def _judged(pieces: DataFrame, n: int) -> DataFrame:
         for unit, raw in zip(group["unit"].to_pylist(), group["body"].to_pylist(), strict=True):
             if raw is None:
                 continue
-            raw = unpress.decompress(raw)
-            size, at = int.from_bytes(raw[:8], "little"), 8
-            about = np.empty(size, _PIECE)
-            for name in _PIECE.names:
-                kind = _PIECE[name]
-                about[name] = np.frombuffer(raw, kind, size, at)
-                at += size * kind.itemsize
+            about, body = _unpack_pieces(unpress.decompress(raw))
             units.append(unit)
             abouts.append(about)
-            bodies.append(np.frombuffer(raw, np.uint8, offset=at))
+            bodies.append(body)
         heads = group.filter(pc.is_valid(group["head"]))
         found = {"unit": heads["unit"].to_pylist(), "head": heads["head"].to_pylist(), "spans": [None] * len(heads)}
         if abouts:
