@@ -24,20 +24,19 @@ DOCUMENT_SCHEMA = """
     involved_companies array<struct<id: long, company: struct<id: long, name: string>>>,
     similar_games array<struct<id: long>>
 """
-# The fields of the two halves of a document's work, so that each reads only its own.
-LINK_SCHEMA = """
-    id long, first_release_date long, game_type int, franchise long,
+# The fields that a pass over documents uses.
+DOCUMENT_FIELDS = """
+    id long, total_rating double, first_release_date long, summary string, url string, game_type int, franchise long,
     genres array<struct<id: long, name: string>>,
     involved_companies array<struct<id: long, company: struct<id: long, name: string>>>,
     similar_games array<struct<id: long>>
 """
-BASE_SCHEMA = "total_rating double, first_release_date long, summary string, url string"
 SIMILAR_SCHEMA = """
     id long,
     similar_games array<struct<id: long, name: string, url: string, cover: struct<url: string>>>
 """
 
-_LINK = "array<struct<rel_type: string, dst_label: string, dst_key: string, dst_name: string>>"
+LINK = "array<struct<rel_type: string, dst_label: string, dst_key: string, dst_name: string>>"
 
 
 def _link(rel: str, label: str, key: Column, name: Column | None = None) -> Column:
@@ -50,11 +49,11 @@ def _link(rel: str, label: str, key: Column, name: Column | None = None) -> Colu
 
 
 def _one(guard: Column, link: Column) -> Column:
-    return F.when(guard, F.array(link)).otherwise(F.array().cast(_LINK))
+    return F.when(guard, F.array(link)).otherwise(F.array().cast(LINK))
 
 
 def _each(items: str, link: Callable[[Column], Column]) -> Column:
-    return F.coalesce(F.transform(items, link), F.array().cast(_LINK))
+    return F.coalesce(F.transform(items, link), F.array().cast(LINK))
 
 
 def released_in() -> Column:
@@ -88,7 +87,7 @@ def involves_company() -> Column:
             named,
             lambda c: _link(fixed.INVOLVES_COMPANY, fixed.COMPANY, c["company"]["id"], c["company"]["name"]),
         ),
-        F.array().cast(_LINK),
+        F.array().cast(LINK),
     )
 
 
@@ -108,14 +107,19 @@ def document_links(
     the last landing `seq` come along. Repeated links are folded before the shuffle.
     """
     ends = ["src_key", "rel_type", "dst_label", "dst_key"]
-    links = F.concat(*[rule().cast(_LINK) for rule in rules])
+    links = F.concat(*[rule().cast(LINK) for rule in rules])
     source = as_key(F.col("id")).alias("src_key")
     present = "src_key IS NOT NULL AND dst_key IS NOT NULL"
     if not seq:
         flat = docs.select(source, F.explode(links).alias("_l")).select("src_key", "_l.*")
         return flat.filter(present).select(*ends).distinct()
-    flat = docs.select(source, F.col(seq).alias("seq"), F.explode(links).alias("_l")).select("src_key", "seq", "_l.*")
-    return flat.filter(present).groupBy(*ends, "dst_name").agg(F.max("seq").alias("seq"))
+    return fold_links(docs.select(source, F.col(seq).alias("seq"), F.explode(links).alias("_l")))
+
+
+def fold_links(exploded: DataFrame) -> DataFrame:
+    """Distinct links with their last landing, from (src_key, seq, _l)."""
+    flat = exploded.select("src_key", "seq", "_l.*").filter("src_key IS NOT NULL AND dst_key IS NOT NULL")
+    return flat.groupBy("src_key", "rel_type", "dst_label", "dst_key", "dst_name").agg(F.max("seq").alias("seq"))
 
 
 def known_links(links: DataFrame, ids: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ it back before the next pass, so that no plan spans several passes.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -22,7 +23,6 @@ from ..functions import (
     has_text,
     html_to_text,
     iso_stamp,
-    json_object,
     site_prompt,
     text_or,
 )
@@ -43,11 +43,11 @@ from ..operators.graph import (
 )
 from ..operators.joins import split_join
 from ..operators.links import (
-    BASE_SCHEMA,
+    DOCUMENT_FIELDS,
     DOCUMENT_RULES,
-    LINK_SCHEMA,
+    LINK,
     attach_by_name,
-    document_links,
+    fold_links,
     known_links,
     link_edges,
     link_targets,
@@ -55,8 +55,9 @@ from ..operators.links import (
     similar_to,
 )
 from ..operators.ranking import dedupe_first, top_k, top_n
-from ..session import keep
-from ..sources.tables import lookup_by_ids, read_payload, search_first, split_rejects
+from ..session import keep, stored
+from ..sources.judge import judge_documents, split_judged
+from ..sources.tables import lookup_by_ids, search_first
 
 Graph = tuple[DataFrame, DataFrame]
 
@@ -81,59 +82,77 @@ def game_columns(nodes: DataFrame) -> DataFrame:
     return _label(nodes, fixed.GAME).select("key", F.try_element_at("props", F.lit("name")).alias("name"))
 
 
-def split_documents(landed: DataFrame, id_field: str = "id") -> tuple[DataFrame, DataFrame]:
+def split_documents(landed: DataFrame, id_field: str = "id", id_type: str = "long") -> tuple[DataFrame, DataFrame]:
     """Landed rows with a usable `payload`, and the others with the reason."""
-    blob = json_object(F.col("payload"))
-    reason = F.when(blob.isNull(), "no JSON object").when(
-        ~has_text(F.try_element_at(blob, F.lit(id_field))), f"no {id_field}"
-    )
-    return split_rejects(landed, reason)
+    good, rejects = split_judged(judge_documents(landed, f"{id_field} {id_type}", id_field))
+    return good.drop("doc"), rejects
 
 
 def newest_documents(landed: DataFrame, nodes: DataFrame, order_by: Sequence[Column | str]) -> DataFrame:
-    """First landed document in `order_by` of every catalogue id in the graph: (key, payload).
+    """First landed document in `order_by` of every catalogue id in the graph: (key, payload, doc).
 
-    Only the id is parsed before ranking, and ranking comes before the lookup: what
-    is shuffled is at most one unparsed document per id and task. The lookup is an
+    Ranking comes before the lookup: what is shuffled is at most one document per id and task. The lookup is an
     inner join on unique keys, since a semi join would be moved below the ranking.
     """
-    keyed = read_payload(landed, "payload", "id long", keep=True).withColumn("key", as_key(F.col("id")))
-    newest = dedupe_first(keyed.filter("key IS NOT NULL"), ["key"], order_by).select("key", "payload")
+    newest = dedupe_first(landed, ["key"], order_by).select("key", "payload", "doc")
     return newest.join(_label(nodes, fixed.CATALOG_ID).select("key"), "key")
 
 
 def base_properties(docs: DataFrame) -> DataFrame:
-    """The five properties of a catalogue id; no date counts as epoch 0."""
+    """The five properties of a catalogue id; no date counts as epoch 0. `docs` has (key, payload, doc)."""
     date = F.col("first_release_date")
-    parsed = read_payload(docs, "payload", BASE_SCHEMA, keep=True)
-    return parsed.withColumn(
+    fields = docs.select("key", "payload", *[f"doc.{c}" for c in ("total_rating", "first_release_date", "summary", "url")])
+    return fields.withColumn(
         "first_release_date", iso_stamp(epoch_timestamp(default_if_falsy(has_number(date), date, 0)))
     )
 
 
-def ingest_documents(graph: Graph, landed: DataFrame, order_by: Sequence[Column | str], seq: str) -> Graph:
-    """Properties, target nodes and edges of all landed documents.
+class Ingested(NamedTuple):
+    """A pass over documents: the graph after it, and the landed rows that were not used, with the reason."""
+
+    nodes: DataFrame
+    edges: DataFrame
+    rejects: DataFrame
+
+
+def ingest_documents(
+    graph: Graph,
+    landed: DataFrame,
+    order_by: Sequence[Column | str],
+    seq: str,
+    observation: Observation | None = None,
+) -> Ingested:
+    """Properties, target nodes and edges of all landed documents, and the rejects among them.
 
     `landed` has a JSON column `payload` and `seq`, which grows with every landing.
     The first document per id in `order_by` sets the properties; every document adds
-    its links, if its id is a node; a year is made for every document that has one. Nodes
-    and edges are both made from the links, so these are folded once and kept in the shared folder.
+    its links, if its id is a node; a year is made for every document that has one. Documents are
+    parsed and judged once and kept as a table in the shared folder, from which each result reads its
+    own columns; every landed row is in it, either used or with a reason. A document of which any
+    declared field has another type is not used at all. An `observation` counts rejects by reason.
     """
     nodes, edges = graph
-    docs = read_payload(landed.select("payload", seq), "payload", LINK_SCHEMA)
-    found = keep(document_links(docs, [*DOCUMENT_RULES, similar_to], seq))
+    judged = judge_documents(landed, DOCUMENT_FIELDS, observation=observation)
+    key = as_key(F.col("doc.id"))
+    links = F.concat(*[rule().cast(LINK) for rule in (*DOCUMENT_RULES, similar_to)])
+    read = judged.select("*", "doc.*").select(*landed.columns, "reason", "doc", key.alias("_key"), links.alias("_links"))
+    held = F.struct(*[F.col(f"doc.{c}") for c in ("total_rating", "first_release_date", "summary", "url")])
+    table = stored(read.withColumn("doc", held), "documents")
+    used = table.filter("reason IS NULL")
+    found = fold_links(used.select(F.col("_key").alias("src_key"), F.col(seq).alias("seq"), F.explode("_links").alias("_l")))
     links = known_links(found, nodes)
     own = links.filter(F.col("rel_type") != fixed.SIMILAR_TO)
-    newest = newest_documents(landed, nodes, order_by)
+    newest = newest_documents(used.withColumnRenamed("_key", "key"), nodes, order_by)
     updates = assign_props(base_properties(newest), fixed.CATALOG_ID, "key", BASE_PROPS)
     # A name is only set where the link has one.
     named = F.when(F.col("name").isNotNull(), F.array(F.lit("name"))).otherwise(F.array().cast("array<string>"))
     is_year = F.col("rel_type") == fixed.RELEASED_IN
     targets = link_targets(own.filter(~is_year).unionByName(found.filter(is_year))).select("label", "key", props_map(["name"]), named.alias("sets"))
     added = link_edges(own, nodes).unionByName(similar_edges(links, nodes))
-    return (
+    return Ingested(
         merge_props(nodes, updates.unionByName(targets), [fixed.CATALOG_ID, *TARGETS]),
         add_edges(edges, added, [*TARGETS.values(), fixed.SIMILAR_TO]),
+        table.filter("reason IS NOT NULL").select(*landed.columns, "reason"),
     )
 
 

@@ -126,7 +126,7 @@ def catalogue_properties(spark, folder):
     """Properties of all catalogue ids after one pass over the documents."""
     nodes = adapters.catalogue_nodes(spark, folder)
     landed = adapters.game_documents(spark, folder)
-    after, _ = games.ingest_documents((nodes, _no_edges(nodes)), landed, _landed(), "l_shipdate")
+    after = games.ingest_documents((nodes, _no_edges(nodes)), landed, _landed(), "l_shipdate").nodes
     prop = lambda name: F.try_element_at("props", F.lit(name))
     return after.filter(F.col("label") == fixed.CATALOG_ID).select(
         "key",
@@ -223,7 +223,7 @@ all_edges AS (
 def _ingested(spark, folder):
     nodes = adapters.catalogue_nodes(spark, folder).unionByName(adapters.game_nodes(spark, folder))
     landed = adapters.game_documents(spark, folder)
-    return games.ingest_documents((nodes, _no_edges(nodes)), landed, _landed(), "l_shipdate")
+    return games.ingest_documents((nodes, _no_edges(nodes)), landed, _landed(), "l_shipdate")[:2]
 
 
 @query("document_edges", _ALL_LINKS + "SELECT * FROM all_edges")
@@ -681,21 +681,65 @@ def graph_snapshot(spark, folder):
 
 @query(
     "document_rejects",
-    """SELECT event_id, CASE WHEN event_type = 'error' THEN 'no JSON object' WHEN event_type = 'click' THEN 'no k' END AS reason
-       FROM events WHERE event_type IN ('error', 'click')""",
+    """SELECT event_id, reason FROM (
+         SELECT event_id, CASE event_type WHEN 'error' THEN 'no JSON object' WHEN 'click' THEN 'no k' WHEN 'view' THEN 'k is no bigint' END AS reason
+         FROM events) WHERE reason IS NOT NULL""",
 )
 def document_rejects(spark, folder):
-    """Events as documents: errors are cut off, clicks name another field."""
+    """Events as documents: errors are cut off, clicks name another field, views hold text for a number."""
     props = F.col("props")
     payload = (
         F.when(F.col("event_type") == "error", F.expr("left(props, length(props) - 1)"))
         .when(F.col("event_type") == "click", F.replace(props, F.lit('"k"'), F.lit('"other"')))
+        .when(F.col("event_type") == "view", F.regexp_replace(props, '("k": *)([0-9]+)', '$1"$2"'))
         .otherwise(props)
     )
     events = read_table(spark, folder, "events").select("event_id", payload.alias("payload"))
     return games.split_documents(events, "k")[1].select("event_id", "reason")
 
 
+_SPOILT = """CASE l_linenumber % 7 WHEN 1 THEN 'id is no bigint' WHEN 2 THEN 'genres is no array' WHEN 3 THEN 'no id'
+                  WHEN 4 THEN 'no JSON object' WHEN 5 THEN 'a nested value has another type' END"""
+
+
+def _spoilt(spark, folder):
+    """Landed documents of which most have a value of another type than declared."""
+    payload, line = F.col("payload"), F.col("l_linenumber") % 7
+    spoilt = (
+        F.when(line == 1, F.regexp_replace(payload, '^[{]"id":([0-9]+)', '{"id":$1.5'))
+        .when(line == 2, F.regexp_replace(payload, '"genres":.[{][^]]*.', '"genres":"none"'))
+        .when(line == 3, F.regexp_replace(payload, '^[{]"id":[0-9]+', '{"id":null'))
+        .when(line == 4, F.substr(payload, F.lit(2)))
+        .when(line == 5, F.regexp_replace(payload, '"similar_games":.[{]"id":([0-9]+)', '"similar_games":[{"id":"$1"'))
+        .otherwise(payload)
+    )
+    return adapters.game_documents(spark, folder).withColumn("payload", spoilt)
+
+
+@query(
+    "ingest_rejects",
+    f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, reason FROM (SELECT *, {_SPOILT} AS reason FROM lineitem) WHERE reason IS NOT NULL",
+)
+def ingest_rejects(spark, folder):
+    """The rows that a pass over documents gives back."""
+    nodes = adapters.catalogue_nodes(spark, folder)
+    done = games.ingest_documents((nodes, _no_edges(nodes)), _spoilt(spark, folder), _landed(), "l_shipdate")
+    return done.rejects.select(*adapters.LINE_ID, "reason")
+
+
+@query(
+    "edges_beside_rejects",
+    f"""WITH {DOCS}
+SELECT DISTINCT CAST(id AS VARCHAR) AS src_key, CAST(unnest([l_linenumber, 100 + l_suppkey % 10]) AS VARCHAR) AS dst_key
+FROM docs WHERE {_SPOILT} IS NULL""",
+)
+def edges_beside_rejects(spark, folder):
+    """What the documents that fit still link to."""
+    nodes = adapters.catalogue_nodes(spark, folder)
+    done = games.ingest_documents((nodes, _no_edges(nodes)), _spoilt(spark, folder), _landed(), "l_shipdate")
+    return done.edges.filter(F.col("rel_type") == fixed.HAS_GENRE).select("src_key", "dst_key")
+
+
 @query(
     "known_documents",
     """SELECT CAST(l_partkey AS VARCHAR) AS id, count(*) AS n_docs FROM lineitem

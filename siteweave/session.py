@@ -70,3 +70,10 @@ def keep(df: DataFrame) -> DataFrame:
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no earlier run has used."""
     return f"{shared_dir(spark).rstrip('/')}/siteweave-tables/{uuid.uuid4().hex}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder, of which each reader reads its own columns."""
+    path = new_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -152,7 +152,7 @@ def base(spark):
 
 def ingest(spark, graph=None):
     graph = graph or (base(spark)[0], edges_of_none(spark))
-    return games.ingest_documents(graph, landed(spark), [F.col("seq").desc()], "seq")
+    return games.ingest_documents(graph, landed(spark), [F.col("seq").desc()], "seq")[:2]
 
 
 def test_documents_to_edges(spark):
@@ -192,7 +192,7 @@ def test_documents_twice_change_nothing(spark, rows):
 def test_document_edges_of_one_rule(spark, rows):
     from siteweave.sources import read_payload
 
-    docs = read_payload(landed(spark), "payload", L.LINK_SCHEMA)
+    docs = read_payload(landed(spark), "payload", L.DOCUMENT_FIELDS)
     nodes, _ = base(spark)
     one = L.document_edges(docs, nodes, nodes, [L.has_genre])
     assert rows(one) == rows(ingest(spark)[1].filter("rel_type = 'HAS_GENRE'"))
@@ -201,7 +201,7 @@ def test_document_edges_of_one_rule(spark, rows):
 def test_similar_both_ways(spark, rows):
     from siteweave.sources import read_payload
 
-    docs = read_payload(landed(spark), "payload", L.LINK_SCHEMA)
+    docs = read_payload(landed(spark), "payload", L.DOCUMENT_FIELDS)
     out = L.similar_edges(L.document_links(docs, [L.similar_to]), base(spark)[0], bidirectional=True)
     assert rows(out, "src_key", "dst_key") == [("1", "2"), ("2", "1")]
 
