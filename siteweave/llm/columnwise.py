@@ -202,7 +202,7 @@ def _pieces(texts: DataFrame, frequent: np.ndarray, collections: int, n: int) ->
         rows.append((unit % collections, unit, press.compress(known), None))
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([r[0] for r in rows], pa.int64()),
+                pa.array([r[0] for r in rows], pa.int32()),
                 pa.array([r[1] for r in rows], pa.int64()),
                 pa.array([r[2] for r in rows], pa.binary()),
                 pa.array([r[3] for r in rows], pa.binary()),
@@ -229,7 +229,7 @@ def _pieces(texts: DataFrame, frequent: np.ndarray, collections: int, n: int) ->
         if segments:
             yield cut_unit(segments)
 
-    return texts.select("doc", "key", "text").mapInArrow(cut, "collection long, unit long, head binary, body binary")
+    return texts.select("doc", "key", "text").mapInArrow(cut, "collection int, unit long, head binary, body binary")
 
 
 def repeated_strings(
@@ -407,7 +407,8 @@ def remove_repeated_strings(
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     collections = max(parallelism(spark), math.ceil(size / COLLECTION_BYTES))
     pieces = _pieces(texts, frequent_runs(texts, size), collections, n)
-    spans = written(_by_text(_judged(pieces, n)), "spans")
+    # A task for each collection, none of which is larger than the others by much.
+    spans = written(_by_text(_judged(pieces.repartitionById(collections, "collection"), n)), "spans")
     keyed = docs.select(whole_row(docs).alias("row"), key)
     joined = split_join(keyed, spans, "key", "left").select("row", "spans")
     schema = T.StructType(
