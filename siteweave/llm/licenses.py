@@ -125,12 +125,13 @@ def scan_licenses(
     words stand in place to at least `least_share` of their weight and all its key phrases
     occur within; the score is that share.
 
-    A word weighs by its rarity among all documents, counted first. The index holds the
-    rarest word of each phrase, and of the key phrase of each template that has the rarest
-    one; its places are looked up in every file. A template has to hold its key phrase, so a
-    place of that leaves as few starts as the template has words, and each is compared. A
-    template without key phrases is filed under its rarest words, as many as it takes for the
-    others to weigh less than `least_share`. No place that meets the definition is missed.
+    A word weighs by its rarity among all documents, counted first. The index has the places of
+    every word of every template. In a file the words are looked up from the rarest on: a place
+    of the file minus a place in the template is a start, and starts get the word's weight. Words are
+    looked up until the others weigh less than `least_share`, so a start that none of them
+    gave can't reach it; from then on the starts that are there are intersected with the places of
+    one more word at a time, as long as they can reach it. The key phrases of those that do are verified, again
+    by places. No place that meets the definition is missed.
 
     Null and empty texts have no words and no matches. Rows without id and repeated rows
     are scanned like others, other columns play no part, an empty table gives no rows.
@@ -151,76 +152,89 @@ def scan_licenses(
     for words, label in phrase_words:
         i = rarest(words)
         phrase_index.setdefault(words[i], []).append((i, words, label))
-    key_index: dict[str, list] = {}
-    notice_index: dict[str, list] = {}
-    whole = []
-    for n, (words, musts, _) in enumerate(notices):
-        whole.append(sum(weight[w] for w in words))
-        if musts:
-            must = min(musts, key=lambda m: rank[m[rarest(m)]])
-            i = rarest(must)
-            key_index.setdefault(must[i], []).append((i, must, n))
-            continue
-        others = whole[n]
+    # Per template: its postings (word, places, weight of all of them) from the rarest word on, and
+    # how many of them give starts.
+    indexed = []
+    anchors = set(phrase_index)
+    for words, _, _ in notices:
+        postings = []
         for word in sorted(set(words), key=rank.get):
-            # A little more than the share, as sums are rounded.
-            if others < least_share * whole[n] * (1 - 1e-9):
-                break
             filed = [i for i, w in enumerate(words) if w == word]
-            notice_index.setdefault(word, []).extend((n, i) for i in filed)
-            others -= weight[word] * len(filed)
-    anchors = sorted({*phrase_index, *key_index, *notice_index})
-    keys = np.sort(np.array([_word_key(w) for w in anchors], np.uint64))
+            postings.append((word, filed, weight[word] * len(filed)))
+        whole = rest = sum(weight[w] for w in words)
+        opening = 0
+        # A little more than the share, as sums are rounded.
+        while opening < len(postings) and rest >= least_share * whole * (1 - 1e-9):
+            rest -= postings[opening][2]
+            opening += 1
+        indexed.append((postings, opening, whole))
+        anchors.update(word for word, _, _ in postings[:opening])
+    keys = np.array([_word_key(w) for w in vocabulary], np.uint64)
+    order = np.argsort(keys)
+    opens = np.array([w in anchors for w in vocabulary])
 
-    def matches(words: list[str], places: dict[str, list[int]]) -> list[dict]:
+    def standing(phrase: list[str], places: dict[str, set[int]], low: int, high: int) -> bool:
+        """Whether the phrase's words stand in a row somewhere from `low` on, before `high`."""
+        first = places.get(phrase[0], ())
+        return any(
+            low <= k <= high - len(phrase) and all(k + j in places.get(w, ()) for j, w in enumerate(phrase)) for k in first
+        )
+
+    def template_starts(n: int, places: dict[str, set[int]]) -> list[tuple[int, float]]:
+        postings, opening, whole = indexed[n]
+        need, left, votes = least_share * whole * (1 - 1e-9), whole, {}
+        for k, (word, filed, heavy) in enumerate(postings):
+            found = places.get(word, ())
+            if k < opening:
+                for place in found:
+                    for i in filed:
+                        votes[place - i] = votes.get(place - i, 0.0) + weight[word]
+            else:
+                for start in votes:
+                    votes[start] += weight[word] * sum(start + i in found for i in filed)
+            left -= heavy
+            votes = {start: vote for start, vote in votes.items() if vote + left >= need}
+            if not votes and k >= opening - 1:
+                return []
+        words = notices[n][0]
+        shares = [(s, sum(weight[w] for i, w in enumerate(words) if s + i in places.get(w, ())) / whole) for s in votes]
+        return [(start, share) for start, share in shares if share >= least_share]
+
+    def matches(places: dict[str, set[int]], n_words: int) -> list[dict]:
         found = []
         for word, filed in phrase_index.items():
             for at in places.get(word, ()):
                 for i, phrase, label in filed:
-                    if at >= i and words[at - i : at - i + len(phrase)] == phrase:
+                    if all(at - i + j in places.get(w, ()) for j, w in enumerate(phrase)):
                         found.append((label, "phrase", at - i, len(phrase), 1.0))
-        starts = set()
-        for word, filed in key_index.items():
-            for at in places.get(word, ()):
-                for i, must, n in filed:
-                    if at >= i and words[at - i : at - i + len(must)] == must:
-                        first = at - i + len(must) - len(notices[n][0])
-                        starts.update((n, start) for start in range(first, at - i + 1))
-        for word, filed in notice_index.items():
-            starts.update((n, at - i) for at in places.get(word, ()) for n, i in filed)
-        for n, start in starts:
-            notice, musts, _ = notices[n]
-            low = max(start, 0)
-            there = words[low : start + len(notice)]
-            share = sum(weight[w] for w, t in zip(notice[low - start :], there, strict=False) if w == t)
-            share /= whole[n] or 1.0
-            if share < least_share:
-                continue
-            if all(any(there[k : k + len(m)] == m for k in range(len(there))) for m in musts):
-                found.append((notices[n][2], "template", low, len(there), min(1.0, share)))
+        for n, (words, musts, label) in enumerate(notices):
+            for start, share in template_starts(n, places):
+                low, high = max(start, 0), min(start + len(words), n_words)
+                if all(standing(must, places, low, high) for must in musts):
+                    found.append((label, "template", low, high - low, min(1.0, share)))
         return [dict(zip(("label", "kind", "start", "words", "score"), f, strict=True)) for f in sorted(found)]
 
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = set(anchors)
         for batch in batches:
             data, offsets = binary_column(batch.column(1))
             data = _LOWER[data]
             starts, ends, first = find_words(data, offsets, _WORD_BYTES)
             hashes = word_hashes(data, starts, ends)
-            at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-            rare = np.flatnonzero(keys[at] == hashes)
-            texts = np.searchsorted(first, rare, side="right") - 1
+            at = order[np.minimum(np.searchsorted(keys, hashes, sorter=order), len(keys) - 1)]
+            vocal = np.flatnonzero(keys[at] == hashes)
+            texts = np.searchsorted(first, vocal, side="right") - 1
             out: list[list] = [[] for _ in range(batch.num_rows)]
-            for text in np.unique(texts):
-                a, b = first[text], first[text + 1]
-                words = [data[s:e].tobytes().decode() for s, e in zip(starts[a:b], ends[a:b], strict=True)]
-                places: dict[str, list[int]] = {}
-                for place in rare[texts == text] - a:
-                    if words[place] in known:
-                        places.setdefault(words[place], []).append(int(place))
-                out[text] = matches(words, places)
+            # Only files with a word that gives starts are looked at.
+            for text in np.unique(texts[opens[at[vocal]]]):
+                low, high = np.searchsorted(texts, [text, text + 1])
+                places: dict[str, set[int]] = {}
+                for place in vocal[low:high].tolist():
+                    word = vocabulary[at[place]]
+                    if data[starts[place] : ends[place]].tobytes() == word.encode():
+                        places.setdefault(word, set()).add(place - int(first[text]))
+                out[text] = matches(places, int(first[text + 1] - first[text]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.diff(first), pa.int64()), pa.array(out, pa.list_(_MATCH))],
                 names=[id_col, "n_words", "matches"],
