@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import split_join
 from ..operators.ranking import assign_uid, top_k
 from .common import prepare, whole_row, written
+from .graph import components
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -125,20 +127,38 @@ def route(
         taken[end] += push
 
 
+def _key_of(source: Column) -> Column:
+    """Null is no key of a join; its JSON is, and is kept apart from texts."""
+    return F.to_json(F.struct(source.alias("s")), {"ignoreNullFields": "false"})
+
+
 def _pattern_words(sized: DataFrame, targets: DataFrame, most_repeats: int) -> DataFrame:
-    """(sources, words): how many words each membership pattern is to give."""
-    patterns = written(sized.groupBy("sources").agg(F.sum("size").alias("capacity")), "patterns")
-    if patterns.filter(F.size("sources") > 1).isEmpty():
-        # Every document has one source, so the flow has one way to go.
-        only = patterns.filter(F.size("sources") == 1).select("sources", F.col("sources")[0].alias("source"))
-        same = F.col("source").eqNullSafe(F.col("_source"))
-        given = only.join(targets.select(F.col("source").alias("_source"), "target"), same)
-        return given.select("sources", F.col("target").alias("words"))
-    # One row per pattern of sources that occurs together, not per document.
-    capacity = {tuple(r["sources"]): r["capacity"] for r in patterns.collect() if r["sources"]}
-    flows = route(capacity, {r["source"]: r["target"] for r in targets.collect()}, most_repeats)
-    rows = [(list(p), float(sum(to.values()))) for p, to in flows.items()]
-    return sized.sparkSession.createDataFrame(rows, "sources array<string>, words double")
+    """(sources, words): how many words each membership pattern is to give.
+
+    Sources that no chain of patterns connects don't share any flow, so each connected part is a network of
+    its own, with one row per pattern that occurs in it, and is routed by a task.
+    """
+    patterns = written(sized.groupBy("sources").agg(F.sum("size").alias("capacity")).filter(F.size("sources") > 0), "patterns")
+    first = _key_of(F.get("sources", F.lit(0)))
+    others = F.explode(F.transform(F.slice("sources", 2, F.size("sources")), _key_of))
+    connected = components(patterns.select(first.alias("a"), others.alias("b")))
+    part = F.coalesce("component", "node").alias("part")
+    of_pattern = split_join(patterns.withColumn("node", first), connected, "node", "left").select(part, "sources", "capacity")
+    quotas = split_join(targets.withColumn("node", _key_of(F.col("source"))), connected, "node", "left")
+
+    def flow(network: pa.Table, wanted: pa.Table) -> pa.Table:
+        capacity = {tuple(p): c for p, c in zip(network["sources"].to_pylist(), network["capacity"].to_pylist(), strict=True)}
+        quota = dict(zip(wanted["source"].to_pylist(), wanted["target"].to_pylist(), strict=True))
+        given = route(capacity, quota, most_repeats)
+        return pa.table(
+            {
+                "sources": pa.array([list(p) for p in given], pa.list_(pa.string())),
+                "words": pa.array([float(sum(to.values())) for to in given.values()], pa.float64()),
+            }
+        )
+
+    sides = of_pattern.groupBy("part"), quotas.select(part, "source", "target").groupBy("part")
+    return written(sides[0].cogroup(sides[1]).applyInArrow(flow, "sources array<string>, words double"), "flow")
 
 
 def mix_documents(

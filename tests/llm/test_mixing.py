@@ -101,6 +101,24 @@ def test_overlapping_sources_share_their_documents(llm, prose):
     # Sources hold 10,000 words each (5,000 in common); together the patterns give what both targets ask for.
     targets = {s: t for r in mixed for s, t in [(r.sources[0], r.target)]}
     assert sum(words_of.values()) == pytest.approx(sum(targets.values()), rel=0.02)
+    # Each source by itself: what is its own alone fits into its target, and what both hold fills both up.
+    for own, other in (("a", "b"), ("b", "a")):
+        assert words_of[(own,)] <= targets[own] * 1.02
+        assert words_of[(own,)] + words_of[("a", "b")] >= targets[own] * 0.98
+        assert words_of[("a", "b")] - (targets[own] - words_of[(own,)]) == pytest.approx(targets[other] - words_of[(other,)], abs=200)
+
+
+def test_sources_apart_are_routed_apart(llm, prose, monkeypatch):
+    """Every connected part of the patterns comes as a network of its own, also where all have one source."""
+    rows = [(i, prose(i, 20), [["a"], ["a", "b"], ["c"], [None], ["d", None], []][i % 6]) for i in range(120)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, places array<string>")
+    sized = docs.select(F.array_sort("places").alias("sources"), F.lit(20).cast("long").alias("size"))
+    targets = llm.createDataFrame([("a", 800.0), ("b", 1200.0), ("c", 500.0), ("d", 900.0), (None, 600.0)], "source string, target double")
+    given = {tuple(r.sources): r.words for r in mixing._pattern_words(sized, targets, 3).collect()}
+    assert given[("c",)] == pytest.approx(500)
+    assert given[("a",)] + given[("a", "b")] == pytest.approx(2000) and given[("a", "b")] >= 1200 - 1e-6 and given[("a",)] <= 800 + 1e-6
+    null = [w for p, w in given.items() if None in p]
+    assert sum(null) == pytest.approx(1500) and len(given) == 5
 
 
 def test_route_prefers_fewer_repeats():
