@@ -22,8 +22,8 @@ TOXIC_WORDS, ORDINARY_WORDS = 6000, 20_000
 GRAM = 5
 # How much more often a run of letters has to be in toxic texts than in ordinary ones.
 LEAST_RATIO = 10.0
-# Toxic texts it has to be in, at the least and as a share of them.
-LEAST_TEXTS, LEAST_SHARE = 5, 1 / 50
+# Toxic texts it has to be in: this share of them, but no more than a few, and at the least the smaller share.
+FEW_TEXTS, FEW_SHARE, LEAST_SHARE = 5, 2 / 5, 1 / 50
 MOST_GRAMS = 5000
 # Distances are told apart up to this many bytes.
 MOST_BYTES = 24
@@ -191,7 +191,7 @@ def fit(
 
     The ordinary dictionary is trained on the commonest words of ordinary texts, the toxic
     one on those words of toxic texts that hold a run of letters which is much commoner
-    among their words than in ordinary texts. A text's windows are its words. The calibration rows tell what the
+    among their words than in ordinary texts, and in several of them; where there is no such run, on all words of toxic texts. A text's windows are its words. The calibration rows tell what the
     share of windows over each threshold weighs.
     Without labelled rows of both kinds nothing can be told apart, and every score is 0.
     """
@@ -206,11 +206,12 @@ def fit(
     sides = held.groupBy("gram").agg(side(1, "n").alias("n1"), side(0, "n").alias("n0"), side(1, "texts").alias("texts"))
     all_ = sides.agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).first()
     ratio = (F.col("n1") + 0.5) / ((all_["n1"] or 0) + 1) / ((F.col("n0") + 0.5) / ((all_["n0"] or 0) + 1))
-    strong = sides.filter((F.col("texts") >= max(LEAST_TEXTS, size[1] * LEAST_SHARE)) & (ratio >= LEAST_RATIO))
+    least = max(min(FEW_TEXTS, size[1] * FEW_SHARE), size[1] * LEAST_SHARE)
+    strong = sides.filter((F.col("texts") >= least) & (ratio >= LEAST_RATIO))
     grams = {bytes(r["gram"]) for r in strong.orderBy(ratio.desc(), "gram").limit(MOST_GRAMS).collect()}
 
     def telling(words: list[bytes]) -> list[bytes]:
-        return [w for w in words if not grams.isdisjoint(_grams([w]))]
+        return [w for w in words if not grams or not grams.isdisjoint(_grams([w]))]
 
     def commonest(counts: DataFrame, kind: int, n: int) -> list[bytes]:
         rows = counts.filter(F.col("toxic") == kind).orderBy(F.col("n").desc(), "word").limit(n).collect()

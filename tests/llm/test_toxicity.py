@@ -99,3 +99,23 @@ def test_held_out_labels_of_the_test_tables(llm):
     caught = sum(r.predicted for r in toxic) / len(toxic)
     blamed = sum(r.predicted for r in clean) / len(clean)
     assert caught > 0.8 and blamed < 0.05
+
+
+def test_ten_toxic_labels_tell_something(llm):
+    """On the smallest table the classes get different scores; nothing turns the classifier off."""
+    from pathlib import Path
+
+    import pytest
+
+    from siteweave.llm.queries import op8_toxicity
+
+    folder = "/root/testdata/sf0.001"
+    if not Path(folder).is_dir():
+        pytest.skip("no test tables")
+    labels = {r.doc_id: r.toxic for r in llm.read.parquet(f"{folder}/labels.parquet").collect()}
+    rows = [r for r in op8_toxicity(llm, folder).collect() if r.doc_id in labels and not r.held_out]
+    scores = {kind: [r.score for r in rows if labels[r.doc_id] == kind] for kind in (0, 1)}
+    assert 5 <= len(scores[1]) <= 12
+    middle = {kind: sum(s) / len(s) for kind, s in scores.items()}
+    assert middle[1] > middle[0] + 0.3
+    assert sum(s >= 0.5 for s in scores[1]) >= 0.6 * len(scores[1])
