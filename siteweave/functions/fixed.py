@@ -84,6 +84,23 @@ AVERAGE_VIEWS = "Average_View_Count"
 COUNTRY = "Country"
 PRODUCT = "Product"
 
+# The property that a node's key is, by label.
+KEY_PROPERTY = {
+    GAME: "catalog_id",
+    CATALOG_ID: "id",
+    STREAM: "id",
+    RELEASE_YEAR: "year",
+    FRANCHISE: "id",
+    GAME_TYPE: "id",
+    GENRE: "id",
+    COMPANY: "id",
+    WEBSITE: "url",
+    COMPANY_SUMMARY: "summary",
+    AVERAGE_VIEWS: "value",
+    COUNTRY: "code",
+    PRODUCT: "name",
+}
+
 HAS_CATALOG_ID = "HAS_CATALOG_ID"
 HAS_STREAM = "HAS_STREAM"
 RELEASED_IN = "RELEASED_IN"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import fixed
 
-__all__ = ["html_to_text", "decode_entities", "distinct_tokens", "schema_tokens", "canonical_case", "words"]
+__all__ = ["html_to_text", "decode_entities", "distinct_tokens", "schema_tokens", "canonical_case", "words", "WORD"]
 
 # A word as Python's \w sees it, whatever the alphabet.
 WORD = r"[\p{L}\p{N}_]+"

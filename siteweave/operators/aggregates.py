@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import has_text
+from ..functions import WORD, fixed, has_text
+from .graph import whole_props
 from .joins import split_join
 
 
@@ -78,12 +79,40 @@ def schema_summary(edges: DataFrame) -> DataFrame:
     )
 
 
-def property_catalogue(nodes: DataFrame) -> DataFrame:
-    """Property names per label; the lists are as long as the schema, not the data."""
-    names = nodes.select("label", F.explode(F.map_keys("props")).alias("property")).distinct()
+def property_catalogue(nodes: DataFrame, key_property: Mapping[str, str] = fixed.KEY_PROPERTY) -> DataFrame:
+    """Property names per label, the key's among them; the lists are as long as the schema, not the data."""
+    whole = nodes.select("label", whole_props(key_property))
+    names = whole.select("label", F.explode(F.map_keys("props")).alias("property")).distinct()
     return names.groupBy("label").agg(F.array_sort(F.collect_list("property")).alias("properties"))
 
 
+def schema_spelling(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """One row: `spelling`, a map from the lower-cased names of the graph's labels, relationships and properties.
+
+    A spelling shared by several kinds goes to the last kind, as if the kinds were replaced in turn.
+    """
+    triples = schema_summary(edges)
+    labels = nodes.select("label").union(triples.select("from")).union(triples.select("to")).toDF("name")
+    rels = triples.select(F.col("rel_type").alias("name"))
+    props = property_catalogue(nodes).select(F.explode("properties").alias("name"))
+    kinds = [kind.distinct().withColumn("kind", F.lit(i)) for i, kind in enumerate((labels, rels, props))]
+    named = kinds[0].union(kinds[1]).union(kinds[2]).filter(has_text(F.col("name")))
+    told = named.groupBy(F.lower("name").alias("lower")).agg(F.max(F.struct("kind", "name")).alias("last"))
+    pairs = F.array_sort(F.collect_list(F.struct(F.col("lower"), F.col("last.name").alias("name"))))
+    return told.agg(F.map_from_entries(pairs).alias("spelling"))
+
+
+def canonical_text(df: DataFrame, text_col: str, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """The rows with the graph's own spelling of its names in the text, whole words, whatever their case.
+
+    The names are looked up in the graph while the query runs: one row, as large as the schema.
+    """
+    spelt = df.withColumn("_spelling", schema_spelling(nodes, edges).scalar())
+    parts = F.regexp_extract_all(F.col(text_col), F.lit(rf"({WORD}|[^\p{{L}}\p{{N}}_]+)"), F.lit(1))
+    spell = lambda w: F.coalesce(F.try_element_at(F.col("_spelling"), F.lower(w)), w)
+    return spelt.withColumn(text_col, F.array_join(F.transform(parts, spell), "")).drop("_spelling")
+
+
 def latest(col: Column | str) -> Column:
     """Order spec: newest first, missing last."""
     return (F.col(col) if isinstance(col, str) else col).desc_nulls_last()

@@ -8,12 +8,12 @@ A null property is a missing one, so `props` never holds nulls.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_key
+from ..functions import as_key, fixed
 from .joins import split_join
 from .ranking import dedupe_first
 
@@ -195,9 +195,30 @@ def drop_orphans(nodes: DataFrame, edges: DataFrame, candidates: DataFrame, rel:
 # --- reading -----------------------------------------------------------------
 
 
-def match_nodes(nodes: DataFrame, label: str, prop: str, value: str, mode: str = "exact") -> DataFrame:
-    """Nodes whose property equals the value, or holds it as a substring."""
-    found = F.try_element_at("props", F.lit(prop))
+def whole_props(key_property: Mapping[str, str] = fixed.KEY_PROPERTY) -> Column:
+    """The properties of a node with its key among them, under the name that it has for the label.
+
+    The key is stored once, in its own column, so no statement can remove or change it.
+    """
+    props = F.coalesce("props", no_props())
+    if not key_property:
+        return props.alias("props")
+    named = F.try_element_at(F.create_map(*[F.lit(x) for item in key_property.items() for x in item]), F.col("label"))
+    others = F.map_filter(props, lambda k, _: k != named)
+    whole = F.map_concat(others, F.create_map(named, F.col("key")))
+    return F.when(named.isNull() | F.col("key").isNull(), props).otherwise(whole).alias("props")
+
+
+def match_nodes(
+    nodes: DataFrame,
+    label: str,
+    prop: str,
+    value: str,
+    mode: str = "exact",
+    key_property: Mapping[str, str] = fixed.KEY_PROPERTY,
+) -> DataFrame:
+    """Nodes whose property equals the value, or holds it as a substring; the key is a property too."""
+    found = F.col("key") if key_property.get(label) == prop else F.try_element_at("props", F.lit(prop))
     test = {"exact": found == value, "contains": found.contains(value)}[mode]
     return nodes.filter((F.col("label") == label) & test)
 

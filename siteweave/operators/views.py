@@ -11,7 +11,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ..functions import display_label, has_text, json_object, thumb_url, tooltip
 from .aggregates import schema_summary
-from .graph import EDGE, NODE
+from .graph import EDGE, NODE, whole_props
 from .ranking import colour_index
 
 
@@ -48,7 +48,8 @@ def _node_id(label: Column | str, key: Column | str) -> Column:
 
 
 def subgraph_nodes(found: DataFrame) -> DataFrame:
-    """Distinct nodes as drawn: id, label, group, tooltip and colour."""
+    """Distinct nodes as drawn: id, label, group, tooltip and colour; the key is shown as a property."""
+    found = found.select("label", "key", whole_props())
     # Colours are one row per label, so this side is as small as the schema.
     coloured = found.join(F.broadcast(colour_index(found, "label")), "label")
     return coloured.select(

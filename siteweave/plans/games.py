@@ -28,6 +28,7 @@ from ..functions import (
 )
 from ..operators.aggregates import avg_over_edges
 from ..operators.enrich import enrich
+from ..operators.entities import cooccurrence, entity_nodes
 from ..operators.graph import (
     EDGE,
     add_edges,
@@ -38,6 +39,7 @@ from ..operators.graph import (
     detached,
     drop_orphans,
     merge_props,
+    no_props,
     props_map,
     replace_edges,
 )
@@ -205,6 +207,53 @@ def ingest_top_games(
     return _add_games(graph, top, streams, fixed.STREAMS_PER_TOP_GAME, stream_order)
 
 
+def ingest_top_games_by_name(
+    graph: Graph,
+    games: DataFrame,
+    streams: DataFrame,
+    game_order: Sequence[Column | str],
+    stream_order: Sequence[Column | str],
+) -> Graph:
+    """The older form, for a graph whose games are keyed by name: games of one name are one node.
+
+    The node takes its art and catalogue id from the first of them in `game_order` and is linked to the ids of
+    all; streams are attached to the name, whose node is made if it is not there.
+    """
+    nodes, edges = graph
+    top = keep(top_n(games, game_order, fixed.TOP_GAMES))  # ten rows
+    first = dedupe_first(top.filter(has_text(F.col("name"))), ["name"], game_order)
+    own = assign_props(first.withColumn("catalog_id", F.col("key")), fixed.GAME, "name", ["name", "box_art_url", "catalog_id"])
+    ids = assign_props(top, fixed.CATALOG_ID, "key")
+    best = keep(top_k(lookup_by_ids(streams, top, "name"), ["name"], stream_order, fixed.STREAMS_PER_TOP_GAME))
+    once = dedupe_first(best, ["stream_id"], stream_order)
+    shown = assign_props(once, fixed.STREAM, "stream_id", ["title", "viewer_count", "user_name"])
+    added = as_edges(top, fixed.GAME, "name", fixed.HAS_CATALOG_ID, fixed.CATALOG_ID, "key").unionByName(
+        as_edges(best, fixed.GAME, "name", fixed.HAS_STREAM, fixed.STREAM, "stream_id")
+    )
+    incoming = own.unionByName(ids).unionByName(shown)
+    return (
+        merge_props(nodes, incoming, [fixed.GAME, fixed.CATALOG_ID, fixed.STREAM]),
+        add_edges(edges, added, [fixed.HAS_CATALOG_ID, fixed.HAS_STREAM]),
+    )
+
+
+def ingest_entities(graph: Graph, tokens: DataFrame) -> Graph:
+    """Nodes of tagged names, and SELLS edges between companies and products of one document.
+
+    tokens(doc, word, entity). Nodes are merged by label and name; those that are there keep
+    their other properties. Edges are only added once.
+    """
+    nodes, edges = graph
+    named = entity_nodes(tokens)
+    labels = F.col("label")
+    incoming = named.select(labels, F.col("name").alias("key"), F.create_map(F.lit("name"), F.col("name")).alias("props"), F.array(F.lit("name")).alias("sets"))
+    kept = nodes.join(incoming.select("label", "key", F.col("props").alias("_new")), ["label", "key"], "full_outer")
+    props = F.when(F.col("_new").isNull(), F.col("props")).otherwise(
+        F.map_concat(F.map_filter(F.coalesce("props", no_props()), lambda k, _: k != "name"), "_new")
+    )
+    return kept.select("label", "key", props.alias("props")), add_edges(edges, cooccurrence(tokens), [fixed.SELLS])
+
+
 def similar_games(docs: DataFrame, catalogue: DataFrame, order_by: Sequence[Column | str]) -> DataFrame:
     """Games named as similar that the catalogue knows: (key, name, box_art_url).
 
@@ -314,6 +363,26 @@ def ingest_companies(
     return nodes, add_edges(edges, started, [fixed.HAS_WEBSITE, fixed.LOCATED_IN])
 
 
+def ingest_searched_companies(
+    graph: Graph,
+    docs: DataFrame,
+    order_by: Sequence[Column | str],
+    countries: bool = False,
+    mode: str = "phrase",
+) -> Graph:
+    """The company pass with its search: every company's name is looked for in the documents' names.
+
+    docs(id, name, description, url, country). The first document in `order_by` that holds the name is
+    taken in as by `ingest_companies`: it describes the company of *its* id, where that is known. A
+    company whose name no document holds is passed over.
+    """
+    nodes, _ = graph
+    names = _label(nodes, fixed.COMPANY).select(F.try_element_at("props", F.lit("name")).alias("_asked"))
+    titled = docs.withColumn("_title", F.col("name"))
+    found = search_first(names, titled, "_asked", "_title", order_by, mode=mode).drop("_asked")
+    return ingest_companies(graph, found.distinct(), order_by, countries)
+
+
 def site_summaries(
     pages: DataFrame,
     model: str,

@@ -488,6 +488,78 @@ def top_games_pass(spark, folder):
     return edges
 
 
+@query(
+    "top_games_by_name",
+    """WITH top AS (
+         SELECT l_partkey FROM lineitem GROUP BY 1 ORDER BY sum(l_quantity) DESC, l_partkey LIMIT 10),
+       named AS (SELECT l_partkey, p_name FROM top JOIN part ON p_partkey = l_partkey),
+       best AS (
+         SELECT p_name, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS stream_id
+         FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_name IN (SELECT p_name FROM named)
+         QUALIFY row_number() OVER (PARTITION BY p_name
+           ORDER BY l_quantity DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) <= 5)
+       SELECT 'Game' AS src_label, p_name AS src_key, 'HAS_CATALOG_ID' AS rel_type, 'Catalog_ID' AS dst_label,
+              CAST(l_partkey AS VARCHAR) AS dst_key FROM named
+       UNION ALL SELECT 'Game', p_name, 'HAS_STREAM', 'Stream', stream_id FROM best""",
+)
+def top_games_by_name(spark, folder):
+    """The same pass over a graph whose games are keyed by name."""
+    streams = _named_streams(spark, folder)
+    viewers = streams.groupBy(F.col("game_key").alias("key"), "l_partkey").agg(F.sum("viewer_count").alias("viewers"))
+    parts = adapters.games(spark, folder)
+    nodes = as_nodes(parts.select("name").distinct(), fixed.GAME, "name", ["name"])
+    return games.ingest_top_games_by_name(
+        (nodes, _no_edges(nodes)),
+        viewers.join(parts.select("key", "name", "box_art_url"), "key"),
+        streams,
+        [latest("viewers"), "l_partkey"],
+        [latest("viewer_count"), *adapters.LINE_ID],
+    )[1]
+
+
+@query(
+    "entity_pass",
+    """SELECT 'Company' AS label, source AS key, source AS name, CASE WHEN source IN (SELECT DISTINCT source FROM documents WHERE doc_id < 3) THEN 'kept' END AS note
+       FROM (SELECT DISTINCT source FROM documents)
+       UNION ALL SELECT DISTINCT 'Product', lang, lang, NULL FROM documents
+       UNION ALL SELECT DISTINCT 'Loc', source || '/' || lang, source || '/' || lang, NULL FROM documents""",
+)
+def entity_pass(spark, folder):
+    """Nodes after a pass over tagged names; a few companies were there with a note."""
+    docs = read_table(spark, folder, "documents")
+    known = docs.filter("doc_id < 3").select("source", F.lit("kept").alias("note")).distinct()
+    nodes = as_nodes(known, fixed.COMPANY, "source", ["note"])
+    after, _ = games.ingest_entities((nodes, _no_edges(nodes)), adapters.tokens(spark, folder))
+    return after.select("label", "key", F.try_element_at("props", F.lit("name")).alias("name"), F.try_element_at("props", F.lit("note")).alias("note"))
+
+
+@query(
+    "company_search_pass",
+    """WITH titled AS (
+         SELECT c_custkey, 'The ' || s_name || ' trading company' AS title, lower(c_mktsegment) AS segment
+         FROM customer JOIN supplier ON s_suppkey = c_custkey % 40),
+       hits AS (
+         SELECT s_name, min(c_custkey) AS id FROM supplier JOIN titled ON contains(title, s_name) GROUP BY 1)
+       SELECT CAST(id AS VARCHAR) AS src_key, 'https://' || segment || '.example/' || id AS dst_key
+       FROM hits JOIN titled ON c_custkey = id WHERE id IN (SELECT s_suppkey FROM supplier)""",
+)
+def company_search_pass(spark, folder):
+    """Websites of the companies found by name; the document found describes the company of its own id."""
+    suppliers = read_table(spark, folder, "supplier")
+    nodes = as_nodes(suppliers.withColumnRenamed("s_name", "name"), fixed.COMPANY, "s_suppkey", ["name"])
+    named = suppliers.select(F.col("s_suppkey").alias("at"), "s_name")
+    customers = read_table(spark, folder, "customer").withColumn("at", F.col("c_custkey") % 40)
+    docs = customers.join(named, "at").select(
+        F.col("c_custkey").alias("id"),
+        F.concat(F.lit("The "), "s_name", F.lit(" trading company")).alias("name"),
+        F.col("c_mktsegment").alias("description"),
+        F.concat(F.lit("https://"), F.lower("c_mktsegment"), F.lit(".example/"), F.col("c_custkey").cast("string")).alias("url"),
+        F.lit(0).alias("country"),
+    )
+    edges = games.ingest_searched_companies((nodes, _no_edges(nodes)), docs, ["id"])[1]
+    return edges.filter(F.col("rel_type") == fixed.HAS_WEBSITE).select("src_key", "dst_key")
+
+
 def _customer_streams(spark, folder):
     named = read_table(spark, folder, "customer").select(
         as_key(F.col("c_custkey")).alias("game_key"), F.col("c_name").alias("name")

@@ -125,8 +125,8 @@ def _mixed(spark, folder):
     "record_nodes",
     _MIXED
     + """SELECT label || ':' || key AS id, name AS label, label AS "group",
-       CASE label WHEN 'Game' THEN 'box_art_url: https://art.example/{width}x{height}/' || key || '<br>name: '
-                  WHEN 'Company' THEN 'name: ' ELSE 'title: ' END || name AS title
+       CASE label WHEN 'Game' THEN 'box_art_url: https://art.example/{width}x{height}/' || key || '<br>catalog_id: ' || key || '<br>name: '
+                  WHEN 'Company' THEN 'id: ' || key || '<br>name: ' ELSE 'code: ' || key || '<br>title: ' END || name AS title
 FROM found JOIN nodes USING (label, key)""",
 )
 def nodes_of_records(spark, folder):

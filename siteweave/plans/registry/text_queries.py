@@ -15,9 +15,10 @@ from ...functions import (
     site_prompt,
     strip_text,
 )
-from ...operators.aggregates import assemble_pages
+from ...operators.aggregates import assemble_pages, canonical_text
 from ...operators.enrich import enrich
 from ...sources import read_table, spread
+from .. import adapters
 from .base import query
 
 # Pages cut at every `<`; what hides the text behind a piece is the last opening or closing before it.
@@ -110,6 +111,25 @@ def cased(spark, folder):
     return docs.select("doc_id", canonical_case(F.col("text"), **_CASED).alias("text"))
 
 
+@query(
+    "canonical_text",
+    r"""WITH names(lower, name) AS (VALUES ('game', 'Game'), ('genre', 'Genre'), ('company', 'Company'), ('country', 'Country'),
+          ('involves_company', 'INVOLVES_COMPANY'), ('has_genre', 'HAS_GENRE'), ('located_in', 'LOCATED_IN'),
+          ('name', 'name'), ('title', 'title'), ('box_art_url', 'box_art_url'), ('id', 'id'), ('code', 'code'), ('catalog_id', 'catalog_id')),
+        said AS (SELECT event_id, upper(event_type) || ' of a GAME, has_genre: ID ' || event_id || ' of COUNTRY Code games' AS text FROM events),
+        parts AS (
+          SELECT event_id, unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+')) AS part,
+                 generate_subscripts(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+'), 1) AS i FROM said)
+        SELECT event_id, string_agg(coalesce(name, part), '' ORDER BY i) AS text FROM parts LEFT JOIN names ON lower = lower(part) GROUP BY 1""",
+)
+def spelt(spark, folder):
+    """Questions with the names of the graph's own schema spelt as there."""
+    nodes, edges = adapters.trade_graph(spark, folder)
+    said = F.concat(F.upper("event_type"), F.lit(" of a GAME, has_genre: ID "), F.col("event_id").cast("string"), F.lit(" of COUNTRY Code games"))
+    asked = read_table(spark, folder, "events").select("event_id", said.alias("text"))
+    return canonical_text(asked, "text", nodes, edges)
+
+
 @query(
     "extract_tokens",
     r"""SELECT page_id,

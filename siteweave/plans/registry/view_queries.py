@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ...functions import display_label, fixed, strip_backticks, tag_label, tooltip
 from ...operators.aggregates import property_catalogue, schema_summary
-from ...operators.graph import match_nodes, match_pattern
+from ...operators.graph import match_nodes, match_pattern, whole_props
 from ...operators.ranking import colour_index
 from ...operators.views import flatten_records, path_edges, path_nodes, schema_graph, tiles
 from ...sources import read_table
@@ -38,7 +38,8 @@ _PROPERTIES = f"""
 WITH {LABEL_NODES},
 props AS (
   SELECT DISTINCT label, CASE label WHEN 'Country' THEN 'title' ELSE 'name' END AS property FROM nodes WHERE name IS NOT NULL
-  UNION SELECT 'Game', 'box_art_url' FROM part)
+  UNION SELECT 'Game', 'box_art_url' FROM part
+  UNION SELECT label, CASE label WHEN 'Game' THEN 'catalog_id' WHEN 'Country' THEN 'code' ELSE 'id' END FROM nodes)
 """
 
 
@@ -66,6 +67,13 @@ def match_exact(spark, folder):
     return match_nodes(nodes, fixed.GAME, "name", "red widget").select("key")
 
 
+@query("match_by_key", "SELECT CAST(s_suppkey AS VARCHAR) AS key, s_name AS name FROM supplier WHERE s_suppkey = 7")
+def match_by_key(spark, folder):
+    """A node by the property that is its key."""
+    nodes, _ = adapters.trade_graph(spark, folder)
+    return match_nodes(nodes, fixed.COMPANY, "id", "7").select("key", F.col("props")["name"].alias("name"))
+
+
 @query("match_contains", "SELECT CAST(p_partkey AS VARCHAR) AS key, p_name AS name FROM part WHERE contains(p_name, 'ring')")
 def match_contains(spark, folder):
     nodes, _ = adapters.trade_graph(spark, folder)
@@ -107,8 +115,8 @@ def _answer(spark, folder):
     "subgraph_nodes",
     _ANSWER
     + f"""SELECT label || ':' || key AS id, name AS label, label AS "group",
-       CASE label WHEN 'Game' THEN 'box_art_url: https://art.example/{{width}}x{{height}}/' || key || '<br>' ELSE '' END
-         || 'name: ' || name AS title,
+       CASE label WHEN 'Game' THEN 'box_art_url: https://art.example/{{width}}x{{height}}/' || key || '<br>catalog_id: ' || key
+                  ELSE 'id: ' || key END || '<br>name: ' || name AS title,
        {_COLOURS}[CAST(dense_rank() OVER (ORDER BY label) AS INTEGER)] AS colour
 FROM found JOIN nodes USING (label, key)""",
 )
@@ -229,14 +237,15 @@ def flat(spark, folder):
 @query(
     "display_labels",
     f"""WITH {LABEL_NODES}
-SELECT label AS node_label, key, coalesce(nullif(name, ''), label) AS shown,
-       CASE label WHEN 'Game' THEN 'box_art_url: https://art.example/{{width}}x{{height}}/' || key || '<br>name: ' || name
-         WHEN 'Company' THEN 'name: ' || name WHEN 'Country' THEN 'title: ' || name ELSE '' END AS title
+SELECT label AS node_label, key, coalesce(nullif(name, ''), key) AS shown,
+       CASE label WHEN 'Game' THEN 'box_art_url: https://art.example/{{width}}x{{height}}/' || key || '<br>catalog_id: ' || key || '<br>name: ' || name
+         WHEN 'Company' THEN 'id: ' || key || '<br>name: ' || name WHEN 'Country' THEN 'code: ' || key || '<br>title: ' || name
+         ELSE 'id: ' || key END AS title
 FROM nodes""",
 )
 def shown(spark, folder):
     nodes, _ = adapters.trade_graph(spark, folder)
-    return nodes.select(
+    return nodes.select("label", "key", whole_props()).select(
         F.col("label").alias("node_label"),
         "key",
         display_label(F.col("props"), F.col("label")).alias("shown"),

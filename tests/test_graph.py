@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from siteweave.operators import links as L
+from siteweave.operators import entities
+from siteweave.operators.aggregates import canonical_text
 from siteweave.operators.graph import (
     as_edges,
     as_nodes,
@@ -447,3 +449,56 @@ def test_hop_nodes(spark, rows):
     nodes, edges = shown_graph(spark)
     hops_found = match_pattern(nodes, edges.filter("src_key = '1'"), "R", nodes, "G", "C")
     assert rows(hop_nodes(hops_found, nodes), "label", "key") == [("C", "1"), ("C", "2"), ("G", "1")]
+
+
+def test_keys_are_properties(spark, rows):
+    nodes = nodes_of(spark, ("Franchise", "5", {}), ("Company", "7", {"name": "Seven", "id": "other"}), ("Odd", "1", {"x": "y"}))
+    assert rows(match_nodes(nodes, "Company", "id", "7"), "key") == [("7",)]
+    assert rows(match_nodes(nodes, "Company", "id", "other"), "key") == []
+    assert rows(property_catalogue(nodes)) == [("Company", ["id", "name"]), ("Franchise", ["id"]), ("Odd", ["x"])]
+    drawn = rows(subgraph_nodes(nodes), "id", "label", "title")
+    assert drawn == [("Company:7", "Seven", "id: 7<br>name: Seven"), ("Franchise:5", "5", "id: 5"), ("Odd:1", "Odd", "x: y")]
+
+
+def test_canonical_text_takes_its_words_from_the_graph(spark, rows):
+    nodes = nodes_of(spark, ("Game", "1", {"Title": "x"}), ("title", "2", {}))
+    edges = edges_of(spark, ("Game", "1", "HAS_Game", "title", "2"))
+    asked = spark.createDataFrame([(1, "a gAME has_GAME; TITLE games ID"), (2, None), (3, "")], "i int, q string")
+    told = canonical_text(asked, "q", nodes, edges)
+    # A name that is a label and a property goes to the property.
+    assert rows(told) == [(1, "a Game HAS_Game; Title games ID"), (2, None), (3, "")]
+    assert rows(canonical_text(asked, "q", nodes.limit(0), edges.limit(0))) == rows(asked)
+
+
+def test_pairs_of_a_crowded_document(spark, monkeypatch):
+    """A document that holds most of the names is dealt to blocks that meet each other."""
+    monkeypatch.setattr(entities, "BLOCK_NAMES", 10)
+    tokens = [("crowd", f"c{i}", "B-ORG") for i in range(45)] + [("crowd", f"p{i}", "B-PRODUCT") for i in range(38)]
+    tokens += [("d", "c1", "I-ORG"), ("d", "q", "B-PRODUCT"), ("e", "lonely", "B-ORG")]
+    pairs = entities.cooccurrence(spark.createDataFrame(tokens, "doc string, word string, entity string"))
+    want = {(f"c{i}", f"p{j}") for i in range(45) for j in range(38)} | {("c1", "q")}
+    got = [(r.src_key, r.dst_key) for r in pairs.collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_entity_pass_is_idempotent(spark, rows):
+    tokens = spark.createDataFrame([("d", "Acme", "B-ORG"), ("d", "Box", "B-PRODUCT"), ("d", None, "B-ORG")], "doc string, word string, entity string")
+    graph = (nodes_of(spark, ("Company", "Acme", {"note": "n"}), ("Genre", "1", {})), edges_of_none(spark))
+    once = games.ingest_entities(graph, tokens)
+    twice = games.ingest_entities(once, tokens)
+    assert as_dict(twice[0]) == as_dict(once[0]) == {
+        ("Company", "Acme"): {"name": "Acme", "note": "n"}, ("Product", "Box"): {"name": "Box"}, ("Genre", "1"): {}
+    }
+    assert hops(twice[1], "SELLS") == [("Company", "Acme", "Box")]
+
+
+def test_searched_companies(spark, rows):
+    docs = spark.createDataFrame(
+        [(9, "Big Acme Inc", "first", "https://a", 0), (2, "acme", "second", "https://b", 0), (5, "Other", "x", "https://c", 0)],
+        "id long, name string, description string, url string, country long",
+    )
+    nodes = nodes_of(spark, ("Company", "2", {"name": "Acme"}), ("Company", "3", {"name": "Nobody"}), ("Company", "9", {"name": "Big"}))
+    after, edges = games.ingest_searched_companies((nodes, edges_of_none(spark)), docs, ["id"])
+    assert as_dict(after)["Company", "2"] == {"name": "Acme", "description": "second"}
+    assert as_dict(after)["Company", "9"] == {"name": "Big", "description": "first"}
+    assert hops(edges, "HAS_WEBSITE") == [("Company", "2", "https://b"), ("Company", "9", "https://a")]

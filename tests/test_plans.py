@@ -19,7 +19,7 @@ NUMBERED = {
     "persona_prompts",
     "persona_upsert",
 }
-COLOURED = {"colour_index", "schema_graph", "subgraph_nodes"}
+COLOURED = {"colour_index", "record_nodes", "schema_graph", "subgraph_nodes"}
 # These hand text to a text function; other queries read texts that were told before.
 ENRICHED = {"enrich_skip", "enrich_text", "enrich_value"}
 
@@ -50,7 +50,7 @@ def test_no_single_task_sorts(plans):
 
 
 def test_forced_broadcasts(plans):
-    assert having(plans, "BroadcastExchange") == NUMBERED | {"subgraph_nodes"}
+    assert having(plans, "BroadcastExchange") == NUMBERED | {"record_nodes", "subgraph_nodes"}
 
 
 def test_python_only_for_text_functions(plans):
