@@ -53,8 +53,8 @@ def query(name: str, sql: str | None = None):
     f AS (
       SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY 1)
     SELECT page_id, payload_bytes, payload_digest,
-           CASE WHEN first_id IS NULL OR first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
-           CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+           CASE WHEN first_id IS NULL OR first_id IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to
     FROM d LEFT JOIN f USING (payload_digest)
     """,
 )

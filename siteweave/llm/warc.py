@@ -103,25 +103,16 @@ def _judged(pages: DataFrame, least_bytes: int) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html")
     )
     rows = rows.withColumn("digest", F.sha2("html", 256)).withColumn("size", F.octet_length("html").cast("long"))
-    # Tells rows apart that are alike in everything else; used for nothing but that.
-    rows = rows.withColumn("slot", F.monotonically_increasing_id())
-    # Ids in order, a missing one last; of rows alike in id the first url.
-    order = [F.col("page_id").isNull().alias("none"), "page_id", F.col("url").isNull().alias("bare"), "url"]
-    alike = (
+    # The smallest id, or none where no copy has one.
+    firsts = (
         rows.filter(F.col("size") >= least_bytes)
-        .groupBy("digest", *order)
-        .agg(F.count(F.lit(1)).alias("n"), F.min("slot").alias("slot"))
+        .groupBy("digest")
+        .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+        .filter("copies > 1")
+        .withColumn("copied", F.lit(True))
     )
-    firsts = alike.groupBy("digest").agg(
-        F.min(F.struct("none", "page_id", "bare", "url", "n", "slot")).alias("first"), F.sum("n").alias("copies")
-    )
-    judged = split_join(rows, firsts.filter("copies > 1").select("digest", "first"), "digest", "left")
-    itself = (
-        F.col("page_id").eqNullSafe(F.col("first.page_id"))
-        & F.col("url").eqNullSafe(F.col("first.url"))
-        & ((F.col("first.n") == 1) | (F.col("slot") == F.col("first.slot")))
-    )
-    copied = F.col("first").isNotNull()
+    judged = split_join(rows, firsts, "digest", "left")
+    copied, itself = F.coalesce("copied", F.lit(False)), F.col("page_id").eqNullSafe(F.col("first"))
     return judged.select(
         "page_id",
         "url",
@@ -129,7 +120,7 @@ def _judged(pages: DataFrame, least_bytes: int) -> DataFrame:
         "digest",
         (copied & itself).alias("original"),
         (copied & ~itself).alias("revisit"),
-        F.col("first.page_id").alias("refers_to"),
+        F.col("first").alias("refers_to"),
     )
 
 
@@ -138,8 +129,8 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_REVISIT
 
     Of pages with equal payloads of at least `least_bytes` bytes, the one with the smallest
     id is the response and the others revisit it; all smaller ones are responses. Null html
-    is an empty payload. A page without id is the last choice for a response; of pages
-    alike in id, url and payload one is the response and the others revisit it.
+    is an empty payload. A page without id revisits one with an id; where no copy has one, all are
+    responses, and so are all pages that share the smallest id, such as rows that are there twice.
 
     The index has a row per record: (page_id, url, digest, payload_bytes, record_type,
     refers_to, archive, start, length). Every attempt of a task writes archives of its
