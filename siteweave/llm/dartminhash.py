@@ -413,16 +413,17 @@ def drop_near_duplicates(
     """The documents, whole rows, that `near_duplicate_classes` keeps."""
     judged = near_duplicate_classes(docs, id_col, text_col, least)
     kept = written(
-        judged.filter("kept")
+        judged.filter("kept AND n_words > 0")
         .groupBy("text_key")
-        .agg(F.min("component_id").alias("kept_id"), F.max(F.col("n_words") == 0).alias("wordless"))
+        .agg(F.min("component_id").alias("kept_id"))
         .withColumnRenamed("text_key", "key"),
         "kept",
     )
     tag = F.xxhash64("key")
-    keyed = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("id"), text_key(text_col).alias("key"))
+    worded = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = docs.filter(worded).select(whole_row(docs).alias("row"), F.col(id_col).alias("id"), text_key(text_col).alias("key"))
     rows = keyed.withColumn("tag", tag).join(kept.withColumn("tag", tag), ["key", "tag"])
-    rows = rows.filter(F.col("wordless") | F.col("id").eqNullSafe(F.col("kept_id")))
     # Rows alike in id and text are one class: any one of them stays, found where the join has put them.
-    own = F.when(F.col("wordless"), F.monotonically_increasing_id())
-    return rows.withColumn("own", own).dropDuplicates(["key", "tag", "own"]).select("row.*")
+    rows = rows.filter(F.col("id").eqNullSafe(F.col("kept_id"))).dropDuplicates(["key", "tag"])
+    # Texts without words are all kept and meet nothing, so they need no join.
+    return rows.select("row.*").unionByName(docs.filter(~worded))
