@@ -23,9 +23,10 @@ _PIECES = "piece int, start long, length long, ids binary"
 def _encoder(path: str):
     """bytes of a text -> its ids as little-endian 32-bit words.
 
-    The tokenizer of this kind works on each part of a text by itself: a run of letters, a
+    The tokenizer that is meant works on each part of a text by itself: a run of letters, a
     digit, a run of signs. So a text's ids are those of its parts in order, and parts are remembered.
     """
+    import json
     import re
     from array import array
 
@@ -47,6 +48,34 @@ def _encoder(path: str):
         written = text if text.isascii() and text.isprintable() else "".join([letters[b] for b in text.encode()])
         return packed_ids([token.id for token in tokenizer.model.tokenize(written)])
 
+    # How a tokenizer of this kind reads a text. Any other is asked for whole texts.
+    reads = {
+        "normalizer": {
+            "type": "Sequence",
+            "normalizers": [
+                {"type": "NFC"},
+                {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+                {"type": "Lowercase"},
+            ],
+        },
+        "pre_tokenizer": {
+            "type": "Sequence",
+            "pretokenizers": [
+                {
+                    "type": "Split",
+                    "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                    "behavior": "Removed",
+                    "invert": True,
+                },
+                {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+            ],
+        },
+    }
+    with open(path) as file:
+        how = json.load(file)
+    if any(how.get(part) != reads[part] for part in reads):
+        return lambda raw: packed_ids(tokenizer.encode(raw.decode("utf-8", "replace"), add_special_tokens=False).ids)
+
     def plain(text: str) -> bool:
         """Outside Latin-1 normal forms and letter cases are left to the tokenizer, and so are other blanks.
 

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter
 
@@ -124,3 +125,17 @@ def test_pieces_that_fit_nowhere():
     with pytest.raises(ValueError):
         packing.best_fit({100: 1}, max_attention=99)
     assert packing.best_fit({}) == []
+
+
+def test_other_tokenizers_are_asked_for_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    draw = random.Random(2)
+    texts = ["Hello World, it is 2024", "", " \t\n two  blanks", "ÀÉ\u00a0é 123's"]
+    texts += ["".join(draw.choice("aB é1 \n'.s") for _ in range(draw.randrange(40))) for _ in range(300)]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = public_tokenizers.path(name)
+        tokenizer, encode = Tokenizer.from_file(path), packing._encoder(path)
+        for text in texts:
+            assert np.frombuffer(encode(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
