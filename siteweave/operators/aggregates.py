@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,39 @@ def avg_over_edges(
     source first, so the join to the groups sees one row per source, not per edge.
     Groups without any value are dropped; an average of 0 is kept.
     """
+    state = sums_over_edges(edges, sources, targets, src_key, dst_key, group_col, value_col)
+    return averages_of(state, group_col, alias)
+
+
+def averages_of(state: DataFrame, group_col: str, alias: str = "average") -> DataFrame:
+    """(group, average) of the groups with any value, from their sums and counts."""
+    return state.filter("values > 0").select(group_col, (F.col("total") / F.col("values")).alias(alias))
+
+
+def merged_sums(states: Sequence[DataFrame], group_col: str) -> DataFrame:
+    """(group, total, values) of several states together, folded before the shuffle."""
+    pooled = reduce(DataFrame.unionByName, [s.select(group_col, "total", "values") for s in states])
+    return pooled.groupBy(group_col).agg(F.sum("total").alias("total"), F.sum("values").alias("values"))
+
+
+def negative(state: DataFrame) -> DataFrame:
+    """What merging takes away again, as for values that have changed."""
+    return state.withColumns({"total": -F.col("total"), "values": -F.col("values")})
+
+
+def sums_over_edges(
+    edges: DataFrame,
+    sources: DataFrame,
+    targets: DataFrame,
+    src_key: str,
+    dst_key: str,
+    group_col: str,
+    value_col: str,
+) -> DataFrame:
+    """(group, total, values): sum and number of the target values per source group.
+
+    States of different edges add up, so a table of them is kept up by the new edges alone.
+    """
     per_source = (
         split_join(
             edges.select(src_key, dst_key), targets.select(dst_key, F.col(value_col).alias("_value")), dst_key
@@ -38,9 +72,9 @@ def avg_over_edges(
     pooled = (
         per_source.join(sources.select(src_key, group_col), src_key)
         .groupBy(group_col)
-        .agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"))
+        .agg(F.sum("_sum").alias("total"), F.sum("_count").alias("values"))
     )
-    return pooled.filter("_count > 0").select(group_col, (F.col("_sum") / F.col("_count")).alias(alias))
+    return pooled
 
 
 def count_by(df: DataFrame, keys: Sequence[str], alias: str = "n") -> DataFrame:

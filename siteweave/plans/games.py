@@ -26,7 +26,7 @@ from ..functions import (
     site_prompt,
     text_or,
 )
-from ..operators.aggregates import avg_over_edges
+from ..operators.aggregates import avg_over_edges, merged_sums, negative, sums_over_edges
 from ..operators.enrich import enrich
 from ..operators.entities import cooccurrence, entity_nodes
 from ..operators.graph import (
@@ -296,6 +296,25 @@ def average_views(games: DataFrame, edges: DataFrame, streams: DataFrame) -> Dat
     )
 
 
+def grow_average_views(
+    state: DataFrame | None, games: DataFrame, edges: DataFrame, streams: DataFrame, changed: DataFrame | None = None
+) -> DataFrame:
+    """(name, total, values): the state of the averages after `edges`, which are new, have come in.
+
+    Write the result as a snapshot: it is the next run's `state`, and `averages_of` gives the averages. Only
+    the new edges and their streams are read, not those that the state has seen. `changed` (key,
+    viewer_count) are the values that streams had before they were set anew; pass their edges among `edges`, and the state
+    loses the old values. A game that changes its name keeps its share of the old one.
+    """
+    hops = edges.filter(F.col("rel_type") == fixed.HAS_STREAM).select("src_key", "dst_key")
+    named = games.select(F.col("key").alias("src_key"), "name")
+    of = lambda values: sums_over_edges(
+        hops, named, values.select(F.col("key").alias("dst_key"), "viewer_count"), "src_key", "dst_key", "name", "viewer_count"
+    )
+    parts = [of(streams)] + ([state] if state is not None else []) + ([negative(of(changed))] if changed is not None else [])
+    return merged_sums(parts, "name")
+
+
 def average_view_graph(games: DataFrame, averages: DataFrame, key: Column) -> Graph:
     """Value nodes shared by equal averages, and edges from every game of the name."""
     valued = averages.withColumn("_value", key)

@@ -65,12 +65,13 @@ def stage_companies(spark, folder):
 
 
 @query(
-    "company_pages",
+    "company_first_pages",
     _STAGED
     + """SELECT uid AS "UID", website, industry, d AS "scrappedDate", length(t) AS page_chars, copies AS page_copies
          FROM per_uid""",
 )
-def company_pages(spark, folder):
+def company_first_pages(spark, folder):
+    """The first page of every staged company's site, and how many there are; `company_pages` has them all."""
     scraped = adapters.scraped(spark, folder)
     staged = company.stage_companies(adapters.companies(spark, folder), scraped, PAGE_ORDER)
     return company.company_pages(staged, scraped, PAGE_ORDER).select(
@@ -83,28 +84,31 @@ def company_pages(spark, folder):
     )
 
 
-@query(
-    "company_page_texts",
+_PAGE_TEXTS = (
     _STAGED
     + """SELECT c.website, c.name, c.industry, page_id, createdate AS "scrappedDate", scrappeddata AS "SCRAPPEDDATA"
          FROM (SELECT DISTINCT * FROM companies) c JOIN usable ON trim(c.website) = site
          WHERE industry IS NOT NULL AND NOT contains(industry, 'automotive')
-           AND c.website IN (SELECT website FROM scraped)""",
+           AND c.website IN (SELECT website FROM scraped)"""
 )
-def company_page_texts(spark, folder):
-    """All page texts of every usable company, where `company_pages` has the first one and a count."""
+
+
+@query("company_page_texts", _PAGE_TEXTS)
+@query("company_pages", _PAGE_TEXTS)
+def company_pages(spark, folder):
+    """All page texts of every usable company, whole."""
     paged = company.company_page_texts(adapters.companies(spark, folder), adapters.scraped(spark, folder), PAGE_ORDER)
     page = F.col("order_page_id").alias("page_id")
     return paged.select("website", "name", "industry", page, "scrappedDate", "SCRAPPEDDATA")
 
 
-@query("usable_pages", _STAGED + "SELECT page_id, site, createdate, length(scrappeddata) AS page_chars FROM usable")
+@query("usable_pages", _STAGED + "SELECT page_id, site, createdate, scrappeddata AS page_text FROM usable")
 def usable_pages(spark, folder):
     return company.usable_pages(adapters.scraped(spark, folder)).select(
         "page_id",
         F.trim("website").alias("site"),
         "createdate",
-        F.length("scrappeddata").cast("long").alias("page_chars"),
+        F.col("scrappeddata").alias("page_text"),
     )
 
 
@@ -121,7 +125,7 @@ def append_rerun(spark, folder):
 
 
 @query(
-    "persona_prompts",
+    "persona_prompts_rows",
     _STAGED
     + """SELECT "UID", json, 'Please parse the raw text of this company''s website and define a buying persona out of it '
                 || json || '?' AS prompt
@@ -129,13 +133,13 @@ def append_rerun(spark, folder):
                  'industry': industry, 'size': size, 'founded': founded, 'country_code': country_code,
                  'city': city, 'state': state, 'UID': "UID"}) AS VARCHAR) AS json FROM chain)""",
 )
-def persona_prompts(spark, folder):
+def persona_prompts_rows(spark, folder):
+    """Prompts of the company alone; `persona_prompts` has the page text that they ask to parse."""
     rows = _chain(spark, folder).select("UID", row_json([*company.COMPANY, "UID"]).alias("json"))
     return rows.withColumn("prompt", persona_prompt(F.col("json")))
 
 
-@query(
-    "persona_prompts_whole",
+_WHOLE_PROMPTS = (
     _STAGED
     + """SELECT "UID", json, 'Please parse the raw text of this company''s website and define a buying persona out of it '
                 || json || '?' AS prompt
@@ -143,10 +147,14 @@ def persona_prompts(spark, folder):
                  'industry': industry, 'size': size, 'founded': founded, 'country_code': country_code,
                  'city': city, 'state': state, 'UID': "UID",
                  'scrappedDate': strftime("scrappedDate", '%Y-%m-%dT%H:%M:%S.%g'),
-                 'SCRAPPEDDATA': "SCRAPPEDDATA"}) AS VARCHAR) AS json FROM chain)""",
+                 'SCRAPPEDDATA': "SCRAPPEDDATA"}) AS VARCHAR) AS json FROM chain)"""
 )
-def persona_prompts_whole(spark, folder):
-    """The prompts with the page text that they ask to parse, which `persona_prompts` leaves out."""
+
+
+@query("persona_prompts_whole", _WHOLE_PROMPTS)
+@query("persona_prompts", _WHOLE_PROMPTS)
+def persona_prompts(spark, folder):
+    """The prompts with the whole row, the page text included."""
     return company.prompts(_chain(spark, folder))
 
 

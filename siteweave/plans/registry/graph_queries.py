@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ...functions import as_key, fixed
 from ...operators import links as L
-from ...operators.aggregates import latest
+from ...operators.aggregates import averages_of, latest
 from ...operators.graph import (
     as_edges,
     as_nodes,
@@ -18,7 +18,7 @@ from ...operators.graph import (
     merge_nodes,
     replace_edges,
 )
-from ...session import new_table_path
+from ...session import new_table_path, stored
 from ...sources import lookup_by_ids, read_graph, read_payload, read_table, write_graph
 from .. import adapters, games
 from .base import DOCS, LABEL_NODES, LATEST_LINE, TRADE_EDGES, TYPES, query
@@ -377,6 +377,22 @@ def avg_viewers(spark, folder):
     return _averages(spark, folder).select("name", F.round("average", 4).alias("average"))
 
 
+@query(
+    "grown_averages",
+    "SELECT p_name AS name, round(avg(l_quantity), 4) AS average FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1",
+)
+def grown_averages(spark, folder):
+    """Averages from a state that two runs have added their own streams to."""
+    owners = adapters.games(spark, folder)
+    streams = adapters.streams(spark, folder).withColumn("key", F.col("stream_id"))
+    state = None
+    for run in (F.col("l_linenumber") < 4, F.col("l_linenumber") >= 4):
+        new = streams.filter(run)
+        edges = as_edges(new, fixed.GAME, "game_key", fixed.HAS_STREAM, fixed.STREAM, "stream_id")
+        state = stored(games.grow_average_views(state, owners, edges, new), "averages")
+    return averages_of(state, "name").withColumn("average", F.round("average", 4))
+
+
 @query(
     "edge_avg_views",
     """WITH averages AS (

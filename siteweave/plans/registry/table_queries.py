@@ -30,10 +30,12 @@ from ...sources import (
     read_landed,
     read_payload,
     read_table,
+    read_upserted,
     search_first,
     split_rejects,
     spread,
     upsert,
+    upsert_table,
     write_snapshot,
 )
 from .. import adapters
@@ -151,6 +153,22 @@ def lookup_parts(spark, folder):
     return lookup_by_ids(parts, ids, "p_partkey")
 
 
+@query(
+    "upsert_touched",
+    """SELECT c_custkey, CASE WHEN o_custkey IS NULL THEN c_mktsegment ELSE 'ordered' END AS note FROM customer
+       LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 50 = 0) ON o_custkey = c_custkey""",
+)
+def upsert_touched(spark, folder):
+    """Customers in a table dealt by key, of which a second run rewrites only the folders it has keys of."""
+    path = new_table_path(spark, "customers")
+    customers = read_table(spark, folder, "customer").select("c_custkey", F.col("c_mktsegment").alias("note"))
+    upsert_table(customers, path, "c_custkey", ["note"])
+    some = read_table(spark, folder, "orders").filter("o_orderkey % 50 = 0").select(F.col("o_custkey").alias("c_custkey"))
+    known = lookup_by_ids(some.distinct(), customers, "c_custkey")
+    upsert_table(known.withColumn("note", F.lit("ordered")), path, "c_custkey", ["note"])
+    return read_upserted(spark, path)
+
+
 @query(
     "search_equal",
     """SELECT p_name, p_partkey, p_retailprice FROM part

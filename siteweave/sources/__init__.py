@@ -1,4 +1,13 @@
-from .sinks import append, append_new, read_graph, upsert, write_graph, write_snapshot  # noqa: F401
+from .sinks import (  # noqa: F401
+    append,
+    append_new,
+    read_graph,
+    read_upserted,
+    upsert,
+    upsert_table,
+    write_graph,
+    write_snapshot,
+)
 from .tables import (  # noqa: F401
     explode_list,
     lookup_by_ids,

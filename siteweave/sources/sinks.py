@@ -7,8 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.ranking import dedupe_first
+from ..session import stored
 from .tables import net_new
 
 
@@ -52,6 +54,53 @@ def upsert(
     return net_new(existing, latest, keys).unionByName(latest)
 
 
+# Folders that a table for upserts is dealt to by its key.
+BUCKETS = 64
+_BUCKET = "bucket__"
+
+
+def upsert_table(
+    incoming: DataFrame,
+    path: str,
+    key: str | Sequence[str],
+    order_by: Sequence[Column | str],
+    buckets: int = BUCKETS,
+) -> None:
+    """Merge rows into the table at `path`, as `upsert`, rewriting only the folders that hold their keys.
+
+    The table is dealt into folders by a hash of the key; it is made where there is none, and keeps its
+    number of folders from then on. Only the touched folders are read, merged and replaced; files of
+    others stay as they are. What replaces them is complete in the shared folder before any is
+    replaced. A run that was cut short can be run again. One writer at a time.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    spark = incoming.sparkSession
+    try:
+        existing = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        dealt = dedupe_first(incoming, keys, order_by).withColumn(_BUCKET, _bucket(keys, buckets))
+        return dealt.hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(path)
+    # The number of folders is part of their names.
+    number = int(existing.select(_BUCKET).first()[0].rpartition("-")[2])
+    dealt = incoming.withColumn(_BUCKET, _bucket(keys, number))
+    # At most one row per folder.
+    touched = dealt.select(_BUCKET).distinct()
+    old = existing.join(F.broadcast(touched), _BUCKET, "left_semi").select(*incoming.columns)
+    merged = stored(upsert(old, incoming, keys, order_by).withColumn(_BUCKET, _bucket(keys, number)), "merged")
+    writer = merged.hint("rebalance", _BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(_BUCKET).parquet(path)
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.format_string(f"%d-of-{buckets}", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+
+
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(_BUCKET)
+
+
 def write_snapshot(df: DataFrame, folder: str) -> str:
     """Write a table under a new name, so that it may be computed from the one before it."""
     path = f"{folder.rstrip('/')}/snapshot-{uuid.uuid4().hex}"

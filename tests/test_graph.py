@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from siteweave.operators import links as L
 from siteweave.operators import entities
-from siteweave.operators.aggregates import canonical_text
+from siteweave.operators.aggregates import averages_of, canonical_text
 from siteweave.operators.graph import (
     as_edges,
     as_nodes,
@@ -502,3 +502,30 @@ def test_searched_companies(spark, rows):
     assert as_dict(after)["Company", "2"] == {"name": "Acme", "description": "second"}
     assert as_dict(after)["Company", "9"] == {"name": "Big", "description": "first"}
     assert hops(edges, "HAS_WEBSITE") == [("Company", "2", "https://b"), ("Company", "9", "https://a")]
+
+
+def test_averages_grow_by_new_streams_only(spark, rows):
+    owners = spark.createDataFrame([("1", "a"), ("2", "a"), ("3", "b")], "key string, name string")
+    has = lambda *pairs: edges_of(spark, *[("Game", g, "HAS_STREAM", "Stream", s) for g, s in pairs])
+    seen = lambda *values: spark.createDataFrame(list(values), "key string, viewer_count double")
+    first = games.grow_average_views(None, owners, has(("1", "s"), ("2", "t")), seen(("s", 10.0), ("t", None)))
+    assert rows(averages_of(first, "name")) == [("a", 10.0)]
+    second = games.grow_average_views(first, owners, has(("2", "u"), ("3", "v")), seen(("u", 20.0), ("v", 0.0)))
+    assert rows(averages_of(second, "name")) == [("a", 15.0), ("b", 0.0)]
+    # A stream that is counted anew loses what it had.
+    third = games.grow_average_views(second, owners, has(("2", "u")), seen(("u", 50.0)), changed=seen(("u", 20.0)))
+    assert rows(averages_of(third, "name")) == [("a", 30.0), ("b", 0.0)]
+
+
+def test_grown_averages_read_the_increment(spark):
+    """The second run's plan has the state and the new streams, and nothing of the earlier ones."""
+    from siteweave.session import stored
+
+    owners = stored(spark.createDataFrame([("1", "a")], "key string, name string"), "owners")
+    streams = [stored(spark.createDataFrame([(k, 1.0)], "key string, viewer_count double"), f"run_{k}") for k in "st"]
+    edges = [edges_of(spark, ("Game", "1", "HAS_STREAM", "Stream", k)) for k in "st"]
+    state = stored(games.grow_average_views(None, owners, edges[0], streams[0]), "state")
+    grown = games.grow_average_views(state, owners, edges[1], streams[1])
+    read = {f.split("/")[-2] for f in grown.inputFiles()}
+    assert read == {"owners", "run_t", "state"}
+    assert grown.first()["values"] == 2

@@ -14,9 +14,9 @@ NUMBERED = {
     "assign_uid",
     "company_chain",
     "company_us_view",
-    "company_pages",
+    "company_first_pages",
     "stage_companies",
-    "persona_prompts",
+    "persona_prompts_rows",
     "persona_upsert",
 }
 COLOURED = {"colour_index", "record_nodes", "schema_graph", "subgraph_nodes"}

@@ -3,6 +3,8 @@
 import random
 import time
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,9 +25,11 @@ from siteweave.sources import (
     read_graph,
     read_landed,
     read_payload,
+    read_upserted,
     search_first,
     split_rejects,
     upsert,
+    upsert_table,
     write_graph,
     write_snapshot,
 )
@@ -305,3 +309,20 @@ def test_shared_dir(spark):
     assert folder == spark.conf.get("spark.checkpoint.dir", folder)
     assert folder in spark.sparkContext.getCheckpointDir()
     assert new_table_path(spark, "x").startswith(folder) and new_table_path(spark, "x") != new_table_path(spark, "x")
+
+
+def test_upsert_rewrites_touched_folders_only(spark, rows):
+    path = new_table_path(spark, "dealt")
+    first = spark.range(200).select("id", F.lit("old").alias("v"))
+    upsert_table(first, path, "id", ["v"], buckets=16)
+    folder = Path(path.removeprefix("file:"))
+    before = {f.parent.name: {g.name for g in f.parent.glob("*.parquet")} for f in folder.glob("*/*.parquet")}
+    assert len(before) == 16
+    more = spark.createDataFrame([(3, "b"), (3, "a"), (1000, "new")], "id long, v string")
+    for _ in range(2):
+        upsert_table(more, path, "id", ["v"], buckets=4)  # the table keeps its number of folders
+    after = {f.parent.name: {g.name for g in f.parent.glob("*.parquet")} for f in folder.glob("*/*.parquet")}
+    changed = {name for name in after if after[name] != before.get(name)}
+    assert set(after) == set(before) and 1 <= len(changed) <= 2
+    got = dict(rows(read_upserted(spark, path)))
+    assert len(got) == 201 and got[3] == "a" and got[1000] == "new" and got[4] == "old"
