@@ -19,7 +19,9 @@ NUMBERED = {
     "persona_prompts_rows",
     "persona_upsert",
 }
-COLOURED = {"colour_index", "record_nodes", "schema_graph", "subgraph_nodes"}
+COLOURED = {"colour_index", "schema_graph", "subgraph_nodes"}
+# One row: the names of the schema.
+SPELT = {"canonical_text"}
 # These hand text to a text function; other queries read texts that were told before.
 ENRICHED = {"enrich_skip", "enrich_text", "enrich_value"}
 
@@ -46,7 +48,7 @@ def test_no_cross_joins(plans):
 
 
 def test_no_single_task_sorts(plans):
-    assert having(plans, "SinglePartition") == NUMBERED | COLOURED
+    assert having(plans, "SinglePartition") == NUMBERED | COLOURED | SPELT
 
 
 def test_forced_broadcasts(plans):
