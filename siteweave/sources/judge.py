@@ -29,6 +29,11 @@ def _reasons(schema: T.StructType, id_field: str) -> list[str]:
     return [NO_OBJECT, f"no {id_field}", *wrong, NESTED]
 
 
+def _made_once(col: Column, name: str) -> Column:
+    """A column behind a generator of one row per row: whatever reads it, it is not made again for every reader."""
+    return F.inline(F.array(F.struct(col.alias(name))))
+
+
 def _reason(blob: Column, schema: T.StructType, id_field: str) -> Column:
     """Why a document that doesn't fit the schema doesn't."""
     kind = lambda name: F.schema_of_variant(F.try_variant_get(blob, f"$.{name}", "variant"))
@@ -62,12 +67,12 @@ def judge_documents(
     """
     declared = T.StructType.fromDDL(schema)
     whole = T.StructType([*declared.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.inline(F.array(F.struct(F.from_json(payload, whole, {"columnNameOfCorruptRecord": _CORRUPT}).alias("doc"))))
+    parsed = _made_once(F.from_json(payload, whole, {"columnNameOfCorruptRecord": _CORRUPT}), "doc")
     fits = F.col(f"doc.{_CORRUPT}").isNull() & F.col(f"doc.{id_field}").isNotNull()
-    reason = F.when(F.coalesce(fits, F.lit(False)), F.lit(None).cast("string")).otherwise(
-        _reason(F.try_parse_json(payload), declared, id_field)
-    )
-    judged = landed.select("*", parsed).withColumn("reason", reason)
+    fits = F.coalesce(fits, F.lit(False))
+    blob = _made_once(F.when(~fits, F.try_parse_json(payload)), "_blob")
+    reason = F.when(fits, F.lit(None).cast("string")).otherwise(_reason(F.col("_blob"), declared, id_field))
+    judged = landed.select("*", parsed).select("*", blob).select("*", _made_once(reason, "reason")).drop("_blob")
     judged = judged.withColumn("doc", F.struct(*[F.col(f"doc.{f.name}") for f in declared.fields]))
     if observation is not None:
         counts = [F.count_if(F.col("reason") == r).alias(r) for r in _reasons(declared, id_field)]
