@@ -39,6 +39,7 @@ from ..operators.graph import (
     detached,
     drop_orphans,
     merge_props,
+    new_edges,
     no_props,
     props_map,
     replace_edges,
@@ -130,7 +131,8 @@ def ingest_documents(
     The first document per id in `order_by` sets the properties; every document adds
     its links, if its id is a node; a year is made for every document that has one. Documents are
     parsed and judged once and kept as a table in the shared folder, from which each result reads its
-    own columns; every landed row is in it, either used or with a reason. A document of which any
+    own columns; every landed row is in it, either used or with a reason. The links of a document are shuffled
+    as one row, by its id, and stay in that task until they are edges. A document of which any
     declared field has another type is not used at all. An `observation` counts rejects by reason.
     """
     nodes, edges = graph
@@ -141,19 +143,24 @@ def ingest_documents(
     held = F.struct(*[F.col(f"doc.{c}") for c in ("total_rating", "first_release_date", "summary", "url")])
     table = stored(read.withColumn("doc", held), "documents")
     used = table.filter("reason IS NULL")
-    found = fold_links(used.select(F.col("_key").alias("src_key"), F.col(seq).alias("seq"), F.explode("_links").alias("_l")))
-    links = known_links(found, nodes)
+    linked = used.select(F.col("_key").alias("src_key"), F.col(seq).alias("seq"), "_links")
+    each = F.explode("_links").alias("_l")
+    links = fold_links(known_links(linked, nodes).select("src_key", "seq", each))
     own = links.filter(F.col("rel_type") != fixed.SIMILAR_TO)
     newest = newest_documents(used.withColumnRenamed("_key", "key"), nodes, order_by)
     updates = assign_props(base_properties(newest), fixed.CATALOG_ID, "key", BASE_PROPS)
     # A name is only set where the link has one.
     named = F.when(F.col("name").isNotNull(), F.array(F.lit("name"))).otherwise(F.array().cast("array<string>"))
-    is_year = F.col("rel_type") == fixed.RELEASED_IN
-    targets = link_targets(own.filter(~is_year).unionByName(found.filter(is_year))).select("label", "key", props_map(["name"]), named.alias("sets"))
-    added = link_edges(own, nodes).unionByName(similar_edges(links, nodes))
+    known = _label(nodes, fixed.CATALOG_ID).select(F.col("key").alias("src_key"), F.lit(True).alias("_known"))
+    found = linked.join(known, "src_key", "left").select("src_key", "seq", "_known", each).select("src_key", "seq", "_known", "_l.*")
+    wanted = (F.col("_known") & (F.col("rel_type") != fixed.SIMILAR_TO)) | (F.col("rel_type") == fixed.RELEASED_IN)
+    found = found.filter("src_key IS NOT NULL AND dst_key IS NOT NULL").filter(wanted)
+    targets = link_targets(found).select("label", "key", props_map(["name"]), named.alias("sets"))
+    # Added apart, since their types differ: the links of an id stay in the task that folded them.
+    similar = new_edges(edges, similar_edges(links, nodes), [fixed.SIMILAR_TO])
     return Ingested(
         merge_props(nodes, updates.unionByName(targets), [fixed.CATALOG_ID, *TARGETS]),
-        add_edges(edges, added, [*TARGETS.values(), fixed.SIMILAR_TO]),
+        add_edges(edges, link_edges(own, nodes), [*TARGETS.values()]).unionByName(similar),
         table.filter("reason IS NOT NULL").select(*landed.columns, "reason"),
     )
 
