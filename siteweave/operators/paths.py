@@ -59,10 +59,13 @@ def match_paths(
     node = F.struct("label", "key")
     started = sources.select(*NODE).distinct()
     paths = started.select(F.array(node).alias("nodes"), empty.alias("edges"), F.col("label").alias("at_label"), F.col("key").alias("at_key"))
-    steps = _ends(of_type(edges, rels).distinct(), both_ways)
+    steps = _ends(of_type(edges, rels), both_ways)
     rounds = [paths]
     for _ in range(most):
-        longer = split_join(rounds[-1], steps, ["at_label", "at_key"]).filter(~F.array_contains("edges", F.col("edge")))
+        # Only what begins where some path ends is made distinct; the others are passed over where they are read.
+        ends = rounds[-1].select("at_label", "at_key").distinct()
+        onward = split_join(steps, ends, ["at_label", "at_key"], "left_semi").distinct()
+        longer = split_join(rounds[-1], onward, ["at_label", "at_key"]).filter(~F.array_contains("edges", F.col("edge")))
         longer = longer.select(
             F.array_append("nodes", F.struct(F.col("to_label").alias("label"), F.col("to_key").alias("key"))).alias("nodes"),
             F.array_append("edges", F.col("edge")).alias("edges"),
