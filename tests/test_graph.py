@@ -292,6 +292,22 @@ def test_similar_games(spark):
     assert hops(edges, "HAS_STREAM") == [("Game", "6", s) for s in ("s1", "s2", "s3")]
 
 
+def test_similar_games_are_told_once(spark):
+    """The games are a table: nodes and edges are made of it, and the documents are not read again for each."""
+    from siteweave.session import stored
+    from siteweave.sources import read_payload
+
+    doc = {"id": 1, "similar_games": [{"id": 5, "name": "five", "cover": {"url": "c5"}}, {"id": 6, "name": None}]}
+    landed = stored(spark.createDataFrame([(json.dumps(doc),)], "doc string"), "landed")
+    catalogue = stored(spark.createDataFrame([("five",), (None,)], "name string"), "catalogue")
+    streams = stream_rows(spark).withColumn("name", F.lit("five"))
+    graph = (nodes_of(spark, ("Catalog_ID", "1", {})), edges_of_none(spark))
+    parsed = read_payload(landed, "doc", L.SIMILAR_SCHEMA)
+    for part in games.ingest_similar_games(graph, parsed, catalogue, streams, ["stream_id"]):
+        assert {f.split("/")[-2] for f in part.inputFiles()} == {"games"}
+        assert part.filter(F.lit("5") == (F.col("key") if "key" in part.columns else F.col("src_key"))).count() >= 1
+
+
 def test_similar_by_name(spark, rows):
     parsed = spark.createDataFrame(
         [
