@@ -11,6 +11,7 @@ from siteweave.operators.aggregates import avg_over_edges
 from siteweave.operators.graph import as_edges, match_pattern, no_props, with_endpoints
 from siteweave.operators.joins import split_join
 from siteweave.plans.company import COMPANY, company_pages, stage_companies
+from siteweave.session import TASK_BYTES, TASK_SIZE, tune
 from siteweave.sources import net_new
 
 N = 60_000
@@ -112,3 +113,23 @@ def test_hot_site_is_split(spark, hot, many_small_partitions):
     assert tuple(top) == (N, N, N, N // 3)
     assert paged.filter("website = 's0'").select("SCRAPPEDDATA").distinct().count() == 1
     assert fixed.EXCLUDED_INDUSTRY not in firms.first().industry
+
+
+@pytest.mark.parametrize(
+    "asked, left",
+    [("64MB", f"{TASK_BYTES}b"), ("67108864b", f"{TASK_BYTES}b"), ("1g", f"{TASK_BYTES}b"), ("8m", "8m"), ("4k", "4k"), ("4096", "4096"), ("16m", "16m")],
+)
+def test_task_size_is_bounded(spark, asked, left):
+    other = spark.newSession()
+    other.conf.set(TASK_SIZE, asked)
+    assert tune(other).conf.get(TASK_SIZE) == left
+
+
+def test_more_rows_make_more_tasks(spark):
+    """About 50 MB behind a shuffle are not one task's."""
+    other = spark.newSession()
+    other.conf.set(TASK_SIZE, "64m")
+    other.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    other.conf.set("spark.sql.shuffle.partitions", "16")
+    wide = tune(other).range(0, 700_000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("k")).distinct()
+    assert wide.rdd.getNumPartitions() >= 3
