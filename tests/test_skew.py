@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from siteweave.functions import fixed
 from siteweave.operators.aggregates import avg_over_edges
-from siteweave.operators.graph import as_edges, match_pattern, no_props, with_endpoints
+from siteweave.operators.graph import EDGE, as_edges, match_pattern, no_props, with_endpoints
 from siteweave.operators.joins import split_join
+from siteweave.operators.views import path_edges
 from siteweave.plans.company import COMPANY, company_pages, stage_companies
 from siteweave.session import TASK_BYTES, TASK_SIZE, tune
 from siteweave.sources import net_new
@@ -133,3 +134,16 @@ def test_more_rows_make_more_tasks(spark):
     other.conf.set("spark.sql.shuffle.partitions", "16")
     wide = tune(other).range(0, 700_000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("k")).distinct()
     assert wide.rdd.getNumPartitions() >= 3
+
+
+def test_more_path_edges_make_more_tasks(spark):
+    other = spark.newSession()
+    other.conf.set(TASK_SIZE, "64m")
+    other.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    other.conf.set("spark.sql.shuffle.partitions", "16")
+    key = F.sha2(F.col("id").cast("string"), 256)
+    edges = as_edges(tune(other).range(0, 500_000, 1, 8), "A", key, "R", "B", F.col("id") % 100)
+    paths = edges.select(F.array(F.struct(*EDGE), F.struct(*EDGE)).alias("edges"))
+    counted = path_edges(paths).groupBy(*EDGE).agg(F.count(F.lit(1)).alias("on_paths"))
+    assert counted.rdd.getNumPartitions() >= 3
+    assert counted.agg(F.count(F.lit(1)), F.min("on_paths"), F.max("on_paths")).first() == (500_000, 2, 2)
