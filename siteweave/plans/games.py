@@ -188,10 +188,10 @@ def catalogue_edges(games: DataFrame) -> DataFrame:
 def _add_games(graph: Graph, games: DataFrame, streams: DataFrame, k: int, order) -> Graph:
     """Games(key, name, box_art_url), their catalogue ids and their names' first k streams.
 
-    Five results are made of the games: they are written once, so that what tells them is not read again for each.
+    Five results are made of the games: they are kept, so that what tells them is not read again for each.
     """
     nodes, edges = graph
-    games = stored(games, "games")
+    games = keep(games)
     own = assign_props(games, fixed.GAME, "key", ["name", "box_art_url"])
     ids = assign_props(games, fixed.CATALOG_ID, "key")
     # Streams are looked up for the games of this pass only, and attached to all of the name.
