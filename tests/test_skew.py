@@ -12,7 +12,7 @@ from siteweave.operators.graph import EDGE, as_edges, match_pattern, no_props, w
 from siteweave.operators.joins import split_join
 from siteweave.operators.views import path_edges
 from siteweave.plans.company import COMPANY, company_pages, stage_companies
-from siteweave.session import TASK_BYTES, TASK_SIZE, tune
+from siteweave.session import SCAN_SIZE, TASK_BYTES, TASK_SIZE, tune
 from siteweave.sources import net_new
 
 N = 60_000
@@ -147,3 +147,24 @@ def test_more_path_edges_make_more_tasks(spark):
     counted = path_edges(paths).groupBy(*EDGE).agg(F.count(F.lit(1)).alias("on_paths"))
     assert counted.rdd.getNumPartitions() >= 3
     assert counted.agg(F.count(F.lit(1)), F.min("on_paths"), F.max("on_paths")).first() == (500_000, 2, 2)
+
+
+@pytest.mark.parametrize("asked, left", [("128MB", f"{TASK_BYTES}b"), ("134217728", f"{TASK_BYTES}b"), ("8m", "8m"), ("16m", "16m")])
+def test_scan_size_is_bounded(spark, asked, left):
+    other = spark.newSession()
+    other.conf.set(SCAN_SIZE, asked)
+    assert tune(other).conf.get(SCAN_SIZE) == left
+
+
+def test_longer_files_are_folded_by_more_tasks(spark, tmp_path):
+    """One file of some 45 MB in row groups of 1 MB, read where a few cores would make one task of it."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.files.minPartitionNum", "1")
+    lines = other.range(0, 350_000, 1, 1).select(
+        F.col("id").alias("part"), (F.col("id") % 100).alias("supp"), F.sha2(F.col("id").cast("string"), 512).alias("rest")
+    )
+    lines.write.option("parquet.block.size", 1 << 20).option("compression", "none").parquet(str(tmp_path / "lines"))
+    read = tune(other).read.parquet(str(tmp_path / "lines"))
+    assert read.rdd.getNumPartitions() >= 3
+    edges = as_edges(read, "A", "part", "R", "B", "supp")
+    assert edges.agg(F.count(F.lit(1)), F.countDistinct("dst_key")).first() == (350_000, 100)
