@@ -48,12 +48,12 @@ from ..operators.joins import split_join
 from ..operators.links import (
     DOCUMENT_FIELDS,
     DOCUMENT_RULES,
-    LINK,
     attach_by_name,
-    fold_links,
+    fold_packed,
     known_links,
     link_edges,
     link_targets,
+    pack_links,
     similar_edges,
     similar_to,
 )
@@ -132,29 +132,29 @@ def ingest_documents(
     its links, if its id is a node; a year is made for every document that has one. Documents are
     parsed and judged once and kept as a table in the shared folder, from which each result reads its
     own columns; every landed row is in it, either used or with a reason. The links of a document are shuffled
-    as one row, by its id, and stay in that task until they are edges. A document of which any
+    as one packed text, by its id, and stay in that task until they are edges. A document of which any
     declared field has another type is not used at all. An `observation` counts rejects by reason.
     """
     nodes, edges = graph
     judged = judge_documents(landed, DOCUMENT_FIELDS, observation=observation)
     key = as_key(F.col("doc.id"))
-    links = F.concat(*[rule().cast(LINK) for rule in (*DOCUMENT_RULES, similar_to)])
-    read = judged.select("*", "doc.*").select(*landed.columns, "reason", "doc", key.alias("_key"), links.alias("_links"))
+    packed = [pack_links(DOCUMENT_RULES).alias("_links"), pack_links([similar_to]).alias("_similar")]
+    read = judged.select("*", "doc.*").select(*landed.columns, "reason", "doc", key.alias("_key"), *packed)
     held = F.struct(*[F.col(f"doc.{c}") for c in ("total_rating", "first_release_date", "summary", "url")])
     table = stored(read.withColumn("doc", held), "documents")
     used = table.filter("reason IS NULL")
-    linked = used.select(F.col("_key").alias("src_key"), F.col(seq).alias("seq"), "_links")
-    each = F.explode("_links").alias("_l")
-    links = fold_links(known_links(linked, nodes).select("src_key", "seq", each))
+    source = [F.col("_key").alias("src_key"), F.col(seq).alias("seq")]
+    linked = used.select(*source, "_links")
+    whole = used.select(*source, F.concat_ws("\n", "_links", "_similar").alias("_links")).filter("_links <> ''")
+    links = fold_packed(known_links(whole, nodes), ["src_key"])
     own = links.filter(F.col("rel_type") != fixed.SIMILAR_TO)
     newest = newest_documents(used.withColumnRenamed("_key", "key"), nodes, order_by)
     updates = assign_props(base_properties(newest), fixed.CATALOG_ID, "key", BASE_PROPS)
     # A name is only set where the link has one.
     named = F.when(F.col("name").isNotNull(), F.array(F.lit("name"))).otherwise(F.array().cast("array<string>"))
     known = _label(nodes, fixed.CATALOG_ID).select(F.col("key").alias("src_key"), F.lit(True).alias("_known"))
-    found = linked.join(known, "src_key", "left").select("src_key", "seq", "_known", each).select("src_key", "seq", "_known", "_l.*")
-    wanted = (F.col("_known") & (F.col("rel_type") != fixed.SIMILAR_TO)) | (F.col("rel_type") == fixed.RELEASED_IN)
-    found = found.filter("src_key IS NOT NULL AND dst_key IS NOT NULL").filter(wanted)
+    wanted = lambda rel: (F.col("_known") & (rel != fixed.SIMILAR_TO)) | (rel == fixed.RELEASED_IN)
+    found = fold_packed(linked.filter("src_key IS NOT NULL").join(known, "src_key", "left"), wanted=wanted)
     targets = link_targets(found).select("label", "key", props_map(["name"]), named.alias("sets"))
     # Added apart, since their types differ: the links of an id stay in the task that folded them.
     similar = new_edges(edges, similar_edges(links, nodes), [fixed.SIMILAR_TO])
