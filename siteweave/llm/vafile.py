@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import split_join
 from ..operators.ranking import top_k
 from .common import parallelism, prepare, written
 
@@ -17,6 +16,9 @@ from .common import parallelism, prepare, written
 BLOCK_ROWS = 4096
 QUERY_ROWS = 512
 CELLS = 32
+# Bytes of vectors that a task holds at a time of the file and of the queries, one block of each at least.
+FILE_BYTES = 40 << 20
+QUERY_BYTES = 16 << 20
 
 
 def whole_vectors(vectors: DataFrame, id_col: str, vec_col: str, scale: float, repeats: bool = False) -> DataFrame:
@@ -50,7 +52,8 @@ def build_file(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """
     sized = vectors.withColumn("dim", F.size("v"))
     blocks = sized.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
-    dealt = split_join(sized, blocks, "dim").withColumn("block", _deal(vectors, "blocks"))
+    # One row per dimension.
+    dealt = sized.join(F.broadcast(blocks), "dim").withColumn("block", _deal(vectors, "blocks"))
 
     def build(group: pa.Table) -> pa.Table:
         group = group.sort_by("id")
@@ -81,11 +84,16 @@ def build_file(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     return dealt.select("id", "v", "dim", "block").groupBy("dim", "block").applyInArrow(build, schema)
 
 
+def _parts(queries: DataFrame, rows: int) -> DataFrame:
+    """(dim, parts): into how many blocks the queries of a dimension are dealt; one row per dimension."""
+    sized = queries.select(F.size("v").alias("dim"))
+    return sized.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("parts"))
+
+
 def _query_blocks(queries: DataFrame, rows: int) -> DataFrame:
     """(dim, part, ids, q, least): queries (id, v, least) in blocks; `least` is the score they still need."""
     sized = queries.withColumn("dim", F.size("v"))
-    parts = sized.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("parts"))
-    dealt = split_join(sized, parts, "dim").withColumn("part", _deal(queries, "parts"))
+    dealt = sized.join(F.broadcast(_parts(queries, rows)), "dim").withColumn("part", _deal(queries, "parts"))
 
     def gather(group: pa.Table) -> pa.Table:
         dim = group["dim"][0].as_py()
@@ -125,12 +133,45 @@ def _bounds(row: dict, upper_only: bool):
     return qids, ids, q, upper, lower
 
 
-def _paired(file: DataFrame, blocks: DataFrame, columns: list[str]) -> DataFrame:
-    """Every block of queries with every block of the file of that dimension."""
-    counts = file.groupBy("dim").agg(F.max("block").alias("last"))
-    spread = blocks.join(counts, "dim").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("last")))).drop("last")
-    pairs = spread.join(file.select("dim", "block", *columns), ["dim", "block"])
-    return pairs.repartition(parallelism(file.sparkSession), "dim", "block", "part")
+def _met(
+    file: DataFrame,
+    queries: DataFrame,
+    columns: list[str],
+    block_rows: int,
+    query_rows: int,
+    work: Callable[[Iterator[dict], list[dict]], pa.Table],
+    schema: str,
+) -> DataFrame:
+    """What `work` makes of the queries and the file in blocks, where all of a dimension meet each other.
+
+    Both come in groups of bounded size, dealt to the cells of a grid: a block of queries is copied once for each group of
+    the file, and a block of the file once for each group of queries. Both are shuffled; a join would broadcast the copies, whose
+    number Spark's size checks don't see.
+    """
+    n = parallelism(file.sparkSession)
+    counts = file.groupBy("dim").agg((F.max("block") + 1).alias("_blocks"))
+    counts = counts.join(_parts(queries, query_rows).withColumnRenamed("parts", "_parts"), "dim")
+    # How many blocks make a group of bounded size, and into how many groups they go: more of them where that leaves cores idle.
+    held = lambda most, rows, size: F.greatest(F.lit(1), F.floor(most / (rows * size * F.greatest("dim", F.lit(1)))))
+    in_file, in_queries = held(F.lit(FILE_BYTES), F.lit(block_rows), 9), held(F.lit(QUERY_BYTES), F.lit(query_rows), 8)
+    groups = lambda count, most, others: F.least(count, F.greatest(F.ceil(count / most), F.ceil(F.lit(3 * n) / others)))
+    rows = groups(F.col("_blocks"), in_file, F.ceil(F.col("_parts") / in_queries)).cast("int")
+    grid = counts.withColumn("_rows", rows).withColumn("_columns", groups(F.col("_parts"), in_queries, F.col("_rows")).cast("int"))
+    grid = F.broadcast(grid)  # one row per dimension
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    cell = ["dim", "_row", "_column"]
+    asked = _query_blocks(queries, query_rows).join(grid, "dim")
+    asked = asked.withColumn("_column", F.col("part") % F.col("_columns")).withColumn("_row", every("_rows"))
+    stored = file.select("dim", "block", *columns).join(grid, "dim")
+    stored = stored.withColumn("_row", F.col("block") % F.col("_rows")).withColumn("_column", every("_columns"))
+    asked = asked.select(*cell, "part", "qids", "q", "least").repartition(n, *cell)
+    stored = stored.select(*cell, "block", *columns).repartition(n, *cell)
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = lambda table: (table.slice(i, 1).to_pylist()[0] for i in range(table.num_rows))
+        return work(rows(left), [*rows(right)])
+
+    return asked.groupBy(*cell).cogroup(stored.groupBy(*cell)).applyInArrow(meet, schema)
 
 
 def exact_top_k(
@@ -157,44 +198,51 @@ def exact_top_k(
     First every query is bounded against every vector by the cells alone: the k-th largest
     lower bound over all blocks is a score that the result reaches. Then, block by block,
     exact vectors are read in order of their bounds, only down to that score and until the
-    k-th result of the block is certain. Queries meet the file in blocks, so a task holds
-    `query_rows` x `block_rows` bounds whatever the size of the table.
+    k-th result of the blocks so far is certain. Groups of queries meet groups of the file
+    (see `_met`) block by block, so a task holds `query_rows` x `block_rows` bounds and two
+    groups of bounded size whatever the size of the table.
     """
     spark = prepare(vectors.sparkSession)
     whole = written(whole_vectors(vectors, id_col, vec_col, scale, repeats), "vectors")
     file = written(build_file(whole, block_rows), "va_file")
     queries = whole.filter(is_query).withColumn("least", F.lit(float("-inf")))
 
-    def lower_bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                qids, ids, _, _, lower = _bounds(batch.slice(i, 1).to_pylist()[0], False)
-                n = min(k, len(ids))
-                best = np.partition(lower, len(ids) - n, axis=1)[:, len(ids) - n :]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(qids, n), pa.int64()), pa.array(best.ravel(), pa.float64())],
-                    names=["id", "bound"],
-                )
+    def lower_bounds(asked: Iterator[dict], stored: list[dict]) -> pa.Table:
+        found = [(np.empty(0, np.int64), np.empty(0))]
+        for queries in asked:
+            best = None
+            for block in stored:
+                qids, ids, _, _, lower = _bounds(queries | block, False)
+                lower = lower if best is None else np.concatenate([best, lower], axis=1)
+                n = min(k, lower.shape[1])
+                best = np.partition(lower, lower.shape[1] - n, axis=1)[:, lower.shape[1] - n :]
+            if best is not None:
+                found.append((np.repeat(qids, best.shape[1]), best.ravel()))
+        return pa.table({"id": np.concatenate([i for i, _ in found]), "bound": np.concatenate([b for _, b in found])})
 
     approximations = ["ids", "cells", "low", "high"]
-    first = _paired(file, _query_blocks(queries, query_rows), approximations)
-    bounds = first.mapInArrow(lower_bounds, "id long, bound double").filter(F.col("bound") > F.lit(float("-inf")))
+    bounds = _met(
+        file, queries, approximations, block_rows, query_rows, lower_bounds, "id long, bound double"
+    ).filter(F.col("bound") > F.lit(float("-inf")))
     ranked = top_k(bounds, ["id"], [F.col("bound").desc()], k, "place")
     least = ranked.filter(F.col("place") == k).select("id", F.col("bound").alias("least"))
     asked = written(queries.drop("least").join(least, "id", "left").fillna(float("-inf"), ["least"]), "queries")
 
-    def exact_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                qids, ids, q, upper, _ = _bounds(row, True)
-                exact = np.frombuffer(row["exact"], np.float64).reshape(len(ids), row["dim"])
-                least = np.frombuffer(row["least"], np.float64)
-                out = []
-                for j in range(len(qids)):
-                    open_ = np.flatnonzero((upper[j] >= least[j]) & (upper[j] > -np.inf))
+    def exact_scores(asked: Iterator[dict], stored: list[dict]) -> pa.Table:
+        nothing = np.empty(0, np.int64)
+        out = [(nothing, nothing, np.empty(0))]
+        for queries in asked:
+            n = len(queries["qids"]) // 8
+            best = [(nothing, np.empty(0))] * n
+            for block in stored:
+                qids, ids, q, upper, _ = _bounds(queries | block, True)
+                exact = np.frombuffer(block["exact"], np.float64).reshape(len(ids), queries["dim"])
+                least = np.frombuffer(queries["least"], np.float64)
+                for j in range(n):
+                    got_ids, got = best[j]
+                    reach = max(least[j], got[k - 1]) if len(got) >= k else least[j]
+                    open_ = np.flatnonzero((upper[j] >= reach) & (upper[j] > -np.inf))
                     open_ = open_[np.argsort(-upper[j, open_], kind="stable")]
-                    got_ids, got = np.empty(0, np.int64), np.empty(0)
                     # Read as many as could be the result, then on while a bound reaches the k-th score.
                     for at in range(0, len(open_), 2 * k):
                         if len(got) >= k and upper[j, open_[at]] < got[k - 1]:
@@ -204,17 +252,20 @@ def exact_top_k(
                         got = np.concatenate([got, exact[read] @ q[j]])
                         order = np.lexsort((got_ids, -got))[:k]
                         got_ids, got = got_ids[order], got[order]
-                    out.append((np.full(len(got), qids[j]), got_ids, got))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([o[0] for o in out]), pa.int64()),
-                        pa.array(np.concatenate([o[1] for o in out]), pa.int64()),
-                        pa.array(np.concatenate([o[2] for o in out]).astype(np.int64), pa.int64()),
-                    ],
-                    names=["query_id", "id", "score"],
-                )
-
-    second = _paired(file, _query_blocks(asked, query_rows), [*approximations, "exact"])
-    scores = second.mapInArrow(exact_scores, "query_id long, id long, score long")
+                    best[j] = got_ids, got
+            if stored:
+                out += [(np.full(len(got), qid), got_ids, got) for qid, (got_ids, got) in zip(qids, best, strict=True)]
+        query_id, ids, score = (np.concatenate([o[i] for o in out]) for i in range(3))
+        return pa.table({"query_id": query_id, "id": ids, "score": score.astype(np.int64)})
+
+    scores = _met(
+        file,
+        asked,
+        [*approximations, "exact"],
+        block_rows,
+        query_rows,
+        exact_scores,
+        "query_id long, id long, score long",
+    )
     best = top_k(scores, ["query_id"], [F.col("score").desc(), "id"], k, "rank")
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score")
